@@ -11,13 +11,14 @@ from quarry.sources import tables as TB
 
 _DICT = "dict AS (SELECT DISTINCT w FROM (SELECT unnest(string_split(p_name, ' ')) AS w FROM part) WHERE length(w) > 0)"
 # dictionary whose forward pass gets stuck on some strings: the words plus,
-# for each two-word name, the first word glued to the first letter of the second
+# for each two-word name whose first word is short, the first word glued to
+# the first letter of the second
 _DICT2 = """dict AS (
   SELECT DISTINCT w FROM (
     SELECT unnest(string_split(p_name, ' ')) AS w FROM part
     UNION ALL
     SELECT split_part(p_name, ' ', 1) || substr(split_part(p_name, ' ', 2), 1, 1) FROM part
-    WHERE split_part(p_name, ' ', 2) <> '')
+    WHERE split_part(p_name, ' ', 2) <> '' AND length(split_part(p_name, ' ', 1)) <= 4)
   WHERE length(w) > 0)"""
 
 _GLUED = "glued AS (SELECT p_partkey AS id, {expr} AS s FROM part)"
@@ -56,8 +57,9 @@ def _dict2(spark, sf):
     p = TB.table(spark, sf, "part")
     w2 = p.select(F.concat(F.split_part("p_name", F.lit(" "), F.lit(1)),
                            F.substring(F.split_part("p_name", F.lit(" "), F.lit(2)), 1, 1)).alias("tag_name"),
-                  F.split_part("p_name", F.lit(" "), F.lit(2)).alias("second"))
-    w2 = w2.where(F.col("second") != "").select("tag_name")
+                  F.split_part("p_name", F.lit(" "), F.lit(2)).alias("second"),
+                  F.length(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("first_len"))
+    w2 = w2.where((F.col("second") != "") & (F.col("first_len") <= 4)).select("tag_name")
     return TB.tag_words(spark, sf).unionByName(w2)
 
 
@@ -91,13 +93,13 @@ def tag_segment_forward(spark, sf):
 
 
 @query("tag_segment_reverse", sql=f"""
-WITH RECURSIVE {_DICT2}, {_GLUED.format(expr=_PLAIN)}, {_FWD}, {_REV}, {_SEG}
+WITH RECURSIVE {_DICT2}, {_GLUED.format(expr=_WITH_JUNK)}, {_FWD}, {_REV}, {_SEG}
 SELECT id, split_tags, pass FROM seg
 """)
 def tag_segment_reverse(spark, sf):
     """Forward, then the reverse pass where forward gets stuck (dictionary
     with glued word+letter entries so that both passes occur)."""
-    g = TB.glued_tags(spark, sf)
+    g = _glued_junk(spark, sf).select("id", "tags")
     return TG.segment(g, _dict2(spark, sf), on_fail="null", with_pass=True).select(
         "id", "split_tags", "pass")
 
