@@ -1 +1,158 @@
-"""placeholder"""
+"""Feature-stage queries: long-form vocabulary, count vectors and min-max
+scaling (SQL-checked), hashed term frequencies and the ML pipeline."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.functions import text as X
+from quarry.operators import features as FT
+from quarry.plans.q_text import _stop_sql
+from quarry.plans.registry import query
+from quarry.sources import tables as TB
+
+_TF_SQL = f"""toks AS (SELECT doc_id, unnest({_stop_sql('text')}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
+totals AS (SELECT term, CAST(sum(tf) AS BIGINT) AS total, count(*) AS df FROM tf GROUP BY term),
+ranked AS (SELECT term, total, df, row_number() OVER (ORDER BY total DESC, term) - 1 AS index FROM totals)"""
+
+TOPK = 1000
+
+
+def _tf_long(spark, sf):
+    d = TB.table(spark, sf, "documents")
+    toks = d.select("doc_id", X.remove_stopwords(X.tokenize(F.col("text"))).alias("toks"))
+    return FT.term_counts_long(toks, "doc_id", "toks")
+
+
+@query("vocabulary_terms", sql=f"""
+WITH {_TF_SQL}
+SELECT term, total, df FROM totals
+""")
+def vocabulary_terms(spark, sf):
+    """Corpus vocabulary: total count and document frequency per term."""
+    return FT.term_totals(_tf_long(spark, sf), "doc_id").select("term", "total", "df")
+
+
+@query("vocabulary_topk", sql=f"""
+WITH {_TF_SQL}
+SELECT term, total, df, index FROM ranked WHERE index < {TOPK}
+""")
+def vocabulary_topk(spark, sf):
+    """Top-V terms by total count (ties by term) with their vector index."""
+    return FT.vocabulary(_tf_long(spark, sf), "doc_id", vocab_size=TOPK).select(
+        "term", "total", "df", "index")
+
+
+@query("count_vector_long", sql=f"""
+WITH {_TF_SQL}
+SELECT t.doc_id, t.term, r.index, t.tf FROM tf t JOIN ranked r ON t.term = r.term
+WHERE r.index < {FT.DEFAULT_VOCAB}
+""")
+def count_vector_long(spark, sf):
+    """Count vectors unfolded to (doc, term, index, tf), default width 2^18."""
+    tfl = _tf_long(spark, sf)
+    voc = FT.vocabulary(tfl, "doc_id", vocab_size=FT.DEFAULT_VOCAB)
+    return FT.count_vector_long(tfl, voc).select("doc_id", "term", "index", "tf")
+
+
+@query("minmax_terms_long", sql=f"""
+WITH {_TF_SQL},
+n AS (SELECT count(DISTINCT doc_id) AS n FROM tf),
+st AS (SELECT term, max(tf) AS mx, CASE WHEN count(*) < (SELECT n FROM n) THEN 0 ELSE min(tf) END AS mn
+       FROM tf GROUP BY term)
+SELECT t.doc_id, t.term, t.tf,
+       round(CASE WHEN st.mx = st.mn THEN 0.5 ELSE (t.tf - st.mn) / (st.mx - st.mn) END, 6) AS value
+FROM tf t JOIN st ON t.term = st.term
+""")
+def minmax_terms_long(spark, sf):
+    """Min-max scaled term counts in long form (absent cells stay 0)."""
+    r = FT.minmax_terms_long(_tf_long(spark, sf), "doc_id")
+    return r.select("doc_id", "term", "tf", F.round("value", 6).alias("value"))
+
+
+@query("minmax_scalars", sql="""
+WITH o AS (SELECT o_orderkey AS id, o_totalprice AS score,
+                  CAST(epoch(date_trunc('day', o_orderdate)) AS BIGINT) AS creation_date,
+                  o_custkey AS owner, length(o_orderstatus) AS one FROM orders),
+m AS (SELECT min(score) a1, max(score) b1, min(creation_date) a2, max(creation_date) b2,
+             min(owner) a3, max(owner) b3, min(one) a4, max(one) b4 FROM o)
+SELECT id,
+  round(CASE WHEN b1 = a1 THEN 0.5 ELSE (score - a1) / (b1 - a1) END, 6) AS score_f,
+  round(CASE WHEN b2 = a2 THEN 0.5 ELSE (creation_date - a2) / (b2 - a2) END, 6) AS creation_date_f,
+  round(CASE WHEN b3 = a3 THEN 0.5 ELSE (owner - a3) / (b3 - a3) END, 6) AS owner_f,
+  round(CASE WHEN b4 = a4 THEN 0.5 ELSE (one - a4) / (b4 - a4) END, 6) AS one_f
+FROM o, m
+""")
+def minmax_scalars(spark, sf):
+    """Several scalar columns scaled to [0, 1] with one aggregate job; a
+    constant column gives 0.5."""
+    from quarry.functions.casts import day_to_unix
+    o = TB.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("score"),
+        day_to_unix(F.col("o_orderdate")).alias("creation_date"),
+        F.col("o_custkey").alias("owner"), F.length("o_orderstatus").alias("one"))
+    cols = ["score", "creation_date", "owner", "one"]
+    r = FT.minmax_scalars(o, cols)
+    return r.select("id", *[F.round(c + "_f", 6).alias(c + "_f") for c in cols])
+
+
+@query("hashing_tf")
+def hashing_tf(spark, sf):
+    """Hashed term frequencies (2^18 buckets) in long form (doc, index, tf);
+    no SQL form (murmur3), cross-checked against ML HashingTF in tests."""
+    d = TB.table(spark, sf, "documents")
+    toks = d.select("doc_id", X.remove_stopwords(X.tokenize(F.col("text"))).alias("toks"))
+    return FT.hashing_tf_long(toks, "doc_id", "toks")
+
+
+def features_in(spark, sf):
+    """Feature-stage input built from documents x labels (see README):
+    id, title (first line), body (whole text), creation_date (n_chars),
+    answer_count (line breaks), favorite_count (toxic), score (words),
+    tags (lang|source), reputation (length of source), vote_type_id (lang),
+    label (quality)."""
+    d = TB.table(spark, sf, "documents")
+    lab = TB.table(spark, sf, "labels")
+    j = d.join(lab, "doc_id", "inner")
+    return j.select(
+        F.col("doc_id").cast("int").alias("id"),
+        F.substring_index("text", "\n", 1).alias("title"),
+        F.col("text").alias("body"),
+        F.col("n_chars").alias("creation_date"),
+        (F.length("text") - F.length(F.regexp_replace("text", "\n", ""))).alias("answer_count"),
+        F.col("toxic").alias("favorite_count"),
+        F.size(F.split("text", " ")).alias("score"),
+        F.concat_ws("|", "lang", "source").alias("tags"),
+        F.length("source").alias("reputation"),
+        F.col("lang").alias("vote_type_id"),
+        F.col("quality").alias("label"),
+    )
+
+
+def training_data(spark, sf, variant="count"):
+    prepared = FT.prepare(features_in(spark, sf))
+    model = FT.feature_pipeline(prepared, variant=variant)
+    return FT.training_table(model, prepared)
+
+
+def vector_summary(t, col="features"):
+    """(id, label, width, nnz, total) per row - scalar columns for checking."""
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array(F.col(col))
+    return t.select(
+        "id", "label", F.size(arr).alias("width"),
+        F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
+        F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+@query("feature_pipeline")
+def feature_pipeline(spark, sf):
+    """Fitted 9-block pipeline (count vectors + min-max), summarised per row."""
+    return vector_summary(training_data(spark, sf))
+
+
+@query("assemble_features")
+def assemble_features(spark, sf):
+    """Hashed variant (title/body hashed, no scaling), summarised per row."""
+    return vector_summary(training_data(spark, sf, variant="hash"))
