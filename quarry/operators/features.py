@@ -238,8 +238,13 @@ def training_table(model: PipelineModel, df: DataFrame) -> DataFrame:
 def hashing_tf_long(df: DataFrame, id_col: str, tokens_col: str,
                     num_features: int = DEFAULT_VOCAB) -> DataFrame:
     """Hashed term frequencies as (id, index, tf) without building the
-    ``num_features``-wide vector: ``pmod(hash(term), n)`` is the murmur3
-    (seed 42) bucket ML ``HashingTF`` uses for a string term."""
+    ``num_features``-wide vector.
+
+    ``pmod(hash(term), n)`` is Spark SQL's murmur3 (seed 42), the bucket the
+    Spark 2.x ``HashingTF`` of the reference assigned.  Spark >= 3 ML
+    ``HashingTF`` uses a corrected murmur3 tail and places terms whose UTF-8
+    length is not a multiple of 4 elsewhere (same distribution, other
+    buckets); the vector form of the pipeline uses the ML transformer."""
     idx = F.pmod(F.hash(F.col("term")), F.lit(num_features)).alias("index")
     return (df.select(id_col, F.explode(tokens_col).alias("term"))
             .groupBy(id_col, idx).agg(F.count(F.lit(1)).cast("double").alias("tf")))
