@@ -20,9 +20,10 @@ reaches the driver (as the count-vectorizer model needs it).
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (CountVectorizerModel, HashingTF, MinMaxScaler,
-                                RegexTokenizer, StopWordsRemover, VectorAssembler,
-                                VectorSlicer)
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, HashingTF,
+                                MinMaxScaler, RegexTokenizer, StopWordsRemover,
+                                VectorAssembler, VectorSlicer)
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,15 +120,22 @@ def count_vector_long(tf_long: DataFrame, vocab: DataFrame) -> DataFrame:
     return tf_long.join(v, "term", "inner")
 
 
-def minmax_terms_long(tf_long: DataFrame, id_col: str, n_docs: int | None = None) -> DataFrame:
-    """(id, term, tf, value): per-term min-max scaling of the sparse counts,
-    equal to ML ``MinMaxScaler`` over count vectors (absent cells stay 0)."""
-    if n_docs is None:
-        n_docs = tf_long.select(id_col).distinct().count()
+def term_minmax_stats(tf_long: DataFrame, n_docs: int) -> DataFrame:
+    """term -> (_max, _min, _df) of its count over all ``n_docs`` documents
+    (a document without the term counts 0, so ``_min`` is 0 unless the term
+    is in every document)."""
     stats = tf_long.groupBy("term").agg(F.max("tf").alias("_max"), F.min("tf").alias("_minp"),
                                         F.count(F.lit(1)).alias("_df"))
-    stats = stats.select("term", "_max",
-                         F.when(F.col("_df") < n_docs, F.lit(0)).otherwise(F.col("_minp")).alias("_min"))
+    return stats.select("term", "_max", "_df",
+                        F.when(F.col("_df") < n_docs, F.lit(0)).otherwise(F.col("_minp")).alias("_min"))
+
+
+def minmax_terms_long(tf_long: DataFrame, id_col: str, n_docs: int) -> DataFrame:
+    """(id, term, tf, value): per-term min-max scaling of the sparse counts,
+    equal to ML ``MinMaxScaler`` over count vectors (absent cells stay 0).
+    ``n_docs`` is the number of documents of the corpus, including documents
+    left without any term."""
+    stats = term_minmax_stats(tf_long, n_docs).drop("_df")
     j = tf_long.join(stats, "term", "inner")
     value = F.when(F.col("_max") == F.col("_min"), F.lit(0.5)).otherwise(
         (F.col("tf") - F.col("_min")) / (F.col("_max") - F.col("_min")))
@@ -189,15 +197,49 @@ def _vocab_list(df: DataFrame, col: str, vocab_size: int) -> list[str]:
     return [r["term"] for r in voc.orderBy("index").select("term").collect()]
 
 
+def _scaled_text_block(df: DataFrame, src: str, out: str, vocab_size: int):
+    """Stages producing ``out`` = min-max scaled count vector of ``src``,
+    without a vocabulary-wide dense array per row.
+
+    Terms missing from at least one document have min 0, so their scaled
+    value is tf / max: a count vectorizer followed by an element-wise product
+    keeps the vector sparse.  Terms present in every document (usually none
+    or a handful) get an exact min-max scaler of their own, and the two parts
+    are assembled.  The block holds the same (term, value) cells as ML
+    CountVectorizer + MinMaxScaler; terms of the second kind sit at the end
+    of the block.
+    """
+    n_docs = df.count()
+    tfl = term_counts_long(df.select("id", src), "id", src)
+    voc = vocabulary(tfl, "id", vocab_size)
+    st = voc.join(term_minmax_stats(tfl, n_docs), "term", "inner")
+    # bounded by vocab_size: the vocabulary and one scale factor per term
+    rows = st.orderBy("index").select("term", "_max", "_df").collect()
+    sparse_terms = [r["term"] for r in rows if r["_df"] < n_docs]
+    scale = [1.0 / r["_max"] for r in rows if r["_df"] < n_docs]
+    dense_terms = [r["term"] for r in rows if r["_df"] >= n_docs]
+    stages = [CountVectorizerModel.from_vocabulary(sparse_terms, inputCol=src, outputCol=out + "_cv0"),
+              ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol=out + "_cv0",
+                                 outputCol=out + "_s0" if dense_terms else out)]
+    if dense_terms:
+        stages += [CountVectorizerModel.from_vocabulary(dense_terms, inputCol=src, outputCol=out + "_cv1"),
+                   MinMaxScaler(inputCol=out + "_cv1", outputCol=out + "_s1"),
+                   VectorAssembler(inputCols=[out + "_s0", out + "_s1"], outputCol=out)]
+    return stages
+
+
 def feature_pipeline(df: DataFrame, variant: str = "count", vocab_size: int = DEFAULT_VOCAB,
-                     stopwords=None, fit_df: DataFrame | None = None) -> PipelineModel:
+                     stopwords=None, fit_df: DataFrame | None = None,
+                     text_scaler: str = "sparse") -> PipelineModel:
     """Fit the feature pipeline on ``fit_df`` (default: ``df``) and return the
     fitted model.  ``df``/``fit_df`` are outputs of :func:`prepare`.
 
     variant ``count``: count vectors (deterministic vocabulary) + min-max on
-    title/body; ``hash``: hashed term frequency for title/body, no scaling.
-    Tags and vote types are count vectors in both; the five scalars are
-    min-max scaled by one scaler (one aggregate job) and sliced into blocks.
+    title/body (``text_scaler='sparse'``: exact, sparse-preserving;
+    ``'ml'``: ML MinMaxScaler, dense per row); ``hash``: hashed term
+    frequency for title/body, no scaling.  Tags and vote types are count
+    vectors in both; the five scalars are min-max scaled by one scaler (one
+    aggregate job) and sliced into blocks.
     """
     stops = stopwords if stopwords is not None else default_stopwords()
     fit_src = fit_df if fit_df is not None else df
@@ -207,9 +249,12 @@ def feature_pipeline(df: DataFrame, variant: str = "count", vocab_size: int = DE
     stages = list(tok)
     if variant == "count":
         for src, mid, out in (("filtered1", "title_cv", "title_f"), ("filtered2", "body_cv", "body_f")):
-            stages.append(CountVectorizerModel.from_vocabulary(
-                _vocab_list(tokenized, src, vocab_size), inputCol=src, outputCol=mid))
-            stages.append(MinMaxScaler(inputCol=mid, outputCol=out))
+            if text_scaler == "sparse":
+                stages += _scaled_text_block(tokenized, src, out, vocab_size)
+            else:
+                stages.append(CountVectorizerModel.from_vocabulary(
+                    _vocab_list(tokenized, src, vocab_size), inputCol=src, outputCol=mid))
+                stages.append(MinMaxScaler(inputCol=mid, outputCol=out))
     elif variant == "hash":
         stages += [HashingTF(inputCol="filtered1", outputCol="title_f", numFeatures=vocab_size),
                    HashingTF(inputCol="filtered2", outputCol="body_f", numFeatures=vocab_size)]

@@ -58,7 +58,7 @@ def count_vector_long(spark, sf):
 
 @query("minmax_terms_long", sql=f"""
 WITH {_TF_SQL},
-n AS (SELECT count(DISTINCT doc_id) AS n FROM tf),
+n AS (SELECT count(*) AS n FROM documents),
 st AS (SELECT term, max(tf) AS mx, CASE WHEN count(*) < (SELECT n FROM n) THEN 0 ELSE min(tf) END AS mn
        FROM tf GROUP BY term)
 SELECT t.doc_id, t.term, t.tf,
@@ -67,7 +67,8 @@ FROM tf t JOIN st ON t.term = st.term
 """)
 def minmax_terms_long(spark, sf):
     """Min-max scaled term counts in long form (absent cells stay 0)."""
-    r = FT.minmax_terms_long(_tf_long(spark, sf), "doc_id")
+    n_docs = TB.table(spark, sf, "documents").count()
+    r = FT.minmax_terms_long(_tf_long(spark, sf), "doc_id", n_docs)
     return r.select("doc_id", "term", "tf", F.round("value", 6).alias("value"))
 
 

@@ -31,8 +31,27 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+#: tables whose rows carry whole texts (tokenising them is the CPU-heavy part)
+TEXT_TABLES = frozenset({"documents", "pages", "conversations", "benchmark"})
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the scan has fewer partitions than
+    the cluster has cores (e.g. one large row group).  On a real data set the
+    scan already has thousands of splits and this is a no-op; round robin
+    cannot be skewed by any key."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        df = spread(df)
+    return df
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

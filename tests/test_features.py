@@ -1,3 +1,4 @@
+import pytest
 from pyspark.ml.feature import CountVectorizer, HashingTF, MinMaxScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ def test_long_form_minmax_equals_ml(spark):
             if v != 0.0:
                 ml[(r["doc_id"], ml_vocab[i])] = round(v, 9)
     ours = {(r["doc_id"], r["term"]): round(r["value"], 9)
-            for r in FT.minmax_terms_long(tfl, "doc_id").collect() if r["value"] != 0.0}
+            for r in FT.minmax_terms_long(tfl, "doc_id", docs.count()).collect() if r["value"] != 0.0}
     assert ours == ml
 
 
@@ -72,6 +73,35 @@ def test_hashing_long_equals_ml(spark):
     assert ours == ml_long
 
 
+@pytest.mark.parametrize("with_empty_doc", [False, True])
+def test_sparse_text_scaling_equals_ml(spark, with_empty_doc):
+    """The sparse-preserving title/body blocks hold the same (term, value)
+    cells as ML CountVectorizer + MinMaxScaler: 'red' is in every document
+    (min > 0, exact min-max path) unless an empty document is added."""
+    from pyspark.ml import Pipeline
+    rows = [(1, "red red blue"), (2, "red green"), (3, "red blue blue blue"), (4, "red")]
+    df = spark.createDataFrame(rows, "id int, t string").select(
+        "id", F.split("t", " ").alias("filtered1"))
+    if with_empty_doc:
+        df = df.unionByName(spark.createDataFrame([(5, [])], "id int, filtered1 array<string>"))
+    stages = FT._scaled_text_block(df, "filtered1", "title_f", 1 << 18)
+    model = Pipeline(stages=stages).fit(df)
+    cv0, cv1 = stages[0], (stages[2] if len(stages) > 2 else None)
+    names = list(cv0.vocabulary) + (list(cv1.vocabulary) if cv1 else [])
+    ours = {}
+    for r in model.transform(df).select("id", vector_to_array("title_f").alias("a")).collect():
+        for i, v in enumerate(r["a"]):
+            ours[(r["id"], names[i])] = round(v, 9)
+    cv = CountVectorizer(inputCol="filtered1", outputCol="cv").fit(df)
+    mm = MinMaxScaler(inputCol="cv", outputCol="mm").fit(cv.transform(df))
+    ml = {}
+    for r in mm.transform(cv.transform(df)).select("id", vector_to_array("mm").alias("a")).collect():
+        for i, v in enumerate(r["a"]):
+            ml[(r["id"], cv.vocabulary[i])] = round(v, 9)
+    assert ours == ml
+    assert (cv1 is None) == with_empty_doc
+
+
 def test_pipeline_blocks(spark):
     from quarry.plans.q_features import features_in
     prepared = FT.prepare(features_in(spark, "/root/testdata/sf0.001"))
