@@ -20,10 +20,9 @@ reaches the driver (as the count-vectorizer model needs it).
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, HashingTF,
-                                MinMaxScaler, RegexTokenizer, StopWordsRemover,
-                                VectorAssembler, VectorSlicer)
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import (CountVectorizer, CountVectorizerModel, HashingTF,
+                                MaxAbsScaler, MinMaxScaler, RegexTokenizer, SQLTransformer,
+                                StopWordsRemover, VectorAssembler, VectorSlicer)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,12 +83,11 @@ def rank_global(df: DataFrame, order, limit: int | None = None,
     same partitions (also after an executor loss).
     """
     spark = df.sparkSession
-    from quarry.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    from quarry.session import cut_lineage
     sorted_df = (df.orderBy(*order)
                  .withColumn("_pid", F.spark_partition_id())
                  .withColumn("_mid", F.monotonically_increasing_id()))
-    sorted_df = sorted_df.checkpoint(eager=True)
+    sorted_df = cut_lineage(sorted_df)
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"),
                                            F.min("_mid").alias("first")).collect()
     rows, acc = [], 0
@@ -191,38 +189,47 @@ def _remover(i, o, stopwords):
 
 
 def _vocab_list(df: DataFrame, col: str, vocab_size: int) -> list[str]:
+    """Deterministic vocabulary (top ``vocab_size`` by count, ties by term)."""
     tfl = term_counts_long(df.select("id", col), "id", col)
     voc = vocabulary(tfl, "id", vocab_size)
     # bounded by vocab_size (the model parameter): what CountVectorizer keeps
     return [r["term"] for r in voc.orderBy("index").select("term").collect()]
 
 
+def _sql_str(w: str) -> str:
+    return "'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _scaled_text_block(df: DataFrame, src: str, out: str, vocab_size: int):
-    """Stages producing ``out`` = min-max scaled count vector of ``src``,
-    without a vocabulary-wide dense array per row.
-
-    Terms missing from at least one document have min 0, so their scaled
-    value is tf / max: a count vectorizer followed by an element-wise product
-    keeps the vector sparse.  Terms present in every document (usually none
-    or a handful) get an exact min-max scaler of their own, and the two parts
-    are assembled.  The block holds the same (term, value) cells as ML
-    CountVectorizer + MinMaxScaler; terms of the second kind sit at the end
-    of the block.
+    """Stages producing ``out`` = min-max scaled count vector of ``src``
+    without a vocabulary-wide dense array per row, and without moving the
+    vocabulary through the driver.
+
+    A term missing from at least one document has min 0, so its min-max
+    value is tf / max: ML ``CountVectorizer`` + ``MaxAbsScaler`` (both fitted
+    on the executors; the scaler keeps vectors sparse) give exactly that.
+    Terms present in every document (few: they all occur in the shortest
+    document) are taken out of that vocabulary by a SQL stage and get an
+    exact ML ``MinMaxScaler`` of their own; the two parts are assembled.  The
+    block holds the same (term, value) cells as CountVectorizer +
+    MinMaxScaler; the always-present terms sit at the end of the block.
     """
     n_docs = df.count()
     tfl = term_counts_long(df.select("id", src), "id", src)
-    voc = vocabulary(tfl, "id", vocab_size)
-    st = voc.join(term_minmax_stats(tfl, n_docs), "term", "inner")
-    # bounded by vocab_size: the vocabulary and one scale factor per term
-    rows = st.orderBy("index").select("term", "_max", "_df").collect()
-    sparse_terms = [r["term"] for r in rows if r["_df"] < n_docs]
-    scale = [1.0 / r["_max"] for r in rows if r["_df"] < n_docs]
-    dense_terms = [r["term"] for r in rows if r["_df"] >= n_docs]
-    stages = [CountVectorizerModel.from_vocabulary(sparse_terms, inputCol=src, outputCol=out + "_cv0"),
-              ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol=out + "_cv0",
-                                 outputCol=out + "_s0" if dense_terms else out)]
-    if dense_terms:
-        stages += [CountVectorizerModel.from_vocabulary(dense_terms, inputCol=src, outputCol=out + "_cv1"),
+    ubiq = sorted(r["term"] for r in term_totals(tfl, "id").where(F.col("df") >= n_docs)
+                  .select("term").collect())
+    stages = []
+    main = src
+    if ubiq:
+        main = out + "_tok0"
+        arr = "array(" + ", ".join(_sql_str(w) for w in ubiq) + ")"
+        stages.append(SQLTransformer(
+            statement=f"SELECT *, filter({src}, t -> NOT array_contains({arr}, t)) AS {main} FROM __THIS__"))
+    stages += [CountVectorizer(inputCol=main, outputCol=out + "_cv0",
+                               vocabSize=max(vocab_size - len(ubiq), 1)),
+               MaxAbsScaler(inputCol=out + "_cv0", outputCol=out + "_s0" if ubiq else out)]
+    if ubiq:
+        stages += [CountVectorizerModel.from_vocabulary(ubiq, inputCol=src, outputCol=out + "_cv1"),
                    MinMaxScaler(inputCol=out + "_cv1", outputCol=out + "_s1"),
                    VectorAssembler(inputCols=[out + "_s0", out + "_s1"], outputCol=out)]
     return stages
@@ -234,9 +241,10 @@ def feature_pipeline(df: DataFrame, variant: str = "count", vocab_size: int = DE
     """Fit the feature pipeline on ``fit_df`` (default: ``df``) and return the
     fitted model.  ``df``/``fit_df`` are outputs of :func:`prepare`.
 
-    variant ``count``: count vectors (deterministic vocabulary) + min-max on
-    title/body (``text_scaler='sparse'``: exact, sparse-preserving;
-    ``'ml'``: ML MinMaxScaler, dense per row); ``hash``: hashed term
+    variant ``count``: count vectors + min-max on title/body
+    (``text_scaler='sparse'``: exact and sparse-preserving; ``'ml'``: ML
+    MinMaxScaler over a deterministic vocabulary, dense per row); ``hash``:
+    hashed term
     frequency for title/body, no scaling.  Tags and vote types are count
     vectors in both; the five scalars are min-max scaled by one scaler (one
     aggregate job) and sliced into blocks.
@@ -261,8 +269,7 @@ def feature_pipeline(df: DataFrame, variant: str = "count", vocab_size: int = DE
     else:
         raise ValueError(variant)
     for src, out in (("tags_a", "tags_f"), ("vote_type_id_a", "vote_type_id_f")):
-        stages.append(CountVectorizerModel.from_vocabulary(
-            _vocab_list(tokenized, src, vocab_size), inputCol=src, outputCol=out))
+        stages.append(CountVectorizer(inputCol=src, outputCol=out, vocabSize=vocab_size))
     stages += [
         VectorAssembler(inputCols=SCALARS, outputCol="scalars_v"),
         MinMaxScaler(inputCol="scalars_v", outputCol="scalars_f"),

@@ -19,6 +19,23 @@ def hash_bucket(key: Column, buckets: int = 10) -> Column:
     return (h % buckets).cast("int")
 
 
+def training_frame(df: DataFrame, features: str = "features") -> DataFrame:
+    """Make the (id, label, features) table ready for iterative training.
+
+    * the per-feature ML attribute metadata of the assembled vector (one
+      entry per vocabulary term, megabytes) is dropped - the learner needs
+      only the vector width;
+    * the lineage is cut with a reliable checkpoint into the shared folder
+      named by ``spark.checkpoint.dir``, so each optimizer iteration ships a
+      tiny task instead of the whole feature pipeline (vocabularies
+      included), and a lost executor re-reads the checkpoint instead of
+      recomputing the pipeline.
+    """
+    from quarry.session import cut_lineage
+    cols = [F.col(c).alias(c, metadata={}) if c == features else F.col(c) for c in df.columns]
+    return cut_lineage(df.select(*cols))
+
+
 def split_hash(df: DataFrame, key: str, test_buckets=(9,), buckets: int = 10):
     """(train, test) by a stable hash of ``key`` - reproducible under any
     partitioning and after recomputation (unlike ``randomSplit``)."""

@@ -98,7 +98,7 @@ def _fitted(spark, sf):
     key = (id(spark), sf)
     if key not in _FITTED:
         from quarry.plans.q_features import training_data
-        data = training_data(spark, sf).persist()
+        data = MD.training_frame(training_data(spark, sf))
         train, test = MD.split_random(data, (0.9, 0.1), seed=11)
         model = MD.fit_logreg(train)
         _FITTED[key] = (data, train, test, model)

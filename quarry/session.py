@@ -77,3 +77,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
+
+
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder,
+    computing it once (persisted while the checkpoint files are written).
+    Never a local checkpoint: a lost executor must not lose the data."""
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
