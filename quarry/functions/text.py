@@ -61,3 +61,16 @@ def remove_stopwords(tokens: Column, stopwords=None, case_sensitive: bool = Fals
     if case_sensitive:
         return F.filter(tokens, lambda t: ~t.isin(*words))
     return F.filter(tokens, lambda t: ~F.lower(t).isin(*words))
+
+
+def explode_items(arr: Column) -> Column:
+    """``explode`` that keeps Catalyst from inferring ``size(arr) > 0`` and
+    pushing that copy of the (expensive) array expression below a shuffle
+    onto the scan: ``explode_outer``, callers drop the null row with
+    :func:`present`.  The array is then computed once per row."""
+    return F.explode_outer(arr)
+
+
+def posexplode_items(arr: Column) -> Column:
+    """Positional variant of :func:`explode_items` (``pos`` null = no item)."""
+    return F.posexplode_outer(arr)

@@ -32,6 +32,10 @@ from quarry.operators.joins import broadcast_if_small
 #: CountVectorizer / HashingTF default width
 DEFAULT_VOCAB = 1 << 18
 
+#: a top-k whose candidate rows (partitions x k) stay below this is merged in
+#: one task; larger ones use the distributed global rank
+TOPK_MERGE_ROWS = 2_000_000
+
 #: block order of the assembled feature vector (fixed by the reference)
 BLOCKS = ["title_f", "body_f", "creation_date_f", "answer_count_f", "favorite_count_f",
           "score_f", "tags_f", "reputation_f", "vote_type_id_f"]
@@ -61,7 +65,9 @@ def term_counts_long(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     tokens of a document sit in one input row, so the map-side partial
     aggregation already produces exact counts; the shuffle carries only the
     distinct (doc, term) pairs."""
-    return (df.select(id_col, F.explode(tokens_col).alias("term"))
+    from quarry.functions.text import explode_items
+    return (df.select(id_col, explode_items(F.col(tokens_col)).alias("term"))
+            .where(F.col("term").isNotNull())
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -84,6 +90,13 @@ def rank_global(df: DataFrame, order, limit: int | None = None,
     """
     spark = df.sparkSession
     from quarry.session import cut_lineage
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if limit is not None and limit * max(parts, df.rdd.getNumPartitions()) <= TOPK_MERGE_ROWS:
+        # small top-k: per-partition top-k, merged in one task (at most
+        # partitions x limit rows, checked above), ranked over <= limit rows
+        from pyspark.sql.window import Window
+        top = df.orderBy(*order).limit(limit)
+        return top.withColumn(index_col, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
     sorted_df = (df.orderBy(*order)
                  .withColumn("_pid", F.spark_partition_id())
                  .withColumn("_mid", F.monotonically_increasing_id()))
@@ -298,5 +311,7 @@ def hashing_tf_long(df: DataFrame, id_col: str, tokens_col: str,
     length is not a multiple of 4 elsewhere (same distribution, other
     buckets); the vector form of the pipeline uses the ML transformer."""
     idx = F.pmod(F.hash(F.col("term")), F.lit(num_features)).alias("index")
-    return (df.select(id_col, F.explode(tokens_col).alias("term"))
+    from quarry.functions.text import explode_items
+    return (df.select(id_col, explode_items(F.col(tokens_col)).alias("term"))
+            .where(F.col("term").isNotNull())
             .groupBy(id_col, idx).agg(F.count(F.lit(1)).cast("double").alias("tf")))

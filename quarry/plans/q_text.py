@@ -74,7 +74,8 @@ def tokenize(spark, sf):
     """Whole documents -> (doc_id, pos, token): lower-case, split on non-word
     characters, empty tokens dropped."""
     d = TB.table(spark, sf, "documents")
-    return d.select("doc_id", F.posexplode(X.tokenize(F.col("text"))).alias("pos", "token"))
+    return d.select("doc_id", X.posexplode_items(X.tokenize(F.col("text"))).alias("pos", "token")) \
+        .where(F.col("pos").isNotNull())
 
 
 def _stop_sql(c: str) -> str:
@@ -89,7 +90,7 @@ def stopwords_removed(spark, sf):
     kept); positions renumbered after removal."""
     d = TB.table(spark, sf, "documents")
     toks = X.remove_stopwords(X.tokenize(F.col("text")))
-    return d.select("doc_id", F.posexplode(toks).alias("pos", "token"))
+    return d.select("doc_id", X.posexplode_items(toks).alias("pos", "token")).where(F.col("pos").isNotNull())
 
 
 @query("html_tokens", sql=_exploded_sql(
@@ -99,4 +100,4 @@ def html_tokens(spark, sf):
     """Body path of the feature stage: strip HTML, tokenise, drop stop words."""
     p = TB.table(spark, sf, "pages")
     toks = X.remove_stopwords(X.tokenize(X.strip_html(F.col("html"))))
-    return p.select("page_id", F.posexplode(toks).alias("pos", "token"))
+    return p.select("page_id", X.posexplode_items(toks).alias("pos", "token")).where(F.col("pos").isNotNull())
