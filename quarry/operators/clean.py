@@ -12,9 +12,10 @@ Physical plan (per branch), designed for a skewed vote table:
    or an explicit heavy-hitter split (``skew='split'``) for owners holding a
    large share of the posts.
 3. ``attach_votes``: one shuffle by post id; the distinct of the joined rows
-   and the per-id version count run inside that partitioning (no further
-   exchange), then a hash join with the vote lists (inner; posts without any
-   vote row vanish).
+   and the per-id version count (a window) run inside that partitioning (no
+   further exchange), then a hash join with the vote lists (inner; posts
+   without any vote row vanish).
+4. ``clean`` runs both labelled sets as one plan (tagged and unioned first).
 
 The result equals the reference's join -> distinct -> collect_list -> re-join
 -> distinct form, including the case of several distinct versions of one id
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quarry.functions.casts import day_to_unix
 from quarry.functions.text import pipe_join
@@ -59,15 +61,21 @@ def vote_lists(votes: DataFrame, post_key: str = "post_id",
 
 
 def attach_votes(posts_users: DataFrame, votes: DataFrame, key: str = "id",
-                 post_key: str = "post_id", vote_type: str = "vote_type_id") -> DataFrame:
+                 post_key: str = "post_id", vote_type: str = "vote_type_id",
+                 version_group=None) -> DataFrame:
     """Distinct post rows + ``vote_type_id`` as ``a|b|c`` (posts without votes
-    vanish)."""
+    vanish).
+
+    One shuffle by post id; the distinct and the count of distinct versions
+    per id (window over the same partitioning, no further exchange) run
+    inside it.  ``version_group`` extends the id with columns that separate
+    independent sets (e.g. ``label`` when both labelled sets run together).
+    """
+    group = [key] + list(version_group or [])
     versions = posts_users.repartition(key).distinct()
-    per_id = versions.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
+    versions = versions.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy(*group)))
     vl = vote_lists(votes, post_key, vote_type)
-    j = (versions
-         .join(vl.hint("shuffle_hash"), versions[key] == vl["_pid"], "inner")
-         .join(per_id.hint("shuffle_hash"), key, "inner"))
+    j = versions.join(vl.hint("shuffle_hash"), versions[key] == vl["_pid"], "inner")
     repeated = F.when(F.col("_k") == 1, F.col("_types")).otherwise(
         F.flatten(F.transform("_types", lambda t: F.array_repeat(t, F.col("_k").cast("int")))))
     cols = [c for c in posts_users.columns]
@@ -99,7 +107,20 @@ def clean_branch(posts: DataFrame, users: DataFrame, votes: DataFrame, value: in
 def clean(questions: DataFrame, answered: DataFrame, users: DataFrame, votes: DataFrame,
           skew: str = "aqe") -> DataFrame:
     """Both labelled sets in one frame: label 0 = unanswered questions,
-    label 1 = answered posts (answered rows with an empty title dropped)."""
-    q = clean_branch(questions, users, votes, 0, require_title=False, skew=skew)
-    a = clean_branch(answered, users, votes, 1, require_title=True, skew=skew)
-    return q.unionByName(a)
+    label 1 = answered posts (answered rows with an empty title dropped).
+
+    The two sets run as one plan: they are tagged with their label and
+    unioned first, so the user join, the vote-list aggregation and the
+    shuffle by post id happen once; versions are counted per (id, label),
+    which keeps the two sets independent exactly as two separate runs.
+    """
+    q = questions.withColumn("label", F.lit(0).cast("int"))
+    a = nonempty(answered).withColumn("label", F.lit(1).cast("int"))
+    posts = q.unionByName(a)
+    pu = attach_user(posts, users, skew=skew)
+    out = attach_votes(pu, votes, version_group=["label"])
+    cols = [c for c in out.columns if c not in ("vote_type_id", "label")]
+    out = out.select(*cols, "vote_type_id", "label")
+    if "creation_date" in out.columns:
+        out = out.withColumn("creation_date", day_to_unix(F.col("creation_date")))
+    return out

@@ -61,6 +61,12 @@ def test_titles_per_branch(spark):
     una = {r["title"] for r in both.where("label = 0 AND id IN (1,2,3)").collect()}
     assert ans == {"x"}
     assert una == {"x", "", None}
+    # one plan for both sets, yet versions are counted per set
+    v8 = sorted((r["label"], r["vote_type_id"]) for r in both.where("id = 8").collect())
+    assert v8 == [(0, "2|2|5|5")] * 2 + [(1, "2|2|5|5")] * 2
+    sep = C.clean_branch(posts, users, votes, 0).unionByName(
+        C.clean_branch(posts, users, votes, 1, require_title=True))
+    assert both.exceptAll(sep).count() == 0 and sep.exceptAll(both).count() == 0
 
 
 def test_skew_split_join_equals_plain(spark):
