@@ -84,12 +84,10 @@ def rank_global(df: DataFrame, order, limit: int | None = None,
     single-partition window: range-partitioned global sort, per-partition
     counts (one small row per partition to the driver), then offsets.
 
-    With ``limit`` only rows of rank < limit are kept.  The sorted input is
-    checkpointed to the shared checkpoint folder so that both passes see the
-    same partitions (also after an executor loss).
+    With ``limit`` only rows of rank < limit are kept.
     """
     spark = df.sparkSession
-    from quarry.session import cut_lineage
+    from quarry.session import write_table
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if limit is not None and limit * max(parts, df.rdd.getNumPartitions()) <= TOPK_MERGE_ROWS:
         # small top-k: per-partition top-k, merged in one task (at most
@@ -100,7 +98,8 @@ def rank_global(df: DataFrame, order, limit: int | None = None,
     sorted_df = (df.orderBy(*order)
                  .withColumn("_pid", F.spark_partition_id())
                  .withColumn("_mid", F.monotonically_increasing_id()))
-    sorted_df = cut_lineage(sorted_df)
+    # contiguous ranges stay in order when AQE coalesces the sorted partitions
+    sorted_df = write_table(sorted_df, "rank")
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"),
                                            F.min("_mid").alias("first")).collect()
     rows, acc = [], 0

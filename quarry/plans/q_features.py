@@ -53,8 +53,8 @@ def count_vector_long(spark, sf):
     """Count vectors unfolded to (doc, term, index, tf), default width 2^18.
     The long form feeds two jobs (vocabulary, join), so it is written once to
     the checkpoint folder instead of tokenising the corpus twice."""
-    from quarry.session import cut_lineage
-    tfl = cut_lineage(_tf_long(spark, sf))
+    from quarry.session import write_table
+    tfl = write_table(_tf_long(spark, sf), "tf_long")
     voc = FT.vocabulary(tfl, "doc_id", vocab_size=FT.DEFAULT_VOCAB)
     return FT.count_vector_long(tfl, voc).select("doc_id", "term", "index", "tf")
 

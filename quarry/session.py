@@ -90,3 +90,14 @@ def cut_lineage(df):
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+def write_table(df, name: str = "t"):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back (one computation; AQE coalesces the write;
+    survives executor loss).  Used for long-form intermediates."""
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
