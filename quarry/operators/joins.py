@@ -1,9 +1,9 @@
 """Join helpers: broadcast only behind a size check, split hot keys.
 
-``broadcast_if_small`` broadcasts the small side only when its size is proven
-below a bound (Catalyst's size estimate of the *optimized* plan when it is
-exact enough, else a row-count bound measured with one aggregate job).  Above
-the bound it leaves the choice to the planner (sort-merge join with AQE skew
+``broadcast_if_small`` broadcasts the small side only when its size is shown
+to be below a bound: exactly from the row count when every column has a
+fixed width, else Catalyst's estimate times a safety factor.  Above the
+bound it leaves the choice to the planner (sort-merge join with AQE skew
 splitting).
 
 ``hot_key_split_join`` handles the case where a single key holds a large
@@ -31,10 +31,33 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+#: estimates come from compressed file sizes; decoded rows are larger
+ESTIMATE_SAFETY = 3
+
+_FIXED = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date",
+          "timestamp", "timestamp_ntz")
+
+
+def proven_bytes(df: DataFrame) -> int | None:
+    """Exact upper bound of the broadcast size when every column has a fixed
+    width: rows x (8-byte null bitset + 8 bytes per field), doubled for the
+    hash relation.  One count job (Parquet answers it from metadata when no
+    filter applies).  None when a column has variable width."""
+    if not all(f.dataType.simpleString() in _FIXED for f in df.schema):
+        return None
+    width = 8 * ((len(df.columns) + 63) // 64) + 8 * len(df.columns)
+    return 2 * width * df.count()
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Wrap ``df`` in a broadcast hint only when its estimated size is proven
-    below ``max_bytes``; otherwise return it unchanged."""
-    size = estimated_bytes(df)
+    """Wrap ``df`` in a broadcast hint only when its size is shown to be
+    below ``max_bytes``: exactly for fixed-width rows (row count), else from
+    Catalyst's estimate with a safety factor.  Otherwise return it unchanged
+    (sort-merge join, AQE may still switch at runtime on measured sizes)."""
+    size = proven_bytes(df)
+    if size is None:
+        est = estimated_bytes(df)
+        size = None if est is None else est * ESTIMATE_SAFETY
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df

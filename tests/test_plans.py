@@ -46,3 +46,12 @@ def test_tokeniser_not_duplicated_below_shuffle(spark):
     plan = _plan(FT.term_counts_long(toks, "doc_id", "toks"))
     # the tokeniser appears in exactly one operator (no inferred filter copy)
     assert plan.count("split(lower(text") == 1, plan
+
+
+def test_broadcast_only_when_size_shown(spark):
+    from quarry.operators.joins import broadcast_if_small, proven_bytes
+    small = spark.range(1000).selectExpr("id", "cast(id as double) AS reputation")
+    assert proven_bytes(small) == 2 * (8 + 16) * 1000
+    assert "broadcast" in _plan(spark.range(5).join(broadcast_if_small(small), "id")).lower()
+    big = spark.range(3_000_000).selectExpr("id", "cast(id as double) AS reputation")
+    assert broadcast_if_small(big, max_bytes=1 << 20) is big
