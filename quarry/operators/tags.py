@@ -159,20 +159,27 @@ def segment_distributed(df: DataFrame, tags: DataFrame, col: str = "tags",
     return res
 
 
+#: dictionaries up to this many tags may use the nested-loop theta join
+THETA_MAX_TAGS = 256
+
+
 def prefix_matches(df: DataFrame, tags: DataFrame, col: str = "tags",
                    max_chars: int = MAX_DICTIONARY_CHARS) -> DataFrame:
     """(row, tag_name) for every dictionary tag that ``col`` starts with.
 
-    A theta join (``startswith``) against the broadcast dictionary, whose
-    size is checked first; above the bound it becomes an equi-join of the
-    string's prefixes with the dictionary.
+    A tiny dictionary (<= THETA_MAX_TAGS tags, checked) is broadcast into a
+    ``startswith`` theta join.  Otherwise every prefix of the string up to
+    the longest tag is equi-joined with the dictionary: rows x (longest tag)
+    hash lookups instead of rows x (dictionary size) comparisons; the
+    dictionary side is broadcast only when its size is shown to be small.
     """
+    from quarry.operators.joins import broadcast_if_small
     d = tag_dictionary(tags)
-    stats = d.agg(F.sum(F.length("tag_name")).alias("chars"),
-                  F.max(F.length("tag_name")).alias("max_len")).first()
-    if (stats["chars"] or 0) <= max_chars:
+    stats = d.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("tag_name")).alias("max_len")).first()
+    if (stats["n"] or 0) <= THETA_MAX_TAGS:
         return df.join(F.broadcast(d), F.col(col).startswith(F.col("tag_name")), "inner")
-    pre = df.withColumn("_l", F.explode(F.sequence(F.lit(1), F.least(F.length(col),
-                                                                      F.lit(stats["max_len"])))))
-    pre = pre.withColumn("_pre", F.substring(col, 1, F.col("_l")))
-    return pre.join(d, pre["_pre"] == d["tag_name"], "inner").drop("_l", "_pre")
+    from quarry.functions.text import explode_items
+    pre = df.withColumn("_l", explode_items(F.sequence(F.lit(1), F.least(F.length(col),
+                                                                          F.lit(stats["max_len"])))))
+    pre = pre.where(F.col("_l").isNotNull()).withColumn("_pre", F.substring(col, 1, F.col("_l")))
+    return pre.join(broadcast_if_small(d), pre["_pre"] == d["tag_name"], "inner").drop("_l", "_pre")

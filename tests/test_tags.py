@@ -87,3 +87,17 @@ def test_random_dictionaries_match_brute_force(spark, seed):
     expected = [brute_force(s, words) for s in strings]
     assert _run(spark, strings, words) == expected
     assert _run(spark, strings, words, distributed=True) == expected
+
+
+def test_prefix_matches_both_forms(spark):
+    df = spark.createDataFrame([(1, "javascriptjquery"), (2, "c#x"), (3, "")], "id int, tags string")
+    words = ["javascript", "java", "j", "c", "c#", "jquery"]
+    tags = spark.createDataFrame([(w,) for w in words], "tag_name string")
+    want = sorted([(1, "javascript"), (1, "java"), (1, "j"), (2, "c"), (2, "c#")])
+    theta = sorted((r["id"], r["tag_name"]) for r in TG.prefix_matches(df, tags).collect())
+    old, TG.THETA_MAX_TAGS = TG.THETA_MAX_TAGS, 0
+    try:
+        equi = sorted((r["id"], r["tag_name"]) for r in TG.prefix_matches(df, tags).collect())
+    finally:
+        TG.THETA_MAX_TAGS = old
+    assert theta == want and equi == want
