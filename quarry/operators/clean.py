@@ -11,10 +11,10 @@ Physical plan (per branch), designed for a skewed vote table:
    size is proven small; otherwise a sort-merge join with AQE skew splitting,
    or an explicit heavy-hitter split (``skew='split'``) for owners holding a
    large share of the posts.
-3. ``attach_votes``: one shuffle by post id; the distinct of the joined rows
-   and the per-id version count (a window) run inside that partitioning (no
-   further exchange), then a hash join with the vote lists (inner; posts
-   without any vote row vanish).
+3. ``attach_votes``: distinct of the joined rows with map-side partial
+   aggregation (copies of one row collapse before the shuffle), a join with
+   the vote lists by post id (inner; posts without any vote row vanish), and
+   the per-id version count as a window over that id clustering.
 4. ``clean`` runs both labelled sets as one plan (tagged and unioned first).
 
 The result equals the reference's join -> distinct -> collect_list -> re-join
@@ -66,16 +66,21 @@ def attach_votes(posts_users: DataFrame, votes: DataFrame, key: str = "id",
     """Distinct post rows + ``vote_type_id`` as ``a|b|c`` (posts without votes
     vanish).
 
-    One shuffle by post id; the distinct and the count of distinct versions
-    per id (window over the same partitioning, no further exchange) run
-    inside it.  ``version_group`` extends the id with columns that separate
+    The distinct is partially aggregated map-side (exact copies collapse
+    before any shuffle); the join with the vote lists clusters the rows by
+    post id, and the count of distinct versions per id is a window over that
+    clustering (no further exchange).  ``version_group`` extends the id with columns that separate
     independent sets (e.g. ``label`` when both labelled sets run together).
     """
     group = [key] + list(version_group or [])
-    versions = posts_users.repartition(key).distinct()
-    versions = versions.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy(*group)))
+    # plain distinct: map-side partial aggregation collapses exact copies
+    # before the shuffle, so a row copied a third of all times reaches its
+    # reducer at most once per map task
+    versions = posts_users.distinct()
     vl = vote_lists(votes, post_key, vote_type)
-    j = versions.join(vl.hint("shuffle_hash"), versions[key] == vl["_pid"], "inner")
+    j = versions.join(vl, versions[key] == vl["_pid"], "inner")
+    # the join output is clustered by id: the version count needs no exchange
+    j = j.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy(*group)))
     repeated = F.when(F.col("_k") == 1, F.col("_types")).otherwise(
         F.flatten(F.transform("_types", lambda t: F.array_repeat(t, F.col("_k").cast("int")))))
     cols = [c for c in posts_users.columns]
