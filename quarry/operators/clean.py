@@ -38,16 +38,24 @@ def dedupe(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def attach_user(posts: DataFrame, users: DataFrame, skew: str = "aqe",
+def attach_user(posts: DataFrame, users: DataFrame, skew: str = "auto",
                 user_key: str = "id", reputation: str = "reputation",
                 owner: str = "owner_user_id") -> DataFrame:
-    """posts + the owner's ``reputation`` (inner join on owner id)."""
+    """posts + the owner's ``reputation`` (inner join on owner id).
+
+    skew ``auto``: broadcast the users when their size is shown to be small,
+    else split hot owners out (``hot_key_split_join``); ``split``: always
+    split; ``aqe``: broadcast when small, else leave skew to AQE.
+    """
     u = users.select(F.col(user_key).alias("_uid"), F.col(reputation).alias("reputation"))
     if skew == "split":
         j = hot_key_split_join(posts, u, owner, "_uid")
     else:
-        u = broadcast_if_small(u)
-        j = posts.join(u, posts[owner] == u["_uid"], "inner")
+        ub = broadcast_if_small(u)
+        if ub is u and skew == "auto":
+            j = hot_key_split_join(posts, u, owner, "_uid")
+        else:
+            j = posts.join(ub, posts[owner] == ub["_uid"], "inner")
     return j.drop("_uid")
 
 
@@ -101,7 +109,7 @@ def nonempty(df: DataFrame, col: str = "title") -> DataFrame:
 
 
 def clean_branch(posts: DataFrame, users: DataFrame, votes: DataFrame, value: int,
-                 require_title: bool = False, skew: str = "aqe") -> DataFrame:
+                 require_title: bool = False, skew: str = "auto") -> DataFrame:
     if require_title:
         # a Column predicate: Catalyst pushes it below both joins to the scan
         posts = nonempty(posts)
@@ -110,7 +118,7 @@ def clean_branch(posts: DataFrame, users: DataFrame, votes: DataFrame, value: in
 
 
 def clean(questions: DataFrame, answered: DataFrame, users: DataFrame, votes: DataFrame,
-          skew: str = "aqe") -> DataFrame:
+          skew: str = "auto") -> DataFrame:
     """Both labelled sets in one frame: label 0 = unanswered questions,
     label 1 = answered posts (answered rows with an empty title dropped).
 

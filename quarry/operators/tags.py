@@ -151,6 +151,10 @@ def segment_distributed(df: DataFrame, tags: DataFrame, col: str = "tags",
         seg = seg.select("_s", F.col("_arr_fwd").alias("_arr"))
     val = F.col("_arr") if as_array else pipe_join(F.col("_arr"))
     seg = seg.select("_s", val.alias(out))
+    # one row per distinct tag string; broadcast when shown small, else a
+    # shuffle join (a hot tag string is split by AQE's skew handling)
+    from quarry.operators.joins import broadcast_if_small
+    seg = broadcast_if_small(seg)
     res = df.join(seg, df[col] == seg["_s"], "left").drop("_s")
     if on_fail == "drop":
         return res.where(F.col(out).isNotNull())

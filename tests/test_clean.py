@@ -85,3 +85,15 @@ def test_deterministic_across_partitions(spark):
         results.append(sorted(map(tuple, q(spark, "/root/testdata/sf0.001").collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_auto_skew_split_when_users_not_broadcast(spark, monkeypatch):
+    from quarry.operators import clean as CL
+    posts, users, votes = _frames(spark)
+    # force "not small": auto mode must take the hot-key split path
+    monkeypatch.setattr(CL, "broadcast_if_small", lambda df, *a, **k: df)
+    a = CL.clean_branch(posts, users, votes, 0, skew="auto")
+    b = _naive(posts, users, votes, 0)
+    cols = sorted(a.columns)
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+    assert b.select(cols).exceptAll(a.select(cols)).count() == 0
