@@ -1,16 +1,16 @@
 """Step 1 - clean: dedupe, attach the owner's reputation and the post's vote
 types, label, and bring the answered and unanswered sets together.
 
-Physical plan (per branch), designed for a skewed vote table:
+Physical plan, designed for skewed votes, owners and duplicated rows:
 
 1. ``vote_lists``: votes -> one row per post with the sorted distinct vote
    types.  ``collect_set`` is partially aggregated map-side, so a post holding
    a third of all votes ships at most (#vote types) values per map task.
 2. ``attach_user``: posts x users on the owner key (inner; posts with an
    unknown or null owner vanish).  The users side is broadcast only when its
-   size is proven small; otherwise a sort-merge join with AQE skew splitting,
-   or an explicit heavy-hitter split (``skew='split'``) for owners holding a
-   large share of the posts.
+   size is proven small; otherwise (default ``skew='auto'``) owners holding
+   a large share of the posts are split out and served by a broadcast of
+   their few user rows, the rest is a shuffle join.
 3. ``attach_votes``: distinct of the joined rows with map-side partial
    aggregation (copies of one row collapse before the shuffle), a join with
    the vote lists by post id (inner; posts without any vote row vanish), and
@@ -77,7 +77,8 @@ def attach_votes(posts_users: DataFrame, votes: DataFrame, key: str = "id",
     The distinct is partially aggregated map-side (exact copies collapse
     before any shuffle); the join with the vote lists clusters the rows by
     post id, and the count of distinct versions per id is a window over that
-    clustering (no further exchange).  ``version_group`` extends the id with columns that separate
+    clustering (no further exchange).  ``version_group`` extends the id with
+    columns that separate
     independent sets (e.g. ``label`` when both labelled sets run together).
     """
     group = [key] + list(version_group or [])
