@@ -78,8 +78,8 @@ def attach_votes(posts_users: DataFrame, votes: DataFrame, key: str = "id",
     before any shuffle); the join with the vote lists clusters the rows by
     post id, and the count of distinct versions per id is a window over that
     clustering (no further exchange).  ``version_group`` extends the id with
-    columns that separate
-    independent sets (e.g. ``label`` when both labelled sets run together).
+    columns that separate independent sets (e.g. ``label`` when both
+    labelled sets run together).
     """
     group = [key] + list(version_group or [])
     # plain distinct: map-side partial aggregation collapses exact copies
