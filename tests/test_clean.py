@@ -97,3 +97,25 @@ def test_auto_skew_split_when_users_not_broadcast(spark, monkeypatch):
     cols = sorted(a.columns)
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
     assert b.select(cols).exceptAll(a.select(cols)).count() == 0
+
+
+def test_skewed_inputs_match_reference_form(spark):
+    from quarry.operators.joins import hot_keys
+    n = 3000
+    # owner 1 holds a third of the posts; post 0 is copied n/3 times
+    posts = spark.range(n).selectExpr(
+        "CAST(CASE WHEN id < 1000 THEN 0 ELSE id END AS INT) AS id",
+        "'t' AS title", "'2018-09-04' AS creation_date",
+        "CAST(CASE WHEN id % 3 = 0 THEN 1 ELSE id % 50 + 2 END AS INT) AS owner_user_id")
+    users = spark.range(60).selectExpr("CAST(id AS INT) AS id", "CAST(id * 10 AS INT) AS reputation")
+    # post 0 holds a third of the votes
+    votes = spark.range(3 * n).selectExpr(
+        "CAST(CASE WHEN id % 3 = 0 THEN 0 ELSE id % 2000 + 1000 END AS INT) AS post_id",
+        "CAST(id % 4 AS INT) AS vote_type_id")
+    assert [r[0] for r in hot_keys(posts, "owner_user_id", 0.2).collect()] == [1]
+    for skew in ("split", "aqe"):
+        ours = C.clean_branch(posts, users, votes, 1, skew=skew)
+        ref = _naive(posts, users, votes, 1)
+        cols = sorted(ours.columns)
+        assert ours.select(cols).exceptAll(ref.select(cols)).count() == 0
+        assert ref.select(cols).exceptAll(ours.select(cols)).count() == 0
