@@ -19,7 +19,7 @@ _TOKENS_SQL = "list_filter(string_split_regex(lower({c}), '\\W'), lambda x: len(
 
 def _exploded_sql(src: str, id_col: str, list_expr: str) -> str:
     return f"""
-SELECT {id_col}, pos - 1 AS pos, token FROM (
+SELECT {id_col}, CAST(pos - 1 AS INTEGER) AS pos, token FROM (
   SELECT {id_col}, unnest(toks) AS token, unnest(generate_series(1, len(toks))) AS pos
   FROM (SELECT {id_col}, {list_expr} AS toks FROM {src}))
 """
@@ -43,7 +43,7 @@ _SPLIT_SRC = """(
 
 
 @query("split_pipe", sql=f"""
-SELECT doc_id, variant, len(arr) AS n_items, array_to_string(arr, ',') AS items FROM (
+SELECT doc_id, variant, CAST(len(arr) AS INTEGER) AS n_items, array_to_string(arr, ',') AS items FROM (
   SELECT doc_id, variant,
          CASE WHEN regexp_full_match(s, '\\|+') THEN []::VARCHAR[]
               ELSE string_split(rtrim(s, '|'), '|') END AS arr
