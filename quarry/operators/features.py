@@ -146,7 +146,10 @@ def minmax_terms_long(tf_long: DataFrame, id_col: str, n_docs: int) -> DataFrame
     ``n_docs`` is the number of documents of the corpus, including documents
     left without any term."""
     stats = term_minmax_stats(tf_long, n_docs).drop("_df")
-    j = tf_long.join(stats, "term", "inner")
+    # one row per term: broadcast when shown small (no shuffle of the long
+    # form, so a term found in most documents is no hot partition); else a
+    # shuffle join whose hot terms AQE splits
+    j = tf_long.join(broadcast_if_small(stats), "term", "inner")
     value = F.when(F.col("_max") == F.col("_min"), F.lit(0.5)).otherwise(
         (F.col("tf") - F.col("_min")) / (F.col("_max") - F.col("_min")))
     return j.select(id_col, "term", "tf", value.alias("value"))
