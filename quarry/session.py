@@ -100,4 +100,18 @@ def write_table(df, name: str = "t"):
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: reading it back starts no job
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop_table(*tables) -> None:
+    """Delete the files behind tables that ``write_table`` returned and that
+    no plan still to be run reads."""
+    for df in tables:
+        path = getattr(df, "scratch_path", None)
+        if path:
+            spark = df.sparkSession
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
