@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import minhash
+from quarry.llm import minhash, quality
 from quarry.llm.graph import read_table
 
 QUERIES = {}
@@ -37,10 +37,10 @@ s AS (
   FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 l AS (
-  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
                     FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY ALL)
   JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
-  WHERE 100 * both >= 80 * (na.n + nb.n - both)),
+  WHERE 100 * shared >= 80 * (na.n + nb.n - shared)),
 r(doc_id, other) AS (
   SELECT a, b FROM l UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a),
 c AS (SELECT doc_id, least(doc_id, min(other)) AS component_id FROM r GROUP BY doc_id)
@@ -49,3 +49,11 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
        d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
+
+
+@_query
+def op9_quality_gam(spark, sf_dir):
+    """Quality score of every document by the additive model."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, model)

@@ -70,9 +70,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def buffers(raw: np.ndarray, offsets: np.ndarray, size: int | None = None):
+def buffers(raw: np.ndarray, offsets: np.ndarray, size: int | None = None, gap: np.ndarray = SPACE):
     """Ranges of ``raw`` of about ``size`` bytes that end at a text's end or
-    at white space, so that no word is cut."""
+    at a byte in ``gap``, so that no word is cut."""
     size = size or BUFFER_BYTES
     start, total = 0, len(raw)
     while start < total:
@@ -81,20 +81,21 @@ def buffers(raw: np.ndarray, offsets: np.ndarray, size: int | None = None):
             k = np.searchsorted(offsets, end, side="right") - 1
             if offsets[k] > start:
                 end = int(offsets[k])
-            else:  # one long text: cut before the next white space
-                while end < total and not SPACE[raw[end]] and end < offsets[k + 1]:
+            else:  # one long text: cut before the next gap
+                while end < total and not gap[raw[end]] and end < offsets[k + 1]:
                     end += 1
         yield start, end
         start = end
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(raw: np.ndarray, offsets: np.ndarray,
+          gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, number of the text it is in), in reading order.
-    Words are runs without ASCII white space, A-Z lower-cased."""
+    Words are runs without a byte in ``gap``, A-Z lower-cased."""
     hashes, texts = [], []
-    for start, end in buffers(raw, offsets):
+    for start, end in buffers(raw, offsets, gap=gap):
         part = raw[start:end]
-        solid = ~SPACE[part]
+        solid = ~gap[part]
         edge = np.zeros(len(part) + 1, dtype=bool)
         inner = offsets[(offsets > start) & (offsets < end)] - start
         edge[inner] = True
