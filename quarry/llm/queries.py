@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import minhash, quality
+from quarry.llm import minhash, packing, pii, quality
 from quarry.llm.graph import read_table
 
 QUERIES = {}
@@ -57,3 +57,16 @@ def op9_quality_gam(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
     return quality.score(docs, model)
+
+
+@_query
+def op2_pii_skip_chain(spark, sf_dir):
+    """Personal data of every document: base patterns and the field's spans."""
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.learn(docs))
+
+
+@_query
+def op8_conflict_best_fit(spark, sf_dir):
+    """All documents packed into bins of 1,024 words."""
+    return packing.pack(read_table(spark, sf_dir, "documents"))
