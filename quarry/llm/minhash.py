@@ -9,11 +9,12 @@ share of equal coordinates is concentrated about the Jaccard similarity.
 
 Documents with equal sets are one class.  The sketch is cut into ``bands``
 of ``rows`` coordinates; classes that agree on a band share a bucket.  Links
-between classes are confirmed on their full sets.  A bucket's pairs are not
-all written out: each member is compared with a hub, components of the
-confirmed links are formed, another hub is drawn for buckets that still hold
-several components, and what then still differs is compared pair by pair,
-so that only pairs whose ends are not yet known to belong together are left.
+between classes are confirmed on their full sets.  A bucket's pairs are
+never written out: each member is compared with one hub, components of the
+confirmed links are formed, and only buckets that still hold several
+components are compared whole, in tiles of a bounded number of sets: a task
+counts a tile's intersections as a matrix product and returns a spanning
+forest of the links it found.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from quarry.session import drop_table, write_table
 
 #: 32 bands of 5: a pair at 0.8 is missed with probability 3e-6
 BANDS, ROWS = 32, 5
-#: hubs drawn per bucket before the rest is compared pair by pair
-HUB_ROUNDS = 2
+#: sets, and shingles in them, on either side of a tile (about: they are dealt by hash)
+TILE_SETS, TILE_SHINGLES = 512, 400_000
 
 
 def sketch(hashes: np.ndarray, owner: np.ndarray, n_texts: int, t: int) -> np.ndarray:
@@ -125,6 +126,67 @@ def _overlap_task(num, den):
     return run
 
 
+def forest(linked: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the graph ``linked`` (a boolean matrix)
+    between nodes of which those of one label are known to be connected."""
+    n = len(linked)
+    first = {}
+    up = [first.setdefault(c, i) for i, c in enumerate(label.tolist())]
+
+    def root(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    out = []
+    roots = np.array([root(i) for i in range(n)])
+    for i in range(n):
+        for k in np.flatnonzero(linked[i] & (roots != roots[i])):
+            a, b = root(i), root(int(k))
+            if a != b:
+                up[max(a, b)] = min(a, b)
+                out.append((i, int(k)))
+    return out
+
+
+def overlaps(sets: list[np.ndarray], block: int = 4096) -> np.ndarray:
+    """Matrix of intersection sizes of sorted uint64 sets: a product of 0/1
+    matrices over the shingles that two sets share, a block of them at a time."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    values, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), sizes)
+    keep = count[at] > 1
+    number = np.cumsum(count > 1) - 1
+    row, col = row[keep], number[at[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((n, n), dtype=np.float32)
+    for start in range(0, int((count > 1).sum()), block):
+        lo, hi = np.searchsorted(col, (start, start + block))
+        m = np.zeros((n, block), dtype=np.float32)
+        m[row[lo:hi], col[lo:hi] - start] = 1
+        out += m @ m.T
+    np.fill_diagonal(out, sizes)
+    return out
+
+
+def _tile_task(num, den):
+    def run(table: pa.Table) -> pa.Table:
+        # a repeated id (rows that share it) keeps each of its sets
+        ids = table.column("id").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
+        both = overlaps(sets).astype(np.int64)
+        sizes = both.diagonal()
+        linked = den * both >= num * (sizes[:, None] + sizes[None, :] - both)
+        found = forest(linked, table.column("c").to_numpy())
+        a = np.array([min(ids[i], ids[k]) for i, k in found], dtype=np.int64)
+        b = np.array([max(ids[i], ids[k]) for i, k in found], dtype=np.int64)
+        return pa.table({"a": a, "b": b})
+    return run
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose sets have ``den * intersection >= num * union``."""
     pairs = write_table(pairs, "pairs")
@@ -160,14 +222,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                           .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     # class representatives: singletons are recognised without a join on the hot classes
     reps = (linkable.join(classes.where("copies > 1").drop("copies"), ["n_shingles", "d1", "d2"], "left")
-            .where("rep IS NULL OR rep = id").select("id", "bands"))
-    buckets = write_table(reps.select("id", F.explode("bands").alias("bucket")), "buckets")
+            .where("rep IS NULL OR rep = id").select("id", F.col("n_shingles").alias("size"), "bands"))
+    buckets = write_table(reps.select("id", "size", F.explode("bands").alias("bucket")), "buckets")
     shared = write_table(buckets.groupBy("bucket")
                          .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub"),
                               F.max("id").alias("last"))
                          .where("hub <> last").select("bucket", "n", "hub"), "shared")
     members = write_table(buckets.join(broadcast_if_small(shared), "bucket")
-                          .select("bucket", "id", "n", "hub"), "members")
+                          .select("bucket", "id", "size", "n", "hub"), "members")
     drop_table(buckets, shared)
     wanted = write_table(members.select("id").distinct(), "wanted")
     sets = write_table(src.join(broadcast_if_small(wanted), "id", "left_semi")
@@ -176,34 +238,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sets = write_table(sets.distinct(), "sets")
     links = _confirm(members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
                      .distinct(), sets, num, den)
-    # buckets of two are settled by their hub
-    rest = members.where("n > 2").select("bucket", "id")
-    for k in range(1, HUB_ROUNDS + 1):
-        comp = connected_components(links).withColumnRenamed("node", "id")
-        tagged = write_table(rest.join(comp, "id", "left")
-                             .select("bucket", "id", F.coalesce("component", "id").alias("c")), "tagged")
-        order = F.struct(F.xxhash64("id", F.lit(k)).alias("o"), "id", "c")
-        open_ = write_table(tagged.groupBy("bucket")
-                            .agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min(order).alias("h"))
-                            .where("c0 <> c1")
-                            .select("bucket", F.col("h.id").alias("hub"), F.col("h.c").alias("hc")), "open")
-        tagged = write_table(tagged.join(broadcast_if_small(open_), "bucket"), "tagged")
-        rest = tagged.select("bucket", "id")
-        if k < HUB_ROUNDS:
-            pairs = tagged.where("c <> hc").select(F.least("id", "hub").alias("a"),
-                                                   F.greatest("id", "hub").alias("b")).distinct()
-        else:
-            # the rest, pair by pair: members outside their bucket's largest component
-            # against the members of other components
-            sizes = tagged.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("m"))
-            main = write_table(sizes.groupBy("bucket")
-                               .agg(F.max(F.struct("m", F.col("c"))).alias("x"))
-                               .select("bucket", F.col("x.c").alias("main")), "main")
-            few = write_table(tagged.join(broadcast_if_small(main), "bucket").where("c <> main")
-                              .select("bucket", F.col("id").alias("x"), F.col("c").alias("cx")), "few")
-            pairs = (tagged.select("bucket", "id", "c").join(few, "bucket").where("c <> cx")
-                     .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct())
-        links = write_table(links.unionByName(_confirm(pairs, sets, num, den)), "links")
+    # buckets of two are settled by their hub; of the others, those in one component are, too
+    first = connected_components(links).withColumnRenamed("node", "id")
+    tagged = write_table(members.where("n > 2").join(first, "id", "left")
+                         .select("bucket", "id", "size", F.coalesce("component", "id").alias("c")), "tagged")
+    open_ = (tagged.groupBy("bucket")
+             .agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("n"),
+                  F.sum("size").alias("total"), F.bit_xor(F.xxhash64("id")).alias("x1"),
+                  F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x2")).where("c0 <> c1")
+             # bands often hold the same members: one of them is enough
+             .groupBy("n", "x1", "x2").agg(F.min("bucket").alias("bucket"), F.max("total").alias("total"))
+             .select("bucket", F.greatest(F.ceil(F.col("n") / TILE_SETS),
+                                          F.ceil(F.col("total") / TILE_SHINGLES)).alias("k")))
+    open_ = write_table(open_, "open")
+    mine = F.pmod(F.xxhash64("id", F.lit(7)), F.col("k"))
+    tiles = write_table(
+        tagged.join(broadcast_if_small(open_), "bucket").withColumn("mine", mine)
+        .select("bucket", "id", "c", "mine", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+        .select("bucket", "id", "c", F.least("mine", "other").alias("i"),
+                F.greatest("mine", "other").alias("j")), "tiles")
+    found = write_table(tiles.join(sets, "id").groupBy("bucket", "i", "j")
+                        .applyInArrow(_tile_task(num, den), "a bigint, b bigint"), "links")
+    links = write_table(links.unionByName(found).distinct(), "links")
+    drop_table(tagged, open_, tiles, found, first)
     comp = connected_components(links).select(F.col("node").alias("rep"), "component")
     final = write_table(classes.join(comp, "rep", "left")
                         .select("n_shingles", "d1", "d2", "rep", "component")
