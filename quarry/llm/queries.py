@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import minhash, packing, pii, quality
+from quarry.llm import decontaminate, embedding, minhash, packing, pii, quality, urls
 from quarry.llm.graph import read_table
 
 QUERIES = {}
@@ -70,3 +70,84 @@ def op2_pii_skip_chain(spark, sf_dir):
 def op8_conflict_best_fit(spark, sf_dir):
     """All documents packed into bins of 1,024 words."""
     return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_collision_counting(spark, sf_dir):
+    """Near-duplicate vectors: cosine 0.9 or more."""
+    return embedding.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op4_host_reputation(spark, sf_dir):
+    """Every page's url judged by rules and host reputation."""
+    return urls.judge(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+
+
+@_query
+def op10_positional_index(spark, sf_dir):
+    """Benchmark windows of 10 words in all documents."""
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"),
+                                       read_table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op1_collision_counting"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
+    AND len(list_filter(embedding, lambda x: x IS NULL)) = 0
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r(vec_id, other) AS (SELECT a, b FROM l UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.other = l.a),
+c AS (SELECT vec_id, least(vec_id, min(other)) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, coalesce(c.component_id, e.vec_id) AS component_id,
+       e.vec_id = coalesce(c.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+ORACLE_SQL["op4_host_reputation"] = r"""
+WITH p AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+known AS (
+  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
+  WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
+h0 AS (SELECT host, count(*) AS n, sum(bad) AS bad, regexp_replace(host, ':[0-9]*$', '') AS name
+       FROM p JOIN known ON page_id = doc_id GROUP BY host),
+h AS (SELECT host, n, bad, CASE WHEN regexp_matches(name, '^[0-9.]+$') THEN name
+        ELSE array_to_string(string_split(name, '.')[-2:], '.') END AS domain FROM h0),
+hs AS (SELECT *, string_split(domain, '.')[-1] AS suffix FROM h),
+g AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mu FROM hs),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT mu FROM g) AS mu FROM hs GROUP BY suffix),
+rs AS (SELECT least(greatest((sum(n * (bad / n - mu) * (bad / n - mu)) - sum(mu * (1 - mu)))
+        / sum((n - 1) * mu * (1 - mu)), 1e-3), 0.5) AS rho FROM s),
+sp AS (SELECT suffix, (mu * (1 / rho - 1) + bad) / (1 / rho - 1 + n) AS mu FROM s, rs),
+d AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad, any_value(mu) AS mu
+      FROM hs JOIN sp USING (suffix) GROUP BY suffix, domain),
+rd AS (SELECT least(greatest((sum(n * (bad / n - mu) * (bad / n - mu)) - sum(mu * (1 - mu)))
+        / sum((n - 1) * mu * (1 - mu)), 1e-3), 0.5) AS rho FROM d),
+dp AS (SELECT domain, (mu * (1 / rho - 1) + bad) / (1 / rho - 1 + n) AS mu FROM d, rd),
+u AS (SELECT host, n, bad, mu FROM hs JOIN dp USING (domain)),
+ru AS (SELECT least(greatest((sum(n * (bad / n - mu) * (bad / n - mu)) - sum(mu * (1 - mu)))
+        / sum((n - 1) * mu * (1 - mu)), 1e-3), 0.5) AS rho FROM u),
+post AS (SELECT host, mu * (1 / rho - 1) + bad AS a, (1 - mu) * (1 / rho - 1) + n - bad AS b FROM u, ru),
+blocked AS (SELECT host FROM post
+            WHERE a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.25),
+r AS (SELECT p.*, b.host IS NOT NULL AS judged,
+    CASE WHEN (p.host = 'example.com' OR ends_with(p.host, '.example.com')) AND starts_with(path, '/de/')
+           THEN 'example.com/de/'
+         WHEN (p.host = 'example.net' OR ends_with(p.host, '.example.net')) AND starts_with(path, '/en/')
+           THEN 'example.net/en/'
+         WHEN (p.host = 'org' OR ends_with(p.host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+         WHEN (p.host = 'net' OR ends_with(p.host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p LEFT JOIN blocked b ON b.host = p.host)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN judged THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
