@@ -72,7 +72,7 @@ class Plan:
         weight = np.uint64(1) << np.arange(self.bits, dtype=np.uint64)
         raw = (sides[:, self.chosen] * weight).sum(axis=2, dtype=np.uint64)
         table = np.arange(1, self.tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return mix(mix(raw + np.uint64(d) * np.uint64(0xD1B54A32D192ED03)) ^ table)
+        return mix(mix(raw + np.uint64(d * 0xD1B54A32D192ED03 % (1 << 64))) ^ table)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
