@@ -222,7 +222,7 @@ def _tile_task(plan: Plan):
     return run
 
 
-def near_duplicates(vectors: DataFrame, similarity: float = 0.9, recall: float = 0.99,
+def near_duplicates(vectors: DataFrame, similarity: float = 0.9, recall: float = 0.999,
                     id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Per row: ``id_col, n_links, component_id, kept``: links are pairs with
     a cosine of ``similarity`` or more.

@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, embedding, minhash, packing, pii, quality, urls
+from quarry.llm import (decontaminate, embedding, minhash, packing, pii, quality, substrings, tokens, urls,
+                        warc)
 from quarry.llm.graph import read_table
 
 QUERIES = {}
@@ -91,6 +92,37 @@ def op10_positional_index(spark, sf_dir):
                                        read_table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op5_packed_token_ids(spark, sf_dir):
+    """All documents as packed rows of 2,048 token ids, read back as digests."""
+    rows = tokens.packed_ids(read_table(spark, sf_dir, "documents"))
+    ends = F.hex("cu_seqlens")
+    return rows.select("row_id", "n_tokens", F.size("doc_ids").cast("bigint").alias("n_segments"), "doc_ids",
+                       "first_tokens", F.sha2("ids", 256).alias("ids_sha256"), ends.alias("cu_seqlens"),
+                       F.hex("resets").alias("resets"))
+
+
+@_query
+def op6_seekable_warc(spark, sf_dir):
+    """All pages written as an archive and read back."""
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op7_fuzzy_passages(spark, sf_dir):
+    """Passages of 50 words or more that documents share."""
+    return substrings.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op6_seekable_warc"] = r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d HAVING count(*) > 1)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (d)
+"""
+
 ORACLE_SQL["op1_collision_counting"] = r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
