@@ -153,7 +153,8 @@ def _write_task(folder: str, frame_bytes: int, bundle_bytes: int):
                 if writer is None:
                     path = f"bundle-{ctx.partitionId():06d}-{number:04d}-{ctx.taskAttemptId()}.warc.zst"
                     fs.create_dir(base, recursive=True)
-                    writer, number = BundleWriter(fs.open_output_stream(f"{base}/{path}"), frame_bytes), number + 1
+                    out = fs.open_output_stream(f"{base}/{path}", compression=None)  # Arrow goes by the name else
+                    writer, number = BundleWriter(out, frame_bytes), number + 1
                 frame, offset = writer.add(record(page_id, url, (html or "").encode(), digest, refers))
                 rows.append((page_id, path, frame, offset))
                 if writer.written >= bundle_bytes:
