@@ -9,8 +9,8 @@ compared word by word with the document.  Only DataFrame functions are used.
 
 A window is ``width`` consecutive words of an item (an item of fewer words,
 but not none, is one window).  Besides the exact phrases, ``n_near`` counts
-items of which a window's rarest words meet within ``near`` words, exactly
-placed or not.
+items of which a window's rarest words stand in the same stretch of ``NEAR``
+shifted positions, exactly placed or not (proximity matches).
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from pyspark.sql.window import Window
 from quarry.operators.joins import broadcast_if_small
 from quarry.session import drop_table, write_table
 
-#: words of a window whose lists are intersected before the comparison
-RAREST = 3
+#: words of a window whose lists are intersected before the comparison, and
+#: starts that count as close to each other (RAREST * NEAR bits of a long)
+RAREST, NEAR = 2, 16
 
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,19 +46,14 @@ def _windows(bench: DataFrame, id_col: str, text_col: str, width: int) -> DataFr
             .select(F.xxhash64("phrase").alias("wid"), "item", "phrase").distinct())
 
 
-def contamination(docs: DataFrame, bench: DataFrame, width: int = 10, near: int = 16,
-                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``id_col, n_words, n_hit, n_items, items_sha256,
-    contaminated, n_near``.
-
-    Edge cases: a null or empty text has no words and no hits; a null id
-    keeps its row; rows that share an id are judged each by their own text;
-    items without words or without id are no items, items that share an id
-    are one; other columns aren't read; an empty benchmark gives zeros, an
-    empty ``docs`` an empty result."""
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    src = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("k", F.xxhash64("id", "text"))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("k", F.xxhash64("id", "text"))
+
+
+def _search(src: DataFrame, bench: DataFrame, width: int, item_col: str, item_text: str) -> DataFrame:
+    """``k, n_hit, items, n_close`` of the documents with any match; ``k`` is a
+    hash of the id and the text, so rows of equal ids are told apart."""
     wins = write_table(_windows(bench, item_col, item_text, width), "windows")
     phrases = write_table(wins.groupBy("wid").agg(F.first("phrase").alias("phrase")), "phrases")
     places = phrases.select("wid", F.posexplode("phrase").alias("off", "word")) \
@@ -70,19 +65,29 @@ def contamination(docs: DataFrame, bench: DataFrame, width: int = 10, near: int
     df = write_table(postings.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "counts")
     by_window = Window.partitionBy("wid")
     ranked = (places.join(broadcast_if_small(df), "term", "left")
-              .withColumn("rank", F.row_number().over(by_window.orderBy("n", "term", "off")))
+              .withColumn("rank", F.row_number().over(by_window.orderBy("n", "term", "off")) - 1)
               .withColumn("absent", F.count(F.when(F.col("n").isNull(), 1)).over(by_window))
-              .withColumn("size", F.count(F.lit(1)).over(by_window))
-              .where((F.col("absent") == 0) & (F.col("rank") <= RAREST))
-              .select("wid", "term", "off", (F.lit(1) * F.pow(F.lit(2), F.col("rank") - 1)).cast("int").alias("bit"),
-                      (F.pow(F.lit(2), F.least("size", F.lit(RAREST))) - 1).cast("int").alias("all")))
+              .withColumn("need", F.least(F.count(F.lit(1)).over(by_window), F.lit(RAREST)).cast("int"))
+              .where((F.col("absent") == 0) & (F.col("rank") < RAREST)).select("wid", "term", "off", "rank", "need"))
     ranked = write_table(ranked, "ranked")
-    lists = write_table(postings.join(broadcast_if_small(ranked), "term")
-                        .select("wid", "k", (F.col("pos") - F.col("off")).alias("start"), "bit", "all"), "lists")
+    # the lists, shifted by the words' offsets; a row of a block has one bit for each of its
+    # NEAR starts and ranks, so one aggregation intersects them, exactly placed or only close
+    start = F.col("pos") - F.col("off")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                          F.pmod(start, F.lit(NEAR)) + F.col("rank") * NEAR)
+    met = write_table(postings.join(broadcast_if_small(ranked), "term")
+                      .groupBy("wid", "k", F.floor(start / NEAR).alias("block"))
+                      .agg(F.bit_or(bit).alias("bits"), F.first("need").alias("need"))
+                      .where(" AND ".join(f"(need <= {r} OR bits & {((1 << NEAR) - 1) << r * NEAR} <> 0)"
+                                          for r in range(RAREST))), "met")
     drop_table(postings)
-    meet = (lists.where("start >= 0").groupBy("wid", "k", "start")
-            .agg(F.bit_or("bit").alias("got"), F.first("all").alias("all")).where("got = all"))
-    cands = write_table(meet.join(broadcast_if_small(phrases), "wid").select("k", "wid", "start", "phrase"), "cands")
+    placed = F.expr(" & ".join(f"(CASE WHEN need <= {r} THEN {(1 << NEAR) - 1} ELSE shiftright(bits, {r * NEAR}) END)"
+                               for r in range(RAREST)) + f" & {(1 << NEAR) - 1}")
+    cands = (met.withColumn("both", placed).where("both <> 0")
+             .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(NEAR - 1))))
+             .where("shiftright(both, i) & 1 = 1")
+             .select("k", "wid", (F.col("block") * NEAR + F.col("i")).cast("int").alias("start")).where("start >= 0"))
+    cands = write_table(cands.join(broadcast_if_small(phrases), "wid").select("k", "wid", "start", "phrase"), "cands")
     hit_keys = write_table(cands.select("k").distinct(), "hit_keys")
     per_doc = write_table(cands.groupBy("k").agg(F.collect_list(F.struct("start", "wid", "phrase")).alias("c")),
                           "per_doc")
@@ -97,13 +102,26 @@ def contamination(docs: DataFrame, bench: DataFrame, width: int = 10, near: int
     members = wins.select("wid", "item")
     listed = (hits.select("k", F.explode("wids").alias("wid")).join(members, "wid")
               .groupBy("k").agg(F.sort_array(F.collect_set("item")).alias("items")))
-    close = (lists.groupBy("wid", "k", F.floor(F.col("start") / near).alias("block"))
-             .agg(F.bit_or("bit").alias("got"), F.first("all").alias("all")).where("got = all")
-             .select("k", "wid").distinct().join(members, "wid")
+    close = (met.select("k", "wid").distinct().join(members, "wid")
              .select("k", "item").distinct().groupBy("k").agg(F.count(F.lit(1)).alias("n_close")))
     result = write_table(hits.select("k", "n_hit").join(listed, "k").join(close, "k", "full"), "result")
-    drop_table(lists, cands, hit_keys, per_doc, hits, vocab, df, ranked, wins, phrases)
-    out = src.select("id", "k", F.regexp_count("text", F.lit(_RAW_WORD)).cast("bigint").alias("n_words"))
+    drop_table(met, cands, hit_keys, per_doc, hits, vocab, df, ranked, wins, phrases)
+    return result
+
+
+def contamination(docs: DataFrame, bench: DataFrame, width: int = 10, id_col: str = "doc_id",
+                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Per row of ``docs``: ``id_col, n_words, n_hit, n_items, items_sha256,
+    contaminated, n_near``.
+
+    Edge cases: a null or empty text has no words and no hits; a null id
+    keeps its row; rows that share an id are judged each by their own text;
+    items without words or without id are no items, items that share an id
+    are one; other columns aren't read; an empty benchmark gives zeros, an
+    empty ``docs`` an empty result."""
+    src = _source(docs, id_col, text_col)
+    result = _search(src, bench, width, item_col, item_text)
+    out = src.select("id", "k", F.size(words(F.col("text"))).cast("bigint").alias("n_words"))
     zero = F.lit(0).cast("bigint")
     items = F.coalesce("items", F.array().cast("array<string>"))
     return out.join(result, "k", "left").select(
@@ -112,3 +130,12 @@ def contamination(docs: DataFrame, bench: DataFrame, width: int = 10, near: int
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         (F.coalesce("n_hit", zero) > 0).alias("contaminated"),
         F.coalesce("n_close", zero).alias("n_near"))
+
+
+def clean(docs: DataFrame, bench: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text",
+          item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, without a benchmark window."""
+    hits = _search(_source(docs, id_col, text_col), bench, width, item_col, item_text)
+    hits = hits.where("n_hit > 0").select(F.col("k").alias("hit"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.join(broadcast_if_small(hits), F.xxhash64(F.col(id_col), text) == F.col("hit"), "left_anti")
