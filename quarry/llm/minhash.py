@@ -273,3 +273,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
            .select(F.col("id").alias(id_col), "n_shingles",
                    F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns: of every group of near-duplicates
+    the document with the smallest id.  Of rows that share that id one stays
+    (the one with the smallest hash of all columns); rows without id stay."""
+    marks = write_table(near_duplicates(docs, id_col, text_col, **options)
+                        .select(F.col(id_col).alias("gone"), "kept"), "marks")
+    gone = write_table(marks.where("NOT kept").select("gone").distinct(), "gone")
+    out = docs.join(broadcast_if_small(gone), F.col(id_col) == F.col("gone"), "left_anti")
+    again = write_table(marks.where("kept AND gone IS NOT NULL").groupBy("gone").agg(F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").select("gone"), "again")
+    if again.isEmpty():
+        return out
+    again = broadcast_if_small(again)
+    cols = [F.col(c) for c in out.columns]
+    one = (out.join(again, F.col(id_col) == F.col("gone"), "left_semi")
+           .groupBy(F.col(id_col).alias("gone")).agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias("row"))
+           .select("row.*"))
+    return out.join(again, F.col(id_col) == F.col("gone"), "left_anti").unionByName(one)
