@@ -32,6 +32,8 @@ from quarry.session import drop_table, ensure_checkpoint_dir, write_table
 
 FRAME_BYTES, BUNDLE_BYTES, LEVEL = 1 << 20, 256 << 20, 3
 MIN_REVISIT = 100
+#: tasks that read an archive at most; each then reads several bundles
+MAX_TASKS = 20_000
 
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _DATE = "1970-01-01T00:00:00Z"
@@ -228,7 +230,9 @@ def read_archive(index: DataFrame, folder: str) -> DataFrame:
     """All records of the bundles that ``index`` names: ``id, payload_bytes,
     payload_digest, record_type, refers_to``.  Digests and sizes of responses
     are those of the payloads read."""
-    bundles = index.select("bundle").distinct().repartition("bundle")
+    bundles = write_table(index.select("bundle").distinct(), "bundles")
+    # a task per bundle, up to MAX_TASKS; a given number is not coalesced by the names' few bytes
+    bundles = bundles.repartition(max(1, min(bundles.count(), MAX_TASKS)), "bundle")
     return bundles.mapInArrow(_read_task(folder), "id bigint, payload_bytes bigint, payload_digest string, "
                                                   "record_type string, refers_to bigint")
 
