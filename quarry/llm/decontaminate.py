@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.llm.graph import fresh
 from quarry.operators.joins import broadcast_if_small
 from quarry.session import drop_table, write_table
 
@@ -136,6 +137,7 @@ def clean(docs: DataFrame, bench: DataFrame, width: int = 10, id_col: str = "doc
           item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without a benchmark window."""
     hits = _search(_source(docs, id_col, text_col), bench, width, item_col, item_text)
-    hits = hits.where("n_hit > 0").select(F.col("k").alias("hit"))
+    hit = fresh(docs, "hit_key")
+    hits = hits.where("n_hit > 0").select(F.col("k").alias(hit))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.join(broadcast_if_small(hits), F.xxhash64(F.col(id_col), text) == F.col("hit"), "left_anti")
+    return docs.join(broadcast_if_small(hits), F.xxhash64(F.col(id_col), text) == F.col(hit), "left_anti")

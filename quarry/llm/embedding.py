@@ -11,11 +11,12 @@ pair in 100,000 at that similarity (fewer above it).
 
 One window alone holds a constant share of all vectors, so counting over the
 whole table would touch all pairs.  Blocks bound that: a table of ``bits``
-projections, each cut at its median (estimated on a bounded sample), names a
-block, and enough tables are used for a pair at the similarity asked for to
-share a block with probability ``recall``; ``bits`` grows with the logarithm
-of the number of vectors, the number of tables with a power below 0.25 of
-it.  A pair is counted in its first shared block only, so link counts are
+projections, each cut at zero, names a block; two vectors are on one side of a
+cut with a probability that only their angle decides, whatever the data look
+like, and enough tables are used for a pair at the similarity asked for to
+share a block with probability ``recall`` (more above it).  ``bits`` grows
+with the logarithm of the number of vectors, the number of tables with a power
+below 0.25 of it.  A pair is counted in its first shared block only, so link counts are
 sums over blocks and no pairs are written.  Blocks above ``TILE`` vectors are
 cut into tiles of two chunks each.
 """
@@ -35,8 +36,6 @@ from quarry.operators.joins import broadcast_if_small
 from quarry.session import drop_table, write_table
 
 PROJECTIONS, SEED, TILE = 64, 20240229, 512
-#: vectors that the medians of the projections are estimated on
-SAMPLE = 10_000
 
 
 class Plan:
@@ -58,15 +57,11 @@ class Plan:
             if below > 1e-5:
                 break
             self.need += 1
-        self.middle: dict[int, np.ndarray] = {}
 
     def project(self, unit: np.ndarray) -> np.ndarray:
         d = unit.shape[1]
         return unit @ np.random.default_rng(SEED + d).standard_normal((d, PROJECTIONS))
 
-    def sides(self, proj: np.ndarray, d: int) -> np.ndarray:
-        return proj > self.middle.get(d, np.zeros(PROJECTIONS))
-
     def codes(self, sides: np.ndarray, d: int) -> np.ndarray:
         """(vectors, tables) block names."""
         weight = np.uint64(1) << np.arange(self.bits, dtype=np.uint64)
@@ -110,7 +105,7 @@ def _code_task(plan: Plan):
             for d, rows, x in _by_length(batch.column(1)):
                 for a in range(0, len(rows), 2000):
                     k = rows[a:a + 2000]
-                    codes = plan.codes(plan.sides(plan.project(_unit(x[a:a + 2000])), d), d).view(np.int64)
+                    codes = plan.codes(plan.project(_unit(x[a:a + 2000])) > 0, d).view(np.int64)
                     ends = np.arange(0, codes.size + 1, plan.tables, dtype=np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(k)),
@@ -134,12 +129,10 @@ def collisions(proj: np.ndarray, rows: slice, window: float) -> np.ndarray:
     return out
 
 
-def links_in(plan: Plan, table: int, ids, chunk, copies, x, i: int, j: int):
-    """Links of one tile: (first, second) as row numbers."""
-    d = x.shape[1]
-    unit = _unit(x)
-    proj = plan.project(unit)
-    sides = plan.sides(proj, d)
+def links_in(plan: Plan, table: int, ids, chunk, x, i: int, j: int):
+    """Links of tile (i, j): (first, second) as row numbers."""
+    proj = plan.project(_unit(x))
+    sides = proj > 0
     out = []
     for start in range(0, len(x), 256):
         rows = slice(start, min(start + 256, len(x)))
@@ -180,12 +173,10 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 def _tile_task(plan: Plan):
     def tile(part: pa.Table):
-        d = len(part.column("vec")[0].as_buffer()) // 8
         x = np.array([np.frombuffer(v.as_buffer(), np.float64) for v in part.column("vec")])
         ids, copies = part.column("id").to_numpy(), part.column("copies").to_numpy()
         i, j = part.column("i")[0].as_py(), part.column("j")[0].as_py()
-        assert x.shape[1] == d
-        a, b = links_in(plan, part.column("t")[0].as_py(), ids, part.column("mine").to_numpy(), copies, x, i, j)
+        a, b = links_in(plan, part.column("t")[0].as_py(), ids, part.column("mine").to_numpy(), x, i, j)
         n = np.zeros(len(ids), dtype=np.int64)
         np.add.at(n, a, copies[b])
         np.add.at(n, b, copies[a])
@@ -243,9 +234,6 @@ def near_duplicates(vectors: DataFrame, similarity: float = 0.9, recall: float =
                        .select("id", "vec", F.coalesce("copies", F.lit(1)).alias("copies"), "same")
                        .dropDuplicates(["same"]).drop("same"), "reps")
     plan = Plan(reps.count(), similarity, recall)
-    sample = reps.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vec").collect()  # bounded by SAMPLE
-    for d, _, x in _by_length([pa.scalar(r["vec"]) for r in sample]) if sample else []:
-        plan.middle[d] = np.median(plan.project(_unit(x)), axis=0)
     codes = write_table(reps.select("id", "vec").mapInArrow(_code_task(plan), "id bigint, codes array<bigint>")
                         .select("id", F.posexplode("codes").alias("t", "code")), "codes")
     shared = write_table(codes.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

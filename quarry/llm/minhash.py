@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import wordhash as W
-from quarry.llm.graph import connected_components
+from quarry.llm.graph import connected_components, fresh
 from quarry.operators.joins import broadcast_if_small
 from quarry.session import drop_table, write_table
 
@@ -279,17 +279,18 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs``, all columns: of every group of near-duplicates
     the document with the smallest id.  Of rows that share that id one stays
     (the one with the smallest hash of all columns); rows without id stay."""
+    other, row = fresh(docs, "other_id"), fresh(docs, "one_row")
     marks = write_table(near_duplicates(docs, id_col, text_col, **options)
-                        .select(F.col(id_col).alias("gone"), "kept"), "marks")
-    gone = write_table(marks.where("NOT kept").select("gone").distinct(), "gone")
-    out = docs.join(broadcast_if_small(gone), F.col(id_col) == F.col("gone"), "left_anti")
-    again = write_table(marks.where("kept AND gone IS NOT NULL").groupBy("gone").agg(F.count(F.lit(1)).alias("n"))
-                        .where("n > 1").select("gone"), "again")
+                        .select(F.col(id_col).alias(other), "kept"), "marks")
+    gone = write_table(marks.where("NOT kept").select(other).distinct(), "gone")
+    same = F.col(id_col) == F.col(other)
+    out = docs.join(broadcast_if_small(gone), same, "left_anti")
+    again = write_table(marks.where("kept").where(F.col(other).isNotNull()).groupBy(other)
+                        .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(other), "again")
     if again.isEmpty():
         return out
     again = broadcast_if_small(again)
     cols = [F.col(c) for c in out.columns]
-    one = (out.join(again, F.col(id_col) == F.col("gone"), "left_semi")
-           .groupBy(F.col(id_col).alias("gone")).agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias("row"))
-           .select("row.*"))
-    return out.join(again, F.col(id_col) == F.col("gone"), "left_anti").unionByName(one)
+    one = (out.join(again, same, "left_semi").groupBy(F.col(id_col).alias(other))
+           .agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias(row)).select(f"{row}.*"))
+    return out.join(again, same, "left_anti").unionByName(one)

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: bytes of text hashed at once; bounds the memory of a task, not the result
-BUFFER_BYTES = 2 << 20
+BUFFER_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -132,6 +132,7 @@ def slices(column: pa.Array, size: int | None = None):
         to = min(max(to, row + 1), n, row + 100_000)
         yield row, to, raw[offsets[row]:offsets[to]], offsets[row:to + 1] - offsets[row]
         row = to
+    pa.default_memory_pool().release_unused()
 
 
 def shingles(hashes: np.ndarray, texts: np.ndarray, n_texts: int,
