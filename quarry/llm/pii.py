@@ -174,7 +174,8 @@ class Field:
         shapes = counts[:SHAPES].astype(float)
         prior = (shapes.sum(axis=0) + 1) / (shapes.sum() + _L)
         self.unary = np.log((shapes + 2 * prior) / (shapes.sum(axis=1, keepdims=True) + 2))
-        self.seen = shapes[:, 1:].sum(axis=1) > 0
+        #: shapes with a real chance of personal data; tokens of others stay unmarked
+        self.open = 1 - np.exp(self.unary[:, 0]) >= 1e-3
         self.chain = self._affinity(counts[_CHAIN:_SKIP])
         self.skip = self._affinity(counts[_SKIP:])
 
@@ -185,10 +186,10 @@ class Field:
         return np.clip(np.log(p / (side[:, None] * side[None, :])), -4, 4)
 
     def beliefs(self, tokens, label, chain, skip, rounds: int = 30) -> np.ndarray:
-        """Loopy sum-product on the document's graph, damped by half."""
-        n = len(tokens)
+        """Loopy sum-product on the document's graph, damped by half; a label
+        of -1 is to be inferred, others are observed."""
         own = self.unary[[t[2] for t in tokens]].copy()
-        seen = label > 0
+        seen = label >= 0
         own[seen] = -50
         own[seen, label[seen]] = 0
         links = np.concatenate([chain, skip])
@@ -221,7 +222,7 @@ class Field:
         if not _MARK.search(text):
             return []
         tokens, label, chain = nodes(text, spans)
-        open_ = (label == 0) & self.seen[[t[2] for t in tokens]] if tokens else np.zeros(0, bool)
+        open_ = (label == 0) & self.open[[t[2] for t in tokens]] if tokens else np.zeros(0, bool)
         skip = skip_links(tokens)
         if len(skip):  # a token can also be drawn in by an observed twin
             held = label > 0
@@ -229,9 +230,14 @@ class Field:
             open_[pulled] |= label[pulled] == 0
         if not open_.any():
             return []
-        p = self.beliefs(tokens, label, chain, skip)
+        # all other tokens are observed: only links to open ones carry messages
+        chain, skip = (x[open_[x].any(axis=1)] for x in (chain, skip))
+        used = np.unique(np.concatenate([np.flatnonzero(open_), chain.ravel(), skip.ravel()]))
+        tokens = [tokens[i] for i in used]
+        p = self.beliefs(tokens, np.where(open_, -1, label)[used], np.searchsorted(used, chain),
+                         np.searchsorted(used, skip))
         best = p.argmax(axis=1)
-        return sorted((LABELS[best[i]], tokens[i][0], tokens[i][1]) for i in np.flatnonzero(open_)
+        return sorted((LABELS[best[i]], tokens[i][0], tokens[i][1]) for i in np.flatnonzero(open_[used])
                       if best[i] and p[i, best[i]] >= BELIEF)
 
 

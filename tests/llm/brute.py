@@ -77,6 +77,8 @@ def luhn(digits):
 def base_spans(text):
     out = []
     for kind, p in PATTERNS.items():
+        if kind == "email" and "@" not in (text or ""):
+            continue
         for m in re.finditer(p, text or ""):
             digits = re.sub(r"[^0-9]", "", m[0])
             if (kind == "email" or kind == "ip" and all(int(x) <= 255 for x in m[0].split("."))

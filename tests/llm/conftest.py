@@ -32,7 +32,7 @@ def document_rows():
              shared + "\n" + prose(10, 300), prose(11, 40) + " " + edited(shared, 12, 1) + " " + prose(13, 80),
              prose(14, 60_000), "z" * 300_000, prose(15, 400) + " " + "y" * 5_000,
              "mail jo.doe_x@mail.example.com now, 4539578763621486 and 4539578763621486 4539578763621486 +1 (743) "
-             "555-3824 from 10.0.0.255 or 300.1.1.1", "@ a@b @c.d 1.2.3.4.5 +1 2", "0" * 20_000 + " " + "1." * 5_000]
+             "555-3824 from 10.0.0.255 or 300.1.1.1", "@ a@b @c.d 1.2.3.4.5 +1 2", "0" * 1_500 + " " + "1." * 300]
     texts += [prose(100 + i, 150) for i in range(20)]
     rows = [(i, t, "en", f"src{i % 3}", None if t is None else len(t)) for i, t in enumerate(texts)]
     rows.append(rows[5])                                # a repeated row

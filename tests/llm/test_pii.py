@@ -56,7 +56,7 @@ def test_messages_agree_with_enumeration():
     counts = r.integers(0, 9, (pii.SHAPES + 10, 5))
     f = pii.Field(counts)
     tokens = [(0, 1, s, str(s), 0) for s in (3, 50, 700, 3)]
-    label = np.array([0, 0, 2, 0])
+    label = np.array([-1, -1, 2, -1])
     chain, skip = np.array([[0, 1], [1, 2]]), np.array([[0, 3]])
     total = np.zeros((4, 5))
     for x in itertools.product(range(5), repeat=4):
@@ -71,3 +71,12 @@ def test_messages_agree_with_enumeration():
 def test_masked():
     assert pii.masked("ab cd ef", [("ip", 3, 5), ("card", 3, 8)]) == "ab [CARD]"
     assert pii.masked("ab cd ef", []) == "ab cd ef"
+
+
+def test_long_runs_take_linear_time():
+    import time
+    text = "0" * 200_000 + " " + "1." * 50_000 + " " + "a@" * 50_000 + " " + "+1" * 50_000 + "x" * 200_000
+    began = time.perf_counter()
+    spans = pii.base_spans(text)
+    pii.nodes(text, spans)
+    assert time.perf_counter() - began < 10
