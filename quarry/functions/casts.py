@@ -27,9 +27,9 @@ def lenient_cast(c: Column, to: T.DataType, decimal_detour: bool = True) -> Colu
 
 
 def to_date_lenient(c: Column) -> Column:
-    """string/timestamp -> date; ``2018-09-04 12:33:11 UTC`` keeps the day."""
-    return F.coalesce(c.try_cast("date"),
-                      F.substring(c.cast("string"), 1, 10).try_cast("date"))
+    """string/timestamp -> date; ``2018-09-04 12:33:11 UTC`` keeps the day,
+    text that only begins with a date (``2018-09-041``) is null."""
+    return c.try_cast("date")
 
 
 def day_to_unix(c: Column) -> Column:

@@ -36,19 +36,26 @@ def _trie(words):
     return root
 
 
-def _node_regex(node: dict) -> str:
-    branches = [re.escape(ch) + _node_regex(child)
-                for ch, child in sorted(node.items()) if ch != _END]
-    terminal = _END in node
-    if not branches:
-        return ""
-    body = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
-    if len(branches) == 1 and not terminal:
-        return body
-    if terminal:
-        # greedy optional: the longer continuation is tried first
-        return "(?:" + "|".join(branches) + ")?" if len(branches) > 1 else "(?:" + body + ")?"
-    return body
+def _node_regex(root: dict) -> str:
+    """The trie as a regex, without recursion: a tag may be of any length."""
+    out: list[str] = []
+    todo: list = [root]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str):
+            out.append(node)
+            continue
+        children = [ch for ch in sorted(node) if ch != _END]
+        if not children:
+            continue
+        # a word that ends here: what follows is a greedy option, so longer words are tried first
+        opened = "(?:" if len(children) > 1 or _END in node else ""
+        parts: list = [opened]
+        for k, ch in enumerate(children):
+            parts += ["|"] * (k > 0) + [re.escape(ch), node[ch]]
+        parts.append((")" if opened else "") + ("?" if _END in node else ""))
+        todo.extend(reversed(parts))
+    return "".join(out)
 
 
 def dictionary_regex(words, reverse: bool = False) -> str:

@@ -111,17 +111,16 @@ def nonempty(df: DataFrame, col: str = "title") -> DataFrame:
 
 def clean_branch(posts: DataFrame, users: DataFrame, votes: DataFrame, value: int,
                  require_title: bool = False, skew: str = "auto") -> DataFrame:
-    if require_title:
-        # a Column predicate: Catalyst pushes it below both joins to the scan
-        posts = nonempty(posts)
-    pu = attach_user(posts, users, skew=skew)
-    return label(attach_votes(pu, votes), value)
+    out = label(attach_votes(attach_user(posts, users, skew=skew), votes), value)
+    # an id's versions are counted with the untitled ones; only then do those go
+    return nonempty(out) if require_title else out
 
 
 def clean(questions: DataFrame, answered: DataFrame, users: DataFrame, votes: DataFrame,
           skew: str = "auto") -> DataFrame:
     """Both labelled sets in one frame: label 0 = unanswered questions,
-    label 1 = answered posts (answered rows with an empty title dropped).
+    label 1 = answered posts (answered rows with an empty title dropped, after
+    the versions of their id are counted).
 
     The two sets run as one plan: they are tagged with their label and
     unioned first, so the user join, the vote-list aggregation and the
@@ -129,10 +128,11 @@ def clean(questions: DataFrame, answered: DataFrame, users: DataFrame, votes: Da
     which keeps the two sets independent exactly as two separate runs.
     """
     q = questions.withColumn("label", F.lit(0).cast("int"))
-    a = nonempty(answered).withColumn("label", F.lit(1).cast("int"))
+    a = answered.withColumn("label", F.lit(1).cast("int"))
     posts = q.unionByName(a)
     pu = attach_user(posts, users, skew=skew)
     out = attach_votes(pu, votes, version_group=["label"])
+    out = out.where((F.col("label") == 0) | (F.col("title") != ""))
     cols = [c for c in out.columns if c not in ("vote_type_id", "label")]
     out = out.select(*cols, "vote_type_id", "label")
     if "creation_date" in out.columns:

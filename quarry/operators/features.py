@@ -89,7 +89,7 @@ def rank_global(df: DataFrame, order, limit: int | None = None,
     spark = df.sparkSession
     from quarry.session import write_table
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if limit is not None and limit * max(parts, df.rdd.getNumPartitions()) <= TOPK_MERGE_ROWS:
+    if limit is not None and limit * parts <= TOPK_MERGE_ROWS:
         # small top-k: per-partition top-k, merged in one task (at most
         # partitions x limit rows, checked above), ranked over <= limit rows
         from pyspark.sql.window import Window
@@ -217,31 +217,36 @@ def _sql_str(w: str) -> str:
 
 def _scaled_text_block(df: DataFrame, src: str, out: str, vocab_size: int):
     """Stages producing ``out`` = min-max scaled count vector of ``src``
-    without a vocabulary-wide dense array per row, and without moving the
-    vocabulary through the driver.
+    without a vocabulary-wide dense array per row.  The vocabulary is the
+    deterministic top ``vocab_size`` by count, ties by term, as in the long
+    form; at most that many terms reach the driver.
 
     A term missing from at least one document has min 0, so its min-max
-    value is tf / max: ML ``CountVectorizer`` + ``MaxAbsScaler`` (both fitted
-    on the executors; the scaler keeps vectors sparse) give exactly that.
-    Terms present in every document (few: they all occur in the shortest
-    document) are taken out of that vocabulary by a SQL stage and get an
+    value is tf / max: count vectors + ML ``MaxAbsScaler`` (fitted on the
+    executors; it keeps vectors sparse) give exactly that.
+    Terms of the vocabulary present in every document are taken out by a SQL
+    stage and get an
     exact ML ``MinMaxScaler`` of their own; the two parts are assembled.  The
     block holds the same (term, value) cells as CountVectorizer +
     MinMaxScaler; the always-present terms sit at the end of the block.
     """
     n_docs = df.count()
-    tfl = term_counts_long(df.select("id", src), "id", src)
-    ubiq = sorted(r["term"] for r in term_totals(tfl, "id").where(F.col("df") >= n_docs)
-                  .select("term").collect())
+    voc = vocabulary(term_counts_long(df.select("id", src), "id", src), "id", vocab_size)
+    # bounded by vocab_size, the model parameter
+    rows = voc.orderBy("index").select("term", "df").collect()
+    ubiq = sorted(r["term"] for r in rows if r["df"] >= n_docs)
+    terms = [r["term"] for r in rows if r["df"] < n_docs]
     stages = []
     main = src
+    if not terms:
+        return [CountVectorizerModel.from_vocabulary(ubiq, inputCol=src, outputCol=out + "_cv1"),
+                MinMaxScaler(inputCol=out + "_cv1", outputCol=out)]
     if ubiq:
         main = out + "_tok0"
         arr = "array(" + ", ".join(_sql_str(w) for w in ubiq) + ")"
         stages.append(SQLTransformer(
             statement=f"SELECT *, filter({src}, t -> NOT array_contains({arr}, t)) AS {main} FROM __THIS__"))
-    stages += [CountVectorizer(inputCol=main, outputCol=out + "_cv0",
-                               vocabSize=max(vocab_size - len(ubiq), 1)),
+    stages += [CountVectorizerModel.from_vocabulary(terms, inputCol=main, outputCol=out + "_cv0"),
                MaxAbsScaler(inputCol=out + "_cv0", outputCol=out + "_s0" if ubiq else out)]
     if ubiq:
         stages += [CountVectorizerModel.from_vocabulary(ubiq, inputCol=src, outputCol=out + "_cv1"),

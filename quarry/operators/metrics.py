@@ -24,7 +24,8 @@ def _ratio(a, b):
     return F.when(b == 0, F.lit(0.0)).otherwise(a / b)
 
 
-def _by_label(df: DataFrame, label: str, prediction: str, digits: int | None) -> DataFrame:
+def by_label(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """label, tp, fp, fn, tn, fpr, tpr, precision, recall, f_measure."""
     conf = confusion(df, label, prediction)
     per_label = conf.groupBy("label").agg(F.sum("n").alias("n_label"),
                                           F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n"))
@@ -39,38 +40,31 @@ def _by_label(df: DataFrame, label: str, prediction: str, digits: int | None) ->
     tn = F.col("total") - F.col("n_label") - fp
     p = _ratio(F.col("tp"), F.col("n_pred"))
     r = _ratio(F.col("tp"), F.col("n_label"))
-    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     return j.select(
         "label", "tp", fp.alias("fp"), fn.alias("fn"), tn.alias("tn"),
-        rnd(_ratio(fp, fp + tn)).alias("fpr"),
-        rnd(r).alias("tpr"),
-        rnd(p).alias("precision"),
-        rnd(r).alias("recall"),
-        rnd(_ratio(2 * p * r, p + r)).alias("f_measure"),
+        _ratio(fp, fp + tn).alias("fpr"),
+        r.alias("tpr"),
+        p.alias("precision"),
+        r.alias("recall"),
+        _ratio(2 * p * r, p + r).alias("f_measure"),
         F.col("n_label"), F.col("total"),
     )
 
 
-def by_label(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """label, tp, fp, fn, tn, fpr, tpr, precision, recall, f_measure (6 digits)."""
-    return _by_label(df, label, prediction, 6)
-
-
 def weighted(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row: accuracy and label-frequency-weighted fpr, tpr, f, precision, recall."""
-    b = _by_label(df, label, prediction, None)
+    b = by_label(df, label, prediction)
     w = F.col("n_label") / F.col("total")
     return b.agg(
-        F.round(F.sum("tp") / F.first("total"), 6).alias("accuracy"),
-        F.round(F.sum(w * F.col("fpr")), 6).alias("weighted_fpr"),
-        F.round(F.sum(w * F.col("tpr")), 6).alias("weighted_tpr"),
-        F.round(F.sum(w * F.col("f_measure")), 6).alias("weighted_f_measure"),
-        F.round(F.sum(w * F.col("precision")), 6).alias("weighted_precision"),
-        F.round(F.sum(w * F.col("recall")), 6).alias("weighted_recall"),
+        (F.sum("tp") / F.first("total")).alias("accuracy"),
+        F.sum(w * F.col("fpr")).alias("weighted_fpr"),
+        F.sum(w * F.col("tpr")).alias("weighted_tpr"),
+        F.sum(w * F.col("f_measure")).alias("weighted_f_measure"),
+        F.sum(w * F.col("precision")).alias("weighted_precision"),
+        F.sum(w * F.col("recall")).alias("weighted_recall"),
     )
 
 
 def mae(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Mean absolute error (equals the error rate for 0/1 predictions)."""
-    return df.agg(F.round(F.avg(F.abs(F.col(label).cast("double") - F.col(prediction).cast("double"))), 6)
-                  .alias("mae"))
+    return df.agg(F.avg(F.abs(F.col(label).cast("double") - F.col(prediction).cast("double"))).alias("mae"))

@@ -68,7 +68,7 @@ def segment(df: DataFrame, tags: DataFrame, col: str = "tags", out: str = "split
     try:
         words = dictionary_words(tags, max_chars)
     except OverflowError:
-        return segment_distributed(df, tags, col, out, on_fail, passes, as_array)
+        return segment_distributed(df, tags, col, out, on_fail, passes, as_array, with_pass)
     s = F.col(col)
     if passes == "forward":
         fwd = forward_pieces(s, dictionary_regex(words))
@@ -90,22 +90,24 @@ def segment(df: DataFrame, tags: DataFrame, col: str = "tags", out: str = "split
 
 def segment_distributed(df: DataFrame, tags: DataFrame, col: str = "tags",
                         out: str = "split_tags", on_fail: str = "drop",
-                        passes: str = "both", as_array: bool = False) -> DataFrame:
+                        passes: str = "both", as_array: bool = False,
+                        with_pass: bool = False) -> DataFrame:
     """Join-based segmentation for dictionaries too large to ship as a regex.
 
     Work is done once per distinct tag string (many posts share one) and the
     result is joined back on the string.
     """
     d = tag_dictionary(tags)
-    max_len = d.agg(F.max(F.length("tag_name"))).first()[0] or 0
+    # the lengths that tags have: at most as many numbers as the longest tag has characters
+    sizes = sorted(r[0] for r in d.select(F.length("tag_name")).distinct().collect())
+    sizes = F.array(*map(F.lit, sizes)) if sizes else F.array().cast("array<int>")
     strings = df.select(F.col(col).alias("_s")).where(F.length("_s") > 0).distinct()
 
-    def longest(direction: str) -> DataFrame:
-        # candidate pieces: every position x every length up to the longest tag
+    def longest(strings: DataFrame, direction: str) -> DataFrame:
+        # candidate pieces: every position x every length that a tag has
         pos = F.explode(F.sequence(F.lit(1), F.length("_s"))).alias("_p")
         cand = strings.select("_s", pos).select(
-            "_s", "_p", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_len),
-                                                              F.length("_s")))).alias("_l"))
+            "_s", "_p", F.explode(sizes).alias("_l"))
         if direction == "fwd":
             cand = cand.where(F.col("_p") + F.col("_l") - 1 <= F.length("_s")).withColumn(
                 "_piece", F.substring("_s", F.col("_p"), F.col("_l")))
@@ -141,16 +143,17 @@ def segment_distributed(df: DataFrame, tags: DataFrame, col: str = "tags",
         res = F.aggregate(F.sequence(F.lit(1), n), init, step)
         return m.select("_s", F.when(res["ok"], res["pieces"]).alias("_arr_" + direction))
 
-    fwd = walk(longest("fwd"), "fwd")
-    seg = strings.join(fwd, "_s", "left")
+    fwd = walk(longest(strings, "fwd"), "fwd").where(F.col("_arr_fwd").isNotNull())
+    seg = fwd.select("_s", F.col("_arr_fwd").alias("_arr"), F.lit("forward").alias("pass"))
     if passes == "both":
-        rev = walk(longest("rev"), "rev")
-        seg = seg.join(rev, "_s", "left").select(
-            "_s", F.coalesce("_arr_fwd", "_arr_rev").alias("_arr"))
-    else:
-        seg = seg.select("_s", F.col("_arr_fwd").alias("_arr"))
+        # the reverse pass only where the forward one failed
+        from quarry.session import write_table
+        seg = write_table(seg, "forward")
+        failed = strings.join(seg, "_s", "left_anti")
+        rev = walk(longest(failed, "rev"), "rev").where(F.col("_arr_rev").isNotNull())
+        seg = seg.unionByName(rev.select("_s", F.col("_arr_rev").alias("_arr"), F.lit("reverse").alias("pass")))
     val = F.col("_arr") if as_array else pipe_join(F.col("_arr"))
-    seg = seg.select("_s", val.alias(out))
+    seg = seg.select("_s", val.alias(out), *(["pass"] if with_pass else []))
     # one row per distinct tag string; broadcast when shown small, else a
     # shuffle join (a hot tag string is split by AQE's skew handling)
     from quarry.operators.joins import broadcast_if_small
@@ -163,27 +166,19 @@ def segment_distributed(df: DataFrame, tags: DataFrame, col: str = "tags",
     return res
 
 
-#: dictionaries up to this many tags may use the nested-loop theta join
-THETA_MAX_TAGS = 256
-
-
 def prefix_matches(df: DataFrame, tags: DataFrame, col: str = "tags",
                    max_chars: int = MAX_DICTIONARY_CHARS) -> DataFrame:
     """(row, tag_name) for every dictionary tag that ``col`` starts with.
 
-    A tiny dictionary (<= THETA_MAX_TAGS tags, checked) is broadcast into a
-    ``startswith`` theta join.  Otherwise every prefix of the string up to
-    the longest tag is equi-joined with the dictionary: rows x (longest tag)
+    Every prefix of the string up to the longest tag is equi-joined with the dictionary: rows x (longest tag)
     hash lookups instead of rows x (dictionary size) comparisons; the
     dictionary side is broadcast only when its size is shown to be small.
     """
     from quarry.operators.joins import broadcast_if_small
     d = tag_dictionary(tags)
-    stats = d.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("tag_name")).alias("max_len")).first()
-    if (stats["n"] or 0) <= THETA_MAX_TAGS:
-        return df.join(F.broadcast(d), F.col(col).startswith(F.col("tag_name")), "inner")
+    longest = d.agg(F.max(F.length("tag_name"))).first()[0] or 0
     from quarry.functions.text import explode_items
     pre = df.withColumn("_l", explode_items(F.sequence(F.lit(1), F.least(F.length(col),
-                                                                          F.lit(stats["max_len"])))))
+                                                                          F.lit(longest)))))
     pre = pre.where(F.col("_l").isNotNull()).withColumn("_pre", F.substring(col, 1, F.col("_l")))
     return pre.join(broadcast_if_small(d), pre["_pre"] == d["tag_name"], "inner").drop("_l", "_pre")

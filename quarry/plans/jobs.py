@@ -31,29 +31,31 @@ VOTES_GLOB = "votes*"
 TAGS_GLOB = "*tags*"
 
 
-def read_untyped(spark: SparkSession, path: str) -> DataFrame:
+def read_untyped(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Header CSV, every column a string, rows whose field count differs from
-    the header dropped (extra columns of a dump are kept and ignored)."""
+    the header dropped (extra columns of a dump are kept and ignored).  Dumps
+    without line breaks in their fields are splittable with ``multi_line``
+    off."""
     opts = dict(CSV.LOSSLESS_READ)
     opts["mode"] = "DROPMALFORMED"
     # the default null text of a dump is the empty field
     opts.pop("nullValue")
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    opts["multiLine"] = str(multi_line).lower()
+    opts["columnPruning"] = "false"
     return spark.read.options(**opts).csv(path)
 
 
-def _typed(raw: DataFrame, schema) -> DataFrame:
-    # full-row distinct on the raw text first, as the dumps are read
-    return S.enforce(C.dedupe(raw), schema)
-
-
 def clean_job(spark: SparkSession, input_prefix: str, output_path: str,
               partitions: int | None = None) -> None:
-    """Step 1: labelled posts of both sets, written once, split by label."""
-    q = _typed(read_untyped(spark, input_prefix + QUESTIONS_GLOB), S.POSTS)
-    a = _typed(read_untyped(spark, input_prefix + ANSWERED_GLOB), S.POSTS)
-    u = _typed(read_untyped(spark, input_prefix + USERS_GLOB), S.USERS)
-    v = _typed(read_untyped(spark, input_prefix + VOTES_GLOB), S.VOTES)
+    """Step 1: labelled posts of both sets, written once, split by label.
+
+    The dumps are projected and typed at the scan.  Copies of posts and users
+    fall to the one distinct after their join, copies of votes to the vote
+    lists, so the raw rows are never shuffled to be deduplicated."""
+    q = S.enforce(read_untyped(spark, input_prefix + QUESTIONS_GLOB), S.POSTS)
+    a = S.enforce(read_untyped(spark, input_prefix + ANSWERED_GLOB), S.POSTS)
+    u = S.enforce(read_untyped(spark, input_prefix + USERS_GLOB, multi_line=False), S.USERS)
+    v = S.enforce(read_untyped(spark, input_prefix + VOTES_GLOB, multi_line=False), S.VOTES)
     out = S.assert_columns(C.clean(q, a, u, v), [f.name for f in S.LABELLED])
     if partitions:
         out = out.repartition(partitions)
@@ -73,7 +75,7 @@ def tags_job(spark: SparkSession, tags_prefix: str, labelled_path: str, output_p
              on_fail: str = "drop") -> None:
     """Step 2: replace ``tags`` by its segmentation (a|b|c); rows that cannot
     be segmented are dropped (or kept with null / the sentinel)."""
-    dictionary = read_untyped(spark, tags_prefix + TAGS_GLOB)
+    dictionary = read_untyped(spark, tags_prefix + TAGS_GLOB, multi_line=False)
     posts = read_labelled(spark, labelled_path)
     seg = TG.segment(posts, dictionary, col="tags", out="_split", on_fail=on_fail)
     out = seg.withColumn("tags", F.col("_split")).drop("_split")

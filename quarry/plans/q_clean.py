@@ -11,10 +11,16 @@ from quarry.sources import tables as TB
 # Reference semantics written literally in SQL: join, distinct, list per id,
 # re-join, distinct.
 _BRANCH_SQL = """
-posts_{b} AS (
+one_{b} AS (
   SELECT o_orderkey AS id, o_orderpriority AS title, o_orderdate AS creation_date,
          o_totalprice AS score, o_custkey AS owner_user_id
   FROM orders WHERE {where}),
+posts_{b} AS (  -- versions of one id: without title, null title, exact copy, another score
+  SELECT * FROM one_{b}
+  UNION ALL SELECT id, '', creation_date, score, owner_user_id FROM one_{b} WHERE title = '1-URGENT'
+  UNION ALL SELECT id, NULL, creation_date, score, owner_user_id FROM one_{b} WHERE title = '2-HIGH'
+  UNION ALL SELECT * FROM one_{b} WHERE title = '3-MEDIUM'
+  UNION ALL SELECT id, title, creation_date, score + 1, owner_user_id FROM one_{b} WHERE title = '5-LOW'),
 users_d AS (SELECT DISTINCT c_custkey AS id, c_acctbal AS reputation FROM customer),
 votes_d AS (SELECT DISTINCT l_orderkey AS post_id, l_linenumber AS vote_type_id FROM lineitem),
 pu_{b} AS (
@@ -36,8 +42,18 @@ _FINAL_COLS = """id, title, CAST(epoch(date_trunc('day', creation_date)) AS BIGI
   score, owner_user_id, reputation, vote_type_id"""
 
 
+def _versions(posts):
+    """The posts, some of them in a second version or copy (as in the SQL)."""
+    def those(title):
+        return posts.where(F.col("title") == title)
+    return (posts.unionByName(those("1-URGENT").withColumn("title", F.lit("")))
+            .unionByName(those("2-HIGH").withColumn("title", F.lit(None).cast("string")))
+            .unionByName(those("3-MEDIUM"))
+            .unionByName(those("5-LOW").withColumn("score", F.col("score") + 1)))
+
+
 def _answered(spark, sf):
-    return C.clean_branch(TB.answered_posts(spark, sf), TB.users(spark, sf), TB.votes(spark, sf),
+    return C.clean_branch(_versions(TB.answered_posts(spark, sf)), TB.users(spark, sf), TB.votes(spark, sf),
                           1, require_title=True)
 
 
@@ -56,7 +72,7 @@ SELECT {_FINAL_COLS}, 0 AS label FROM fin_q
 """)
 def label_posts(spark, sf):
     """Unanswered branch: typed users and votes, label 0, no title filter."""
-    return C.clean_branch(TB.unanswered_posts(spark, sf), TB.users(spark, sf),
+    return C.clean_branch(_versions(TB.unanswered_posts(spark, sf)), TB.users(spark, sf),
                           TB.votes(spark, sf), 0)
 
 
@@ -69,7 +85,7 @@ SELECT {_FINAL_COLS}, 1 AS label FROM fin_a WHERE title <> ''
 """)
 def label_union(spark, sf):
     """Step 1 whole: both labelled sets in one frame (unionByName)."""
-    return C.clean(TB.unanswered_posts(spark, sf), TB.answered_posts(spark, sf),
+    return C.clean(_versions(TB.unanswered_posts(spark, sf)), _versions(TB.answered_posts(spark, sf)),
                    TB.users(spark, sf), TB.votes(spark, sf))
 
 
@@ -192,7 +208,9 @@ SELECT c_custkey AS key,
        -- Spark 2.x non-ANSI: decimal text truncates toward zero (DuckDB's
        -- integer cast would round, so go through decimal and trunc)
        CAST(trunc(TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(38,6))) AS INTEGER) AS reputation,
-       CAST(c_mktsegment AS VARCHAR) AS segment
+       CAST(c_mktsegment AS VARCHAR) AS segment,
+       -- only the last two forms are dates; the others merely begin like one
+       CAST(CASE WHEN c_nationkey NOT IN (0, 1, 2) THEN 1536019200 END AS BIGINT) AS day
 FROM customer
 """)
 def cast_schema(spark, sf):
@@ -205,12 +223,16 @@ def cast_schema(spark, sf):
                    F.col("c_custkey").cast("string").alias("id"),
                    F.col("c_name").alias("name_as_int"),
                    F.col("c_acctbal").cast("string").alias("reputation"),
-                   F.col("c_mktsegment").alias("segment"))
+                   F.col("c_mktsegment").alias("segment"),
+                   F.when(F.col("c_nationkey") == 0, "2018-09-04abc").when(F.col("c_nationkey") == 1, "2018-09-041")
+                   .when(F.col("c_nationkey") == 2, "04.09.2018")
+                   .when(F.col("c_nationkey") == 3, "2018-09-04 12:33:11 UTC").otherwise("2018-09-04").alias("day"))
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", T.IntegerType()),
                            T.StructField("name_as_int", T.IntegerType()),
                            T.StructField("reputation", T.IntegerType()),
-                           T.StructField("segment", T.StringType())])
-    return enforce(raw, schema)
+                           T.StructField("segment", T.StringType()),
+                           T.StructField("day", T.DateType())])
+    return enforce(raw, schema).withColumn("day", F.unix_timestamp(F.col("day").cast("timestamp")))
 
 
 _DOC_LABELS = """(SELECT d.doc_id, d.lang, l.quality, l.toxic,

@@ -77,20 +77,22 @@ def csv_roundtrip(spark, sf):
 
 @query("overwrite_idempotent", sql=_CUSTOMER_SQL)
 def overwrite_idempotent(spark, sf):
-    """Writing twice to one path with mode overwrite leaves one copy."""
+    """Mode overwrite replaces an older output of other rows."""
     path = CSV.scratch_path(spark, "customer_twice")
     c = TB.table(spark, sf, "customer")
-    CSV.write_csv(c, path)
+    CSV.write_csv(c.withColumn("c_name", F.lit("an older output")).unionByName(c), path)
     CSV.write_csv(c, path)
     return CSV.read_csv(spark, path, CUSTOMER)
 
 
-@query("repartition_n", sql=_CUSTOMER_SQL)
+@query("repartition_n", sql=f"SELECT *, CAST(3 AS BIGINT) AS n_files FROM ({_CUSTOMER_SQL})")
 def repartition_n(spark, sf):
-    """Output file count as a parameter (here 3 files)."""
+    """Output file count as a parameter (here 3 files, counted on reading)."""
     path = CSV.scratch_path(spark, "customer_n")
     CSV.write_csv(TB.table(spark, sf, "customer"), path, partitions=3)
-    return CSV.read_csv(spark, path, CUSTOMER)
+    back = CSV.read_csv(spark, path, CUSTOMER)
+    files = back.select(F.input_file_name().alias("f")).distinct().count()
+    return back.withColumn("n_files", F.lit(files).cast("bigint"))
 
 
 @query("libsvm_roundtrip", sql="""

@@ -36,6 +36,11 @@ def _pred(spark, sf):
     return lab.select(F.col("quality").alias("label"), F.col("toxic").alias("prediction"))
 
 
+def _rounded(df):
+    """Doubles to 6 digits, for comparison; the operators don't round."""
+    return df.select(*(F.round(c, 6).alias(c) if kind == "double" else c for c, kind in df.dtypes))
+
+
 @query("metrics_by_label", sql=f"""
 WITH {_CONF}
 SELECT label, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn,
@@ -46,7 +51,7 @@ FROM mf
 """)
 def metrics_by_label(spark, sf):
     """Per-label fpr, tpr, precision, recall, F-measure from confusion counts."""
-    return MT.by_label(_pred(spark, sf))
+    return _rounded(MT.by_label(_pred(spark, sf)))
 
 
 @query("metrics_weighted", sql=f"""
@@ -61,7 +66,7 @@ FROM mf
 """)
 def metrics_weighted(spark, sf):
     """Accuracy and label-frequency-weighted metrics."""
-    return MT.weighted(_pred(spark, sf))
+    return _rounded(MT.weighted(_pred(spark, sf)))
 
 
 @query("metric_mae", sql="""
@@ -69,7 +74,7 @@ SELECT round(avg(abs(CAST(quality AS DOUBLE) - CAST(toxic AS DOUBLE))), 6) AS ma
 """)
 def metric_mae(spark, sf):
     """Mean absolute error of 0/1 predictions (= error rate)."""
-    return MT.mae(_pred(spark, sf))
+    return _rounded(MT.mae(_pred(spark, sf)))
 
 
 @query("split_hash", sql="""
@@ -118,14 +123,14 @@ def train_logreg(spark, sf):
     """L2 logistic regression (maxIter 1000, lambda 0.01); training-split
     metrics by label, as the reference prints them."""
     _, train, _, model = _fitted(spark, sf)
-    return MT.by_label(MD.score(model, train))
+    return _rounded(MT.by_label(MD.score(model, train)))
 
 
 @query("train_metrics_weighted")
 def train_metrics_weighted(spark, sf):
     """Training-split accuracy and weighted metrics."""
     _, train, _, model = _fitted(spark, sf)
-    return MT.weighted(MD.score(model, train))
+    return _rounded(MT.weighted(MD.score(model, train)))
 
 
 @query("model_coefficients")
@@ -154,4 +159,4 @@ def score_test(spark, sf):
 def score_test_mae(spark, sf):
     """Mean absolute error on the test split (the reference's test metric)."""
     _, _, test, model = _fitted(spark, sf)
-    return MT.mae(MD.score(model, test))
+    return _rounded(MT.mae(MD.score(model, test)))

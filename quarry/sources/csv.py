@@ -41,8 +41,7 @@ def read_csv(spark: SparkSession, path, schema: T.StructType, mode: str = "PERMI
     if glob:
         opts["pathGlobFilter"] = glob
     if mode.upper() == "DROPMALFORMED":
-        # whole-row check for malformed lines (session-level setting)
-        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+        opts["columnPruning"] = "false"  # check whole lines, not only the columns in use
     reader = spark.read.schema(schema).options(**opts)
     return reader.csv(path)
 

@@ -65,3 +65,11 @@ def test_stopword_list_fixed_values():
     words = X.default_stopwords()
     assert len(words) == 784 and len(set(words)) == 781
     assert words[:3] == ("a", "about", "above")
+
+
+def test_text_that_only_begins_with_a_date_is_null(spark):
+    from pyspark.sql import functions as F
+    from quarry.functions.casts import to_date_lenient
+    rows = [("2018-09-04", True), ("2018-09-04 12:33:11 UTC", True), ("2018-09-04abc", False), ("2018-09-041", False)]
+    df = spark.createDataFrame(rows, "s string, ok boolean").withColumn("d", to_date_lenient(F.col("s")))
+    assert all((str(r.d) == "2018-09-04") == r.ok and (r.d is None) != r.ok for r in df.collect())

@@ -113,3 +113,26 @@ def test_pipeline_blocks(spark):
     vocabs = [s.vocabulary for s in stages if hasattr(s, "vocabulary")]
     assert row["features"].size == sum(len(v) for v in vocabs) + 5
     assert t.count() == prepared.count()
+
+
+def test_vector_vocabulary_is_the_top_v_by_count_then_term(spark):
+    """Also with terms that every document has."""
+    from quarry.operators import features as FT
+    rows = [(1, ["a", "b", "c", "z"]), (2, ["a", "b", "c", "y"]), (3, ["a", "b", "c", "a"])]
+    df = spark.createDataFrame(rows, "id long, t array<string>")
+    for v, width in ((2, 2), (4, 4), (10, 5)):
+        from pyspark.ml import Pipeline
+        m = Pipeline(stages=FT._scaled_text_block(df, "t", "out", v)).fit(df)
+        assert {r["out"].size for r in m.transform(df).select("out").collect()} == {width}
+
+
+def test_vocabulary_plan_starts_no_job(spark):
+    from quarry.operators import features as FT
+    df = spark.createDataFrame([(1, ["a", "b"])], "id long, t array<string>")
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-only", "no job expected")
+    try:
+        FT.vocabulary(FT.term_counts_long(df, "id", "t"), "id", 10)
+        assert len(sc.statusTracker().getJobIdsForGroup("plan-only")) == 0
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

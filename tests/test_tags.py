@@ -89,15 +89,31 @@ def test_random_dictionaries_match_brute_force(spark, seed):
     assert _run(spark, strings, words, distributed=True) == expected
 
 
-def test_prefix_matches_both_forms(spark):
+def test_prefix_matches(spark):
     df = spark.createDataFrame([(1, "javascriptjquery"), (2, "c#x"), (3, "")], "id int, tags string")
     words = ["javascript", "java", "j", "c", "c#", "jquery"]
     tags = spark.createDataFrame([(w,) for w in words], "tag_name string")
     want = sorted([(1, "javascript"), (1, "java"), (1, "j"), (2, "c"), (2, "c#")])
-    theta = sorted((r["id"], r["tag_name"]) for r in TG.prefix_matches(df, tags).collect())
-    old, TG.THETA_MAX_TAGS = TG.THETA_MAX_TAGS, 0
-    try:
-        equi = sorted((r["id"], r["tag_name"]) for r in TG.prefix_matches(df, tags).collect())
-    finally:
-        TG.THETA_MAX_TAGS = old
-    assert theta == want and equi == want
+    got = sorted((r["id"], r["tag_name"]) for r in TG.prefix_matches(df, tags).collect())
+    assert got == want
+
+
+def test_pass_column_on_either_path_and_long_tags(spark):
+    from quarry.operators import tags as TG
+    tags = spark.createDataFrame([("ab",), ("abc",), ("cd",), ("x" * 5000,)], "tag_name string")
+    df = spark.createDataFrame([(1, "abab"), (2, "abcd"), (3, "zz"), (4, "x" * 5000 + "ab"), (5, "")], "id long, tags string")
+    regex, joined = (TG.segment(df, tags, on_fail="null", with_pass=True, max_chars=n) for n in (10 ** 6, 1))
+    assert regex.columns == joined.columns
+    want = [(1, "ab|ab", "forward"), (2, "ab|cd", "reverse"), (3, None, None),
+            (4, "x" * 5000 + "|ab", "forward"), (5, None, None)]
+    for got in (regex, joined):
+        assert sorted((r["id"], r["split_tags"], r["pass"]) for r in got.collect()) == want
+
+
+def test_prefix_matches_have_one_plan_at_every_size(spark):
+    from quarry.operators import tags as TG
+    for n in (3, 400):
+        words = [f"t{i}" for i in range(n)]
+        df = spark.createDataFrame([(1, "t12x"), (2, None), (3, "q")], "id long, tags string")
+        got = TG.prefix_matches(df, spark.createDataFrame([(w,) for w in words], "tag_name string"))
+        assert sorted(r["tag_name"] for r in got.collect()) == sorted(w for w in words if "t12x".startswith(w))
