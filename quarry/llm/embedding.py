@@ -36,6 +36,8 @@ from quarry.operators.joins import broadcast_if_small
 from quarry.session import drop_table, write_table
 
 PROJECTIONS, SEED, TILE = 64, 20240229, 512
+#: blocks up to this size are compared without sorting
+SMALL = 96
 
 
 class Plan:
@@ -50,6 +52,7 @@ class Plan:
         self.chosen = np.array([rng.permutation(PROJECTIONS)[:self.bits] for _ in range(self.tables)])
         # windows: 1.5 deviations of a pair's projections at the similarity
         self.window = 1.5 * math.sqrt(2 - 2 * similarity)
+        self.directions: dict[int, np.ndarray] = {}
         p = math.erf(1.5 / math.sqrt(2))
         below, self.need = 0.0, 0
         while True:  # largest count that loses fewer than one pair in 100,000
@@ -60,7 +63,9 @@ class Plan:
 
     def project(self, unit: np.ndarray) -> np.ndarray:
         d = unit.shape[1]
-        return unit @ np.random.default_rng(SEED + d).standard_normal((d, PROJECTIONS))
+        if d not in self.directions:
+            self.directions[d] = np.random.default_rng(SEED + d).standard_normal((d, PROJECTIONS))
+        return unit @ self.directions[d]
 
     def codes(self, sides: np.ndarray, d: int) -> np.ndarray:
         """(vectors, tables) block names."""
@@ -117,6 +122,8 @@ def _code_task(plan: Plan):
 def collisions(proj: np.ndarray, rows: slice, window: float) -> np.ndarray:
     """(rows, all) number of projections on which the second vector lies in
     the window centred on the first, by ranks in the sorted projections."""
+    if len(proj) <= SMALL:  # the same windows, all projections at once
+        return (np.abs(proj[rows, None, :] - proj[None, :, :]) <= window).sum(axis=2)
     out = np.zeros((len(proj[rows]), len(proj)), dtype=np.uint8)
     rank = np.empty(len(proj), dtype=np.int32)
     for j in range(proj.shape[1]):
