@@ -8,9 +8,8 @@ splitting).
 
 ``hot_key_split_join`` handles the case where a single key holds a large
 share of the big side (e.g. one user owning a third of all posts): the heavy
-hitters are found with a partially-aggregated count, their (few, bounded)
-matching rows on the small side are broadcast, and the rest is a normal
-shuffle join.  Results equal a plain inner join.
+hitters are found with a partially-aggregated count and their rows are salted
+within one shuffle join.  Results equal a plain inner join.
 """
 
 from __future__ import annotations
@@ -76,19 +75,25 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
 
 
 def hot_key_split_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-                       share: float = 0.01) -> DataFrame:
-    """Inner join ``big`` and ``small`` on ``big_key == small_key`` with the
-    heavy hitters of ``big_key`` served by a broadcast join.
-
-    The hot-key list is bounded by ``1/share`` rows; the small-side rows that
-    match it are bounded by that count times the small side's rows per key
-    (1 for a primary key).
+                       share: float = 0.01, salts: int | None = None) -> DataFrame:
+    """Inner join ``big`` and ``small`` on ``big_key == small_key`` in one
+    shuffle join, with the heavy hitters of ``big_key`` salted.
+
+    Only the hot-key list (at most ``1/share`` rows) is broadcast.  Rows of a
+    hot key are dealt over ``salts`` (default: the shuffle partitions) parts
+    by a hash of the row and its input partition, so copies of one row spread
+    as well and a recomputed task deals them alike; the matching rows of
+    ``small`` are repeated once per salt.
     """
-    hk = F.broadcast(hot_keys(big, big_key, share).withColumnRenamed(big_key, "_hot"))
-    tagged = big.join(hk, big[big_key] == hk["_hot"], "left")
-    hot_big = tagged.where(F.col("_hot").isNotNull()).drop("_hot")
-    cold_big = tagged.where(F.col("_hot").isNull()).drop("_hot")
-    hot_small = small.join(hk, small[small_key] == hk["_hot"], "left_semi")
-    hot = hot_big.join(F.broadcast(hot_small), hot_big[big_key] == hot_small[small_key], "inner")
-    cold = cold_big.join(small, cold_big[big_key] == small[small_key], "inner")
-    return hot.unionByName(cold)
+    if salts is None:
+        salts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(big, big_key, share).withColumnRenamed(big_key, "_hot"))
+    deal = F.pmod(F.xxhash64(*big.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    left = (big.join(hot, big[big_key] == hot["_hot"], "left")
+            .withColumn("_salt", F.when(F.col("_hot").isNotNull(), deal).otherwise(F.lit(0)))
+            .drop("_hot"))
+    last = F.when(F.col("_hot").isNotNull(), F.lit(salts - 1)).otherwise(F.lit(0))
+    right = (small.join(hot, small[small_key] == hot["_hot"], "left")
+             .withColumn("_salt2", F.explode(F.sequence(F.lit(0), last))).drop("_hot"))
+    on = (left[big_key] == right[small_key]) & (left["_salt"] == right["_salt2"])
+    return left.join(right, on, "inner").drop("_salt", "_salt2")

@@ -106,8 +106,8 @@ FROM orders p JOIN (SELECT DISTINCT c_custkey, c_acctbal FROM customer) u
   ON p.o_custkey = u.c_custkey
 """)
 def join_post_user_skew_split(spark, sf):
-    """The same join with owners holding > 0.05% of the posts served by a
-    broadcast of their (bounded) user rows and the rest shuffled."""
+    """The same join with the rows of owners holding > 0.05% of the posts
+    salted within one shuffle join."""
     p = TB.posts(spark, sf).select("id", "owner_user_id")
     from quarry.operators.joins import hot_key_split_join
     u = C.dedupe(TB.users(spark, sf)).withColumnRenamed("id", "_uid")

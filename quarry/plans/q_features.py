@@ -134,9 +134,13 @@ def features_in(spark, sf):
     )
 
 
-def training_data(spark, sf, variant="count"):
+def training_data(spark, sf, variant="count", fit_on="train"):
+    """The feature table; the pipeline is fitted on the training side of the
+    hash split (``fit_on='all'``: on every row)."""
+    from quarry.operators.model import split_hash
     prepared = FT.prepare(features_in(spark, sf))
-    model = FT.feature_pipeline(prepared, variant=variant)
+    fit_df = split_hash(prepared, "id")[0] if fit_on == "train" else prepared
+    model = FT.feature_pipeline(prepared, variant=variant, fit_df=fit_df)
     return FT.training_table(model, prepared)
 
 
@@ -150,13 +154,79 @@ def vector_summary(t, col="features"):
         F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
-@query("feature_pipeline")
+#: the training side of the hash split, as in model.split_hash
+TRAIN_SQL = "('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::UBIGINT % 10 <> 9"
+
+FEATURES_IN_SQL = f"""src0 AS (
+  SELECT CAST(d.doc_id AS INTEGER) AS id, CAST(l.quality AS DOUBLE) AS label,
+         string_split(d.text, chr(10))[1] AS title, regexp_replace(d.text, '<.*?>', '', 'g') AS body,
+         CAST(d.n_chars AS DOUBLE) AS s1, CAST(len(string_split(d.text, chr(10))) - 1 AS DOUBLE) AS s2,
+         CAST(coalesce(l.toxic, 0) AS DOUBLE) AS s3, CAST(len(string_split(d.text, ' ')) AS DOUBLE) AS s4,
+         CAST(length(d.source) AS DOUBLE) AS s5, d.lang, d.source
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+  WHERE d.doc_id IS NOT NULL AND d.text IS NOT NULL AND d.n_chars IS NOT NULL AND d.lang IS NOT NULL
+    AND d.source IS NOT NULL AND l.quality IS NOT NULL),
+src AS (SELECT *, {TRAIN_SQL} AS train FROM src0)"""
+
+# every block as (id, value) cells; min, max and vocabularies of the training side
+_CELLS_SQL = f"""{FEATURES_IN_SQL},
+toks AS (SELECT id, train, 'title' AS block, unnest({_stop_sql('title')}) AS term FROM src
+         UNION ALL SELECT id, train, 'body', unnest({_stop_sql('body')}) FROM src),
+tf AS (SELECT id, train, block, term, count(*) AS tf FROM toks GROUP BY ALL),
+st AS (SELECT block, term, sum(tf) AS total, max(tf) AS mx,
+              CASE WHEN count(*) < (SELECT count(*) FROM src WHERE train) THEN 0 ELSE min(tf) END AS mn
+       FROM tf WHERE train GROUP BY block, term),
+voc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY block ORDER BY total DESC, term) AS rk FROM st)
+        WHERE rk <= {FT.DEFAULT_VOCAB}),
+lists AS (SELECT id, train, 'tags' AS block, unnest([lang, source]) AS term FROM src
+          UNION ALL SELECT id, train, 'votes', lang FROM src),
+lvoc AS (SELECT DISTINCT block, term FROM lists WHERE train),
+scal AS (SELECT id, train, unnest(['s1', 's2', 's3', 's4', 's5']) AS name, unnest([s1, s2, s3, s4, s5]) AS x FROM src),
+mm AS (SELECT name, min(x) AS lo, max(x) AS hi FROM scal WHERE train GROUP BY name),
+other AS (
+  SELECT id, CAST(count(*) AS DOUBLE) AS v FROM lists JOIN lvoc USING (block, term) GROUP BY id, block, term
+  UNION ALL
+  SELECT id, CASE WHEN hi = lo THEN 0.5 ELSE (x - lo) / (hi - lo) END FROM scal JOIN mm USING (name))"""
+
+_SUMMARY_SQL = """SELECT src.id, src.label, CAST((SELECT n FROM width) AS INTEGER) AS width, {nnz}
+       round(coalesce(sum(v), 0), 6) AS total
+FROM src LEFT JOIN cells ON src.id = cells.id GROUP BY src.id, src.label"""
+
+
+@query("feature_pipeline", sql=f"""
+WITH {_CELLS_SQL},
+cells AS (
+  SELECT id, CASE WHEN mx = mn THEN 0.5 ELSE (tf - mn) / (mx - mn) END AS v FROM tf JOIN voc USING (block, term)
+  UNION ALL  -- a term of every training document that a test document lacks
+  SELECT s.id, CASE WHEN mx = mn THEN 0.5 ELSE (0 - mn) / (mx - mn) END
+  FROM (SELECT * FROM src WHERE NOT train) s JOIN (SELECT * FROM voc WHERE mn > 0) voc ON true
+  WHERE NOT EXISTS (SELECT 1 FROM tf WHERE tf.id = s.id AND tf.block = voc.block AND tf.term = voc.term)
+  UNION ALL SELECT * FROM other),
+width AS (SELECT (SELECT count(*) FROM voc) + (SELECT count(*) FROM lvoc) + 5 AS n)
+{_SUMMARY_SQL.format(nnz="CAST(count(*) FILTER (WHERE v <> 0) AS INTEGER) AS nnz,")}
+""")
 def feature_pipeline(spark, sf):
-    """Fitted 9-block pipeline (count vectors + min-max), summarised per row."""
+    """9-block pipeline (count vectors + min-max) fitted on the training
+    split, summarised per row."""
     return vector_summary(training_data(spark, sf))
 
 
-@query("assemble_features")
+@query("assemble_features", sql=f"""
+WITH {_CELLS_SQL},
+cells AS (SELECT id, CAST(tf AS DOUBLE) AS v FROM tf UNION ALL SELECT * FROM other),
+width AS (SELECT 2 * {FT.DEFAULT_VOCAB} + (SELECT count(*) FROM lvoc) + 5 AS n)
+{_SUMMARY_SQL.format(nnz="")}
+""")
 def assemble_features(spark, sf):
-    """Hashed variant (title/body hashed, no scaling), summarised per row."""
-    return vector_summary(training_data(spark, sf, variant="hash"))
+    """Hashed variant (title/body hashed, no scaling): width and total per
+    row.  The number of cells depends on collisions, which SQL can't tell."""
+    return vector_summary(training_data(spark, sf, variant="hash")).drop("nnz")
+
+
+@query("hashing_tf_totals", sql=f"""
+SELECT doc_id, CAST(count(*) AS DOUBLE) AS total
+FROM (SELECT doc_id, unnest({_stop_sql('text')}) AS term FROM documents) GROUP BY doc_id
+""")
+def hashing_tf_totals(spark, sf):
+    """Sum of the hashed term frequencies per document = its kept tokens."""
+    return hashing_tf(spark, sf).groupBy("doc_id").agg(F.sum("tf").alias("total"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import metrics as MT
 from quarry.operators import model as MD
+from quarry.plans.q_features import FEATURES_IN_SQL, training_data
 from quarry.plans.registry import query
 from quarry.sources import tables as TB
 
@@ -98,13 +99,13 @@ _FITTED: dict = {}
 
 
 def _fitted(spark, sf):
-    """Feature table + 90/10 split + fitted model, memoised per session and
-    scale so that the learning queries share one training run."""
-    key = (id(spark), sf)
+    """Feature table + 90/10 hash split + fitted model, memoised per
+    application and scale so that the learning queries share one training
+    run.  Features are fitted on the training side."""
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _FITTED:
-        from quarry.plans.q_features import training_data
         data = MD.training_frame(training_data(spark, sf))
-        train, test = MD.split_random(data, (0.9, 0.1), seed=11)
+        train, test = MD.split_hash(data, "id")
         model = MD.fit_logreg(train)
         _FITTED[key] = (data, train, test, model)
     return _FITTED[key]
@@ -113,11 +114,22 @@ def _fitted(spark, sf):
 @query("split_random")
 def split_random(spark, sf):
     """randomSplit([0.9, 0.1], seed 11) as the reference: (id, split)."""
-    _, train, test, _ = _fitted(spark, sf)
+    train, test = MD.split_random(_fitted(spark, sf)[0].select("id"), (0.9, 0.1), seed=11)
     return train.select("id", F.lit("train").alias("split")).unionByName(
         test.select("id", F.lit("test").alias("split")))
 
 
+@query("split_train_test", sql=f"""
+WITH {FEATURES_IN_SQL}
+SELECT id, label, CASE WHEN train THEN 'train' ELSE 'test' END AS split FROM src
+""")
+def split_train_test(spark, sf):
+    """The two sides that the learning queries train and test on."""
+    _, train, test, _ = _fitted(spark, sf)
+    return train.select("id", "label", F.lit("train").alias("split")).unionByName(
+        test.select("id", "label", F.lit("test").alias("split")))
+
+
 @query("train_logreg")
 def train_logreg(spark, sf):
     """L2 logistic regression (maxIter 1000, lambda 0.01); training-split
@@ -155,6 +167,18 @@ def score_test(spark, sf):
                     F.round(vector_to_array("probability")[1], 6).alias("p1"))
 
 
+@query("score_test_rows", sql=f"""
+WITH {FEATURES_IN_SQL}
+SELECT id, label, true AS scored FROM src WHERE NOT train
+""")
+def score_test_rows(spark, sf):
+    """Every test row is scored once, its prediction agreeing with its
+    probability."""
+    s = score_test(spark, sf)
+    scored = F.col("p1").between(0, 1) & (F.abs(F.col("prediction") - F.col("p1")) <= 0.500001)
+    return s.select("id", "label", scored.alias("scored"))
+
+
 @query("score_test_mae")
 def score_test_mae(spark, sf):
     """Mean absolute error on the test split (the reference's test metric)."""
