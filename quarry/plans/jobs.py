@@ -1,12 +1,14 @@
 """The four stage jobs, file to file, as a user of the reference runs them.
 
     clean_job     CSV dumps (questions, answered posts, users, votes)
-                  -> labelled CSV, one folder per label (label=0 / label=1)
-    tags_job      tag CSV + labelled CSV -> tagged CSV (``tags`` = a|b|c)
-    features_job  tagged CSV -> LibSVM (label, features)
+                  -> labelled posts, one folder per label (label=0 / label=1)
+    tags_job      tag CSV + labelled posts -> tagged posts (``tags`` = a|b|c)
+    features_job  tagged posts -> LibSVM (label, features)
     train_job     LibSVM -> model + metric DataFrames
 
-Every job takes the session; outputs are replaced with mode overwrite.
+Every job takes the session; outputs are replaced with mode overwrite.  Posts
+pass between the jobs as Parquet; ``fmt='csv'`` writes and reads them as
+lossless CSV instead.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ def read_untyped(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 
 
 def clean_job(spark: SparkSession, input_prefix: str, output_path: str,
-              partitions: int | None = None) -> None:
+              partitions: int | None = None, fmt: str = "parquet") -> None:
     """Step 1: labelled posts of both sets, written once, split by label.
 
     The dumps are projected and typed at the scan.  Copies of posts and users
@@ -59,46 +61,65 @@ def clean_job(spark: SparkSession, input_prefix: str, output_path: str,
     out = S.assert_columns(C.clean(q, a, u, v), [f.name for f in S.LABELLED])
     if partitions:
         out = out.repartition(partitions)
-    out.write.mode("overwrite").partitionBy("label").options(**CSV.LOSSLESS_WRITE).csv(output_path)
+    _write_labelled(out, output_path, fmt)
 
 
-def read_labelled(spark: SparkSession, path: str) -> DataFrame:
-    """Labelled CSV (the ``label=`` folders restore the label column)."""
+def _write_labelled(df: DataFrame, path: str, fmt: str) -> None:
+    opts = CSV.LOSSLESS_WRITE if fmt == "csv" else {}
+    df.write.mode("overwrite").partitionBy("label").format(fmt).options(**opts).save(path)
+
+
+def read_labelled(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Labelled posts (the ``label=`` folders restore the label column)."""
     schema = S.LABELLED
     body = type(schema)([f for f in schema if f.name != "label"])
-    df = spark.read.schema(body).options(**CSV.LOSSLESS_READ).option("basePath", path) \
-        .csv(path.rstrip("/") + "/label=*")
+    opts = CSV.LOSSLESS_READ if fmt == "csv" else {}
+    df = spark.read.schema(body).format(fmt).options(**opts).option("basePath", path) \
+        .load(path.rstrip("/") + "/label=*")
     return df.withColumn("label", F.col("label").cast("int"))
 
 
 def tags_job(spark: SparkSession, tags_prefix: str, labelled_path: str, output_path: str,
-             on_fail: str = "drop") -> None:
+             on_fail: str = "drop", fmt: str = "parquet") -> None:
     """Step 2: replace ``tags`` by its segmentation (a|b|c); rows that cannot
     be segmented are dropped (or kept with null / the sentinel)."""
     dictionary = read_untyped(spark, tags_prefix + TAGS_GLOB, multi_line=False)
-    posts = read_labelled(spark, labelled_path)
+    posts = read_labelled(spark, labelled_path, fmt)
     seg = TG.segment(posts, dictionary, col="tags", out="_split", on_fail=on_fail)
     out = seg.withColumn("tags", F.col("_split")).drop("_split")
-    out.write.mode("overwrite").partitionBy("label").options(**CSV.LOSSLESS_WRITE).csv(output_path)
+    _write_labelled(out, output_path, fmt)
 
 
 def features_job(spark: SparkSession, tagged_path: str, output_path: str,
-                 variant: str = "count", vocab_size: int = FT.DEFAULT_VOCAB) -> int:
-    """Step 3: tagged CSV -> LibSVM training file; returns the vector width."""
-    prepared = FT.prepare(read_labelled(spark, tagged_path))
-    model = FT.feature_pipeline(prepared, variant=variant, vocab_size=vocab_size)
+                 variant: str = "count", vocab_size: int = FT.DEFAULT_VOCAB,
+                 split: str = "hash", fmt: str = "parquet") -> int:
+    """Step 3: tagged posts -> LibSVM; returns the vector width.
+
+    split ``hash``: 90/10 by a hash of the post id, features fitted on the
+    training side, files in ``train`` and ``test`` below ``output_path``;
+    ``none``: features fitted on all rows, one output (split while training)."""
+    prepared = FT.prepare(read_labelled(spark, tagged_path, fmt))
+    fit_df = MD.split_hash(prepared, "id")[0] if split == "hash" else None
+    model = FT.feature_pipeline(prepared, variant=variant, vocab_size=vocab_size, fit_df=fit_df)
     table = MD.training_frame(FT.training_table(model, prepared))
-    write_libsvm(table, output_path)
+    if split == "hash":
+        for side, name in zip(MD.split_hash(table, "id"), ("train", "test")):
+            write_libsvm(side, f"{output_path}/{name}")
+    else:
+        write_libsvm(table, output_path)
     first = table.select("features").first()
     return first["features"].size if first else 0
 
 
-def train_job(spark: SparkSession, libsvm_path: str, num_features: int | None = None,
-              max_iter: int = 1000, reg: float = 0.01, seed: int = 11) -> dict:
-    """Step 4: 90/10 random split, L2 logistic regression, training-split
-    metrics and test mean absolute error, all as DataFrames."""
-    data = read_libsvm(spark, libsvm_path, num_features)
-    train, test = MD.split_random(data, (0.9, 0.1), seed=seed)
+def train_job(spark: SparkSession, libsvm_path: str, num_features: int,
+              max_iter: int = 1000, reg: float = 0.01, seed: int = 11, split: str = "hash") -> dict:
+    """Step 4: L2 logistic regression on the training side, its metrics and
+    the mean absolute error on the test side, all as DataFrames.  ``split`` is
+    that of :func:`features_job`; ``none`` splits here at random (90/10)."""
+    if split == "hash":
+        train, test = (read_libsvm(spark, f"{libsvm_path}/{name}", num_features) for name in ("train", "test"))
+    else:
+        train, test = MD.split_random(read_libsvm(spark, libsvm_path, num_features), (0.9, 0.1), seed=seed)
     train = MD.training_frame(train)
     model = MD.fit_logreg(train, max_iter=max_iter, reg=reg)
     scored_train = MD.score(model, train)

@@ -45,10 +45,7 @@ def scan_csv_dropmalformed(spark, sf):
                                                      q("c_acctbal"), q("c_mktsegment"), F.lit('"extra"')))
         .otherwise(F.concat_ws(",", q("c_custkey"), q("c_name"), F.lit('"not-a-number"'),
                                q("c_acctbal"), q("c_mktsegment"))).alias("value"))
-    # first line of each text file is read as a header: lead with a header line
-    header = spark.createDataFrame([('"c_custkey","c_name","c_nationkey","c_acctbal","c_mktsegment"',)],
-                                   "value string")
-    header.unionByName(bad).coalesce(1).write.mode("overwrite").text(f"{base}/bad")
+    CSV.write_lines(bad, ",".join(CUSTOMER.fieldNames()), f"{base}/bad")
     return CSV.read_csv(spark, [f"{base}/good", f"{base}/bad"], CUSTOMER, mode="DROPMALFORMED")
 
 

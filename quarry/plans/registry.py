@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that its queries register."""
-    from quarry.plans import q_clean, q_text, q_tags, q_features, q_model, q_io  # noqa: F401
+    from quarry.plans import q_clean, q_text, q_tags, q_features, q_model, q_io, q_chain  # noqa: F401

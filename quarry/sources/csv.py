@@ -57,6 +57,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partitions: int
     out.write.mode(mode).options(**opts).csv(path)
 
 
+def write_lines(df: DataFrame, header: str, path: str) -> None:
+    """Write the one text column of ``df`` as lines, as they are, each file
+    below the line ``header``."""
+    df.toDF(header).write.mode("overwrite").options(
+        header="true", sep="\u0001", quote="", escapeQuotes="false").csv(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a
     machine-local temp folder on a cluster)."""

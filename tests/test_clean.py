@@ -131,3 +131,22 @@ def test_untitled_version_counts_before_it_goes(spark):
     both = C.clean(posts.limit(0), posts, users, votes).collect()
     for rows in (one, both):
         assert [(r.id, r.title, r.vote_type_id) for r in rows] == [(8, "x", "2|2|5|5")]
+
+
+def test_salted_join_equals_plain_join(spark):
+    """A third of the rows on one key, copies of one row among them, a null
+    key, and two rows of the hot key on the small side."""
+    from quarry.operators.joins import hot_key_split_join
+    big = spark.range(3000).selectExpr(
+        "CAST(CASE WHEN id % 3 = 0 THEN 7 WHEN id % 100 = 1 THEN NULL ELSE id % 40 END AS INT) AS k",
+        "CASE WHEN id % 3 = 0 THEN 'copy' ELSE CAST(id AS STRING) END AS v")
+    small = spark.range(50).selectExpr("CAST(id AS INT) AS k2", "id * 10 AS w").union(
+        spark.createDataFrame([(7, -1), (None, -2)], "k2 int, w long"))
+    got = hot_key_split_join(big, small, "k", "k2", share=0.1)
+    plain = big.join(small, F.col("k") == F.col("k2"))
+    assert got.columns == plain.columns
+    assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
+    assert hot_key_split_join(big.limit(0), small, "k", "k2").count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # the big side is planned for the join and, by its key only, for the count
+    assert plan.count("Range (0, 3000") <= 3 and plan.count("Range (0, 50,") == 1

@@ -58,3 +58,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     res = J.train_job(spark, f"{base}/libsvm", num_features=width, max_iter=50)
     assert res["metrics_weighted"].first()["accuracy"] > 0.5
     assert res["test_mae"].count() == 1
+    parity = f"{base}/libsvm_all"
+    width = J.features_job(spark, f"{base}/tagged", parity, split="none")
+    res = J.train_job(spark, parity, num_features=width, max_iter=5, split="none")
+    assert res["test_mae"].count() == 1
