@@ -93,20 +93,27 @@ def repartition_n(spark, sf):
 
 
 @query("libsvm_roundtrip", sql="""
-SELECT CAST(quality AS DOUBLE) AS label, CAST(toxic AS DOUBLE) AS f0, CAST(doc_id AS DOUBLE) AS f1
-FROM labels
+WITH c AS (SELECT doc_id, quality, doc_id % 997 AS i, 1 + toxic AS n FROM labels
+           UNION ALL SELECT doc_id, quality, doc_id * 31 % 997, 1 FROM labels),
+s AS (SELECT doc_id, quality, i, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY ALL)
+SELECT CAST(any_value(quality) AS DOUBLE) AS label, CAST(1000 AS INTEGER) AS width,
+       string_agg(i || ':' || n, ' ' ORDER BY i) AS cells
+FROM s GROUP BY doc_id
 """)
 def libsvm_roundtrip(spark, sf):
-    """(label, features) -> LibSVM -> back, unfolded to scalar columns."""
-    from pyspark.ml.feature import VectorAssembler
+    """(label, features) -> LibSVM -> back: sparse vectors 1,000 wide with
+    gaps, the last three features never set, unfolded to index:value text."""
+    from pyspark.ml.feature import CountVectorizerModel
     from pyspark.ml.functions import vector_to_array
     from quarry.sources.libsvm import read_libsvm, write_libsvm
-    lab = TB.table(spark, sf, "labels")
-    v = VectorAssembler(inputCols=["toxic", "doc_id"], outputCol="features").transform(
-        lab.select(F.col("quality").alias("label"), F.col("toxic").cast("double").alias("toxic"),
-                   F.col("doc_id").cast("double").alias("doc_id")))
+    first = (F.col("doc_id") % 997).cast("string")
+    items = F.concat(F.array_repeat(first, 1 + F.col("toxic").cast("int")),
+                     F.array((F.col("doc_id") * 31 % 997).cast("string")))
+    vocab = CountVectorizerModel.from_vocabulary([str(i) for i in range(1000)], inputCol="items", outputCol="features")
+    v = vocab.transform(TB.table(spark, sf, "labels").select(F.col("quality").alias("label"), items.alias("items")))
     path = CSV.scratch_path(spark, "libsvm")
-    write_libsvm(v, path)
-    back = read_libsvm(spark, path, num_features=2)
-    arr = vector_to_array("features")
-    return back.select("label", arr[0].alias("f0"), arr[1].alias("f1"))
+    write_libsvm(v.select("label", "features"), path)
+    back = read_libsvm(spark, path, num_features=1000).select("label", vector_to_array("features").alias("a"))
+    cells = F.filter(F.transform("a", lambda x, i: F.when(x != 0, F.concat_ws(":", i, x.cast("bigint")))),
+                     lambda c: c.isNotNull())
+    return back.select("label", F.size("a").alias("width"), F.concat_ws(" ", cells).alias("cells"))
