@@ -71,7 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir is unset; point it at shared storage")
     path = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
