@@ -62,3 +62,12 @@ def test_jobs_end_to_end(spark, tmp_path):
     width = J.features_job(spark, f"{base}/tagged", parity, split="none")
     res = J.train_job(spark, parity, num_features=width, max_iter=5, split="none")
     assert res["test_mae"].count() == 1
+
+
+def test_broken_lines_are_written_and_dropped(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string")
+    CSV.write_csv(rows, f"{tmp_path}/x_good")
+    CSV.write_lines(rows.select(F.concat("id", F.lit(",a \"b\",c")).alias("line")), "id,v", f"{tmp_path}/x_broken")
+    raw = {r["value"] for r in spark.read.text(f"{tmp_path}/x_broken").collect()}
+    assert raw == {"id,v", '1,a "b",c', '2,a "b",c'}
+    assert sorted(J.read_untyped(spark, f"{tmp_path}/x_*").collect()) == [("1", "a"), ("2", "b")]
