@@ -84,6 +84,25 @@ def test_fuzzy_passages_at_random(spark):
     assert all(n > 90 for n in found) and sum(found) > 0.9 * 60 * 140
 
 
+def test_passages_that_a_text_has_twice(spark):
+    """Every occurrence counts, also behind a part of the passage that stands
+    earlier in the same text."""
+    rows, want = [], {}
+    for i in range(24):
+        p, x = prose(7000 + i, 60), [prose(8000 + 4 * i + k, 40) for k in range(4)]
+        early = p if i % 2 else " ".join(p.split(" ")[:32])
+        rows += [(2 * i, " ".join([x[0], early, x[1], p, x[2]])), (2 * i + 1, f"{x[3]} {p}")]
+        n = len(early.split(" "))
+        want[2 * i] = [(80 + n, 140 + n), *([(40, 100)] if i % 2 else [])]
+        want[2 * i + 1] = [(40, 100)]
+    got = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in got:
+        spans = [tuple(map(int, s.split(":"))) for s in r.passages.split(",") if s]
+        for a, b in want[r.doc_id]:
+            assert any(s <= a + 2 and e >= b - 2 for s, e in spans), (r.doc_id, spans)
+    assert {r.component_id for r in got} == set(range(0, 48, 2))
+
+
 def test_chains_against_brute_force():
     r = random.Random(2)
     import numpy as np
