@@ -7,7 +7,7 @@ sources and one of its clusters; a piece goes to the successor of its size,
 and the search goes on to the next larger residual until the tightest
 compatible bin is found; else it opens a bin.
 
-Spark deals the documents by a hash of their id into groups of about
+Spark deals the documents by a hash of id and words into groups of about
 ``group_rows`` rows, so a hot source or cluster is spread over all groups;
 each group is packed by itself (decreasing size, then id), which leaves at
 most a few half-empty bins per group.  Only (id, size, source, cluster)
@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import wordhash as W
+from quarry.operators.joins import broadcast_if_small
+from quarry.session import write_table
 
 CAPACITY = 1024
 GROUP_ROWS = 5000
@@ -116,14 +118,23 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS
     Edge cases: a null or empty text is one piece of no words and in no bin
     (``bin_id`` null); a null source conflicts with nothing; rows with a null
     id are packed like others; repeated rows are packed each, in different
-    bins; other columns aren't read; an empty table gives an empty result."""
+    bins, and are spread over groups however many they are; other columns
+    aren't read; an empty table gives an empty result."""
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"),
                       F.col(source_col).cast("string").alias("source"))
-    groups = max(1, -(-docs.count() // group_rows))
-    sized = src.mapInArrow(_measure_task, "id bigint, n_words bigint, source string, cluster bigint")
-    # repeated rows of one id are spread by their words, null ids by theirs
-    grp = F.pmod(F.xxhash64("id", F.when(F.col("id").isNull(), F.col("cluster"))), F.lit(groups))
-    return (sized.withColumn("grp", grp).groupBy("grp")
+    sized = write_table(src.mapInArrow(_measure_task, "id bigint, n_words bigint, source string, cluster bigint"),
+                        "sized")
+    groups = max(1, -(-sized.count() // group_rows))  # the count comes from the files' footers
+    # rows that share an id are spread by their words
+    dealt = (sized.withColumn("first", F.pmod(F.xxhash64("id", "cluster"), F.lit(groups)))
+             .withColumn("row", F.monotonically_increasing_id()))
+    heavy = (dealt.groupBy("first").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * group_rows)
+             .select("first", F.ceil(F.col("n") / group_rows).alias("parts")))
+    # only repeated rows make a group heavy; such a group is dealt again, row by row
+    part = F.pmod("row", F.coalesce("parts", F.lit(1)))
+    dealt = (dealt.join(broadcast_if_small(write_table(heavy, "heavy")), "first", "left")
+             .withColumn("grp", F.col("first") + groups * part).drop("first", "parts", "row"))
+    return (dealt.groupBy("grp")
             .applyInArrow(_pack_task(capacity),
                           "id bigint, piece bigint, first_word bigint, n_words bigint, source string, "
                           "cluster bigint, bin_id bigint, bin_offset bigint")

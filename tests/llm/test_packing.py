@@ -54,6 +54,21 @@ def test_awkward_rows(spark, wide, no_docs):
     assert packing.pack(no_docs).collect() == []
 
 
+def test_repeated_rows_are_spread(spark):
+    rows = [(7, "a b c", "s")] * 1500 + [(None, None, None)] * 900 + [(i, f"w{i} x", f"t{i}") for i in range(100, 700)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5),
+                       capacity=100, group_rows=100).collect()
+    assert len(got) == len(rows) and sum(r.doc_id == 7 for r in got) == 1500
+    assert len({r.bin_id for r in got if r.doc_id == 7}) == 1500  # copies never share a bin
+    group = {}
+    for r in got:
+        if r.bin_id is not None:
+            group.setdefault(r.bin_id >> 32, set()).add(r.bin_id)
+            assert 0 <= r.bin_offset < 100
+    copies = [sum(r.bin_id is not None and r.bin_id >> 32 == g and r.doc_id == 7 for r in got) for g in group]
+    assert max(copies) <= 200
+
+
 def test_capacity_tree_against_brute_force():
     r = random.Random(5)
     for _ in range(60):
