@@ -103,6 +103,23 @@ def test_passages_that_a_text_has_twice(spark):
     assert {r.component_id for r in got} == set(range(0, 48, 2))
 
 
+def test_passages_of_lines_that_many_texts_have(spark):
+    """A passage whole in two texts only, of two lines that 30 others have one of each."""
+    rows, n = [], 12
+    for i in range(n):
+        one, two = prose(20_000 + i, 30), prose(21_000 + i, 30)
+        rows += [(2 * i + k, " ".join([prose(22_000 + 2 * i + k, 40), one, two, prose(23_000 + 2 * i + k, 40)]))
+                 for k in (0, 1)]
+        for m in range(30):
+            x = 24_000 + 100 * i + m
+            rows += [(x, " ".join([prose(x, 40), one if m % 2 else two, prose(x + 10_000, 40)]))]
+    got = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {r.doc_id: [tuple(map(int, s.split(":"))) for s in r.passages.split(",") if s] for r in got}
+    found = [i for i in range(2 * n) if any(s <= 42 and e >= 98 for s, e in spans[i])]
+    assert found == list(range(2 * n))
+    assert all(not spans[x] for x in spans if x >= 24_000)
+
+
 def test_chains_against_brute_force():
     r = random.Random(2)
     import numpy as np
