@@ -11,7 +11,7 @@ pair in 100,000 at that similarity (fewer above it).
 
 One window alone holds a constant share of all vectors, so counting over the
 whole table would touch all pairs.  Blocks bound that: a table of ``bits``
-projections, each cut at zero, names a block; two vectors are on one side of a
+projections of its own, each cut at zero, names a block; two vectors are on one side of a
 cut with a probability that only their angle decides, whatever the data look
 like, and enough tables are used for a pair at the similarity asked for to
 share a block with probability ``recall`` (more above it).  ``bits`` grows
@@ -48,11 +48,10 @@ class Plan:
         self.bits = max(2, min(round(math.log2(max(n, 1) / block)) if n > block else 2, 40))
         agree = 1 - math.acos(similarity) / math.pi
         self.tables = max(4, math.ceil(math.log(1 - recall) / math.log(1 - agree ** self.bits)))
-        rng = np.random.default_rng(SEED)
-        self.chosen = np.array([rng.permutation(PROJECTIONS)[:self.bits] for _ in range(self.tables)])
         # windows: 1.5 deviations of a pair's projections at the similarity
         self.window = 1.5 * math.sqrt(2 - 2 * similarity)
         self.directions: dict[int, np.ndarray] = {}
+        self.cuts: dict[int, np.ndarray] = {}
         p = math.erf(1.5 / math.sqrt(2))
         below, self.need = 0.0, 0
         while True:  # largest count that loses fewer than one pair in 100,000
@@ -67,10 +66,19 @@ class Plan:
             self.directions[d] = np.random.default_rng(SEED + d).standard_normal((d, PROJECTIONS))
         return unit @ self.directions[d]
 
-    def codes(self, sides: np.ndarray, d: int) -> np.ndarray:
-        """(vectors, tables) block names."""
+    def sides(self, unit: np.ndarray, tables: int) -> np.ndarray:
+        """(vectors, tables) sides of the first tables' cuts, as bits; no two
+        tables share a cut, so they are independent for a pair."""
+        d = unit.shape[1]
+        if d not in self.cuts:
+            self.cuts[d] = np.random.default_rng((SEED, d)).standard_normal((d, self.tables * self.bits))
         weight = np.uint64(1) << np.arange(self.bits, dtype=np.uint64)
-        raw = (sides[:, self.chosen] * weight).sum(axis=2, dtype=np.uint64)
+        above = unit @ self.cuts[d][:, :tables * self.bits] > 0
+        return (above.reshape(len(unit), tables, self.bits) * weight).sum(axis=2, dtype=np.uint64)
+
+    def codes(self, unit: np.ndarray) -> np.ndarray:
+        """(vectors, tables) block names."""
+        d, raw = unit.shape[1], self.sides(unit, self.tables)
         table = np.arange(1, self.tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return mix(mix(raw + np.uint64(d * 0xD1B54A32D192ED03 % (1 << 64))) ^ table)
 
@@ -107,10 +115,10 @@ def _by_length(column) -> list[tuple[int, np.ndarray, np.ndarray]]:
 def _code_task(plan: Plan):
     def run(batches):
         for batch in batches:
-            for d, rows, x in _by_length(batch.column(1)):
+            for _, rows, x in _by_length(batch.column(1)):
                 for a in range(0, len(rows), 2000):
                     k = rows[a:a + 2000]
-                    codes = plan.codes(plan.project(_unit(x[a:a + 2000])) > 0, d).view(np.int64)
+                    codes = plan.codes(_unit(x[a:a + 2000])).view(np.int64)
                     ends = np.arange(0, codes.size + 1, plan.tables, dtype=np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(k)),
@@ -138,8 +146,8 @@ def collisions(proj: np.ndarray, rows: slice, window: float) -> np.ndarray:
 
 def links_in(plan: Plan, table: int, ids, chunk, x, i: int, j: int):
     """Links of tile (i, j): (first, second) as row numbers."""
-    proj = plan.project(_unit(x))
-    sides = proj > 0
+    unit = _unit(x)
+    proj, sides = plan.project(unit), None
     out = []
     for start in range(0, len(x), 256):
         rows = slice(start, min(start + 256, len(x)))
@@ -155,8 +163,10 @@ def links_in(plan: Plan, table: int, ids, chunk, x, i: int, j: int):
         a, b = a[near], b[near]
         # counted in the first block that the two share
         first = np.ones(len(a), dtype=bool)
-        for t in range(table):
-            first &= ~(sides[a][:, plan.chosen[t]] == sides[b][:, plan.chosen[t]]).all(axis=1)
+        if table and len(a):
+            sides = plan.sides(unit, table) if sides is None else sides
+            for t in range(table):
+                first &= sides[a, t] != sides[b, t]
         out.append((a[first], b[first]))
     return tuple(np.concatenate(z) for z in zip(*out, strict=True))
 

@@ -2,6 +2,7 @@ import math
 
 import brute
 import numpy as np
+import pyarrow as pa
 from conftest import EXTRA
 from pyspark.sql import functions as F
 
@@ -82,3 +83,21 @@ def test_count_threshold():
     b /= np.linalg.norm(b, axis=1)[:, None]
     pa_, pb = plan.project(a), plan.project(0.9 * a + math.sqrt(1 - 0.81) * b)
     assert ((np.abs(pa_ - pb) <= plan.window).sum(axis=1) >= plan.need).mean() > 0.99
+
+
+def test_block_recall_of_large_tables():
+    """Pairs just above the threshold share a block as often as stated."""
+    r = np.random.default_rng(5)
+    a = r.standard_normal((3000, 48))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = r.standard_normal((3000, 48))
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    c = r.uniform(0.9, 0.905, (3000, 1))
+    b = c * a + np.sqrt(1 - c * c) * b
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6000)), pa.array([x.tobytes() for x in np.concatenate([a, b])])],
+                                       names=["id", "vec"])
+    for n in (1_000_000, 100_000_000):
+        plan = embedding.Plan(n, 0.9, 0.999)
+        codes = np.concatenate([np.array(x.column(1).to_pylist()) for x in embedding._code_task(plan)([batch])])
+        assert (codes[:3000] == codes[3000:]).any(axis=1).mean() >= 0.997
