@@ -236,6 +236,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        .mapInArrow(_set_task(width), "id bigint, set binary"), "sets")
     if sets.count() > wanted.count():  # rows that share an id; counts come from the files' footers
         sets = write_table(sets.distinct(), "sets")
+        # one member for each, or an id that stands twice in a bucket cancels out of its fingerprint
+        again, members = members, write_table(members.distinct().groupBy("bucket", "id", "n", "hub")
+                                              .agg(F.sum("size").alias("size")), "members")
+        drop_table(again)
     links = _confirm(members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
                      .distinct(), sets, num, den)
     # buckets of two are settled by their hub; of the others, those in one component are, too

@@ -29,6 +29,19 @@ def test_group_of_copies_and_near_copies(spark):
     assert answer(got) == sorted(brute.near_duplicates(rows, 4), key=brute.key)
 
 
+@pytest.mark.parametrize("repeats", [1, 2, 3])
+def test_repeated_rows_behind_unlinked_hubs(spark, repeats):
+    """Two near-copies whose buckets all have smaller ids that neither links with."""
+    rows = []
+    for g in range(12):
+        base = prose(30_000 + g, 100)
+        rows += [(100 * g + i, edited(base, 100 * g + i, 3 if i < 30 else 1)) for i in range(32)]
+    want = brute.near_duplicates(rows, 4)
+    assert sum(c != i for i, _, c in want) >= 12
+    got = minhash.near_duplicates(spark.createDataFrame(rows * repeats, "doc_id long, text string"), width=4)
+    assert answer(got) == sorted(want * repeats, key=brute.key)
+
+
 def test_empty(spark, no_docs):
     assert minhash.near_duplicates(no_docs).collect() == []
     assert minhash.keep_first(no_docs).collect() == []
