@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import (decontaminate, embedding, minhash, packing, pii, quality, substrings, tokens, urls,
+from quarry.llm import (decontaminate, embedding, merkle, minhash, packing, pii, quality, substrings, tokens, urls,
                         warc)
 from quarry.llm.graph import read_table
 
@@ -114,6 +114,72 @@ def op7_fuzzy_passages(spark, sf_dir):
     return substrings.repeated_passages(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_merkle_manifest(spark, sf_dir):
+    """Every document's Merkle proof, folded from a copy in which each fifth
+    document has its A-Z lower-cased."""
+    docs = read_table(spark, sf_dir, "documents")
+    touched = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.audit(docs, tampered={"text": F.when(touched, lowered)})
+
+
+def _merkle_sql(levels: int = 8) -> str:
+    """The proofs level by level: ``levels`` of both trees are unrolled, enough for 16 ** levels rows."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    value = lambda c: (f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' "
+                       f"|| CAST({c} AS VARCHAR) END")
+    head = " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    low = f"translate(text, '{upper}', '{lower}')"
+    bits = "list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0])"
+    crc = (f"xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR),"
+           f" ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: list_reduce({bits}, lambda x, y: "
+           f"xor(x >> 1, 3988292384 * (x & 1)))))")
+    parts = [f"""d AS (
+  SELECT doc_id, coalesce('s' || source, '') AS grp, sha256({head} || {value("text")}) AS leaf,
+         CASE WHEN text IS NOT NULL AND {crc} % 5 = 0 THEN sha256({head} || {value(low)}) END AS other
+  FROM documents),
+g0 AS (SELECT grp, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+              leaf AS digest, doc_id, other FROM d)"""]
+
+    def climb(name, first):
+        """Paths of all nodes of ``first`` (grp, pos, digest) to the top of their group."""
+        parts.append(f"{name}0 AS (SELECT grp, pos, digest FROM {first})")
+        for k in range(levels):
+            parts.append(f"{name}r{k} AS (SELECT grp, pos // 16 AS run, list(digest ORDER BY pos) AS l, "
+                         f"sum(count(*)) OVER (PARTITION BY grp) AS n FROM {name}{k} GROUP BY grp, pos // 16)")
+            parts.append(f"{name}{k + 1} AS (SELECT grp, run AS pos, sha256(array_to_string(l, '')) AS digest "
+                         f"FROM {name}r{k} WHERE n > 1)")
+        tops = " UNION ALL ".join(f"SELECT grp, l[1] AS digest FROM {name}r{k} WHERE n = 1" for k in range(levels))
+        parts.append(f"{name}top AS ({tops})")
+
+    def paths(name, source, pos, cur, proof, keep):
+        """Proofs and folds of ``source``'s rows along the levels of a tree."""
+        parts.append(f"{source}{name}0 AS (SELECT *, {pos} AS spot, {cur} AS cur, {proof} AS prf FROM {source})")
+        for k in range(levels):
+            parts.append(
+                f"{source}{name}{k + 1} AS (SELECT x.* EXCLUDE (spot, cur, prf), spot // 16 AS spot, CASE WHEN r.n > 1 THEN "
+                f"sha256(array_to_string(list_concat(r.l[1:spot % 16], [cur], r.l[spot % 16 + 2:]), '')) ELSE cur END AS cur, "
+                f"CASE WHEN r.n > 1 THEN prf || array_to_string(list_concat(r.l[1:spot % 16], r.l[spot % 16 + 2:]), '') "
+                f"ELSE prf END AS prf FROM {source}{name}{k} x LEFT JOIN {name}r{k} r "
+                f"ON r.grp = {keep} AND r.run = spot // 16)")
+        return f"{source}{name}{levels}"
+
+    climb("a", "g0")
+    parts.append("s0 AS (SELECT '' AS grp, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos, digest, grp AS member FROM atop)")
+    climb("b", "s0")
+    mid = paths("a", "g0", "pos", "coalesce(other, digest)", "''", "x.grp")
+    parts.append(f"m AS (SELECT q.* EXCLUDE (spot), s0.pos AS top, s0.digest AS subroot FROM {mid} q "
+                 f"JOIN s0 ON s0.member = q.grp)")
+    parts.append("n AS (SELECT * EXCLUDE (cur, prf), cur AS c0, prf AS p0 FROM m)")
+    last = paths("b", "n", "top", "c0", "p0", "''")
+    sql = "WITH " + ",\n".join(parts)
+    return (f"{sql}\nSELECT doc_id, digest AS leaf, subroot, (SELECT digest FROM btop) AS root, sha256(prf) AS proof_sha256, "
+            f"cur AS folded_root, cur = (SELECT digest FROM btop) AS verified FROM {last}")
+
+
+ORACLE_SQL["op11_merkle_manifest"] = _merkle_sql()
+
 ORACLE_SQL["op6_seekable_warc"] = r"""
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
 f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d HAVING count(*) > 1)
