@@ -6,8 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import (decontaminate, embedding, merkle, minhash, packing, pii, quality, substrings, tokens, urls,
-                        warc)
+from quarry.llm import (decontaminate, embedding, merkle, minhash, packing, pii, quality, sharding, substrings, tokens,
+                        urls, warc)
 from quarry.llm.graph import read_table
 
 QUERIES = {}
@@ -124,6 +124,12 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle.audit(docs, tampered={"text": F.when(touched, lowered)})
 
 
+@_query
+def op13_differencing_shards(spark, sf_dir):
+    """All documents in 8 shards of near equal bytes, equal texts together."""
+    return sharding.shards(read_table(spark, sf_dir, "documents"))
+
+
 def _merkle_sql(levels: int = 8) -> str:
     """The proofs level by level: ``levels`` of both trees are unrolled, enough for 16 ** levels rows."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
