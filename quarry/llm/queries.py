@@ -6,8 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import (decontaminate, embedding, merkle, minhash, packing, pii, quality, sharding, substrings, tokens,
-                        urls, warc)
+from quarry.llm import (decontaminate, embedding, merkle, minhash, negatives, packing, pii, quality, sharding,
+                        substrings, tokens, urls, warc)
 from quarry.llm.graph import read_table
 
 QUERIES = {}
@@ -124,6 +124,36 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle.audit(docs, tampered={"text": F.when(touched, lowered)})
 
 
+@_query
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector, after each seventh one's
+    label has moved on by one."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+ORACLE_SQL["op12_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+             CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
 @_query
 def op13_differencing_shards(spark, sf_dir):
     """All documents in 8 shards of near equal bytes, equal texts together."""
