@@ -37,7 +37,7 @@ GROUP_SHARDS = 2
 #: centroids of a half's codebook, rounds of its training
 CENTROIDS, ROUNDS, SEED = 24, 6, 20240301
 #: rows scored before the next look at the bounds
-STEP = 256
+STEP = 1024
 #: squared norm (of the integer vectors) above which scores might not fit a long
 NORM_LIMIT = 2.0 ** 60
 
@@ -92,6 +92,11 @@ def _cell_task(batches):
         yield from part.to_batches()
 
 
+def _highest(s: np.ndarray, top: int) -> np.ndarray:
+    """Which scores are among the ``top`` highest, all that tie included."""
+    return s >= (np.partition(s, -top)[-top] if len(s) > top else -2 ** 63)
+
+
 class Shard:
     """A shard's rows, in the order of their cells, and its two codebooks."""
 
@@ -164,21 +169,27 @@ class Shard:
         """(score, row) of the ``top`` best wanted rows, ties by id and row."""
         found = []
         for at, bound in self.steps(a, wanted):
-            found += self._listed(at, self.scores(at, a))
-            found = heapq.nsmallest(top, found)
+            s = self.scores(at, a)
+            ok = _highest(s, top)
+            if len(found) == top:
+                ok &= s >= -found[-1][0]
+            found = heapq.nsmallest(top, found + self._listed(at[ok], s[ok]))
             if len(found) == top and -found[-1][0] > bound:
                 break
         return [(-s, k) for s, _, _, k in found]
 
     def windows(self, a: np.ndarray, wanted: np.ndarray, top: int, windows: list[tuple[int, int]]):
         """The ``top`` best wanted rows in each window (least, most score)."""
-        least, most = min(w[0] for w in windows), max(w[1] for w in windows)
+        most = max(w[1] for w in windows)
         kept: list = []
         answers = [[] for _ in windows]
         open_ = list(range(len(windows)))
         for at, bound in self.steps(a, wanted, most):
             s = self.scores(at, a)
-            ok = (s >= least) & (s <= most)
+            ok = np.zeros(len(s), bool)
+            for lo, hi in (windows[w] for w in open_):
+                inside = np.flatnonzero((s >= lo) & (s <= hi))
+                ok[inside[_highest(s[inside], top)]] = True
             kept = sorted(kept + self._listed(at[ok], s[ok]))
             for w in list(open_):
                 lo, hi = windows[w]
