@@ -37,7 +37,7 @@ GROUP_SHARDS = 2
 #: centroids of a half's codebook, rounds of its training
 CENTROIDS, ROUNDS, SEED = 24, 6, 20240301
 #: rows scored before the next look at the bounds
-STEP = 1024
+STEP = 512
 #: squared norm (of the integer vectors) above which scores might not fit a long
 NORM_LIMIT = 2.0 ** 60
 
