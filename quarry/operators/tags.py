@@ -4,6 +4,9 @@ The segmentation column is computed in place (no join back on id).  The
 dictionary is compiled into one trie regex (``functions.segment``) after a
 size check: it must stay below ``max_dictionary_chars`` characters, the bound
 that makes shipping it with the plan safe.  Beyond that bound
+``segment_trie`` builds a double-array trie once (``functions.trie``, about
+10 bytes per trie state), broadcasts it and walks whole Arrow batches of
+strings through it; nothing is shuffled.  Beyond ``MAX_TRIE_CHARS``
 ``segment_distributed`` computes the same result with joins and shuffles
 only: every (string, position, length) candidate piece is matched against
 the dictionary with an equi-join, the longest match per position is kept,
@@ -13,9 +16,13 @@ positions.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions import trie as TR
 from quarry.functions.segment import (dictionary_regex, forward_pieces, reverse_pieces,
                                       segment_tags)
 from quarry.functions.text import pipe_join
@@ -23,6 +30,9 @@ from quarry.functions.text import pipe_join
 #: dictionary bound for the regex path (characters over all tags)
 MAX_DICTIONARY_CHARS = 4_000_000
 
+#: dictionary bound for the trie path (characters over all tags)
+MAX_TRIE_CHARS = 64_000_000
+
 SENTINEL = "*****"
 
 
@@ -68,7 +78,10 @@ def segment(df: DataFrame, tags: DataFrame, col: str = "tags", out: str = "split
     try:
         words = dictionary_words(tags, max_chars)
     except OverflowError:
-        return segment_distributed(df, tags, col, out, on_fail, passes, as_array, with_pass)
+        try:
+            return segment_trie(df, tags, col, out, on_fail, passes, as_array, with_pass)
+        except OverflowError:
+            return segment_distributed(df, tags, col, out, on_fail, passes, as_array, with_pass)
     s = F.col(col)
     if passes == "forward":
         fwd = forward_pieces(s, dictionary_regex(words))
@@ -81,6 +94,10 @@ def segment(df: DataFrame, tags: DataFrame, col: str = "tags", out: str = "split
     res = df.withColumn(out, val)
     if with_pass:
         res = res.withColumn("pass", how)
+    return _failed(res, out, on_fail, as_array)
+
+
+def _failed(res: DataFrame, out: str, on_fail: str, as_array: bool) -> DataFrame:
     if on_fail == "drop":
         return res.where(F.col(out).isNotNull())
     if on_fail == "sentinel" and not as_array:
@@ -88,6 +105,34 @@ def segment(df: DataFrame, tags: DataFrame, col: str = "tags", out: str = "split
     return res
 
 
+def segment_trie(df: DataFrame, tags: DataFrame, col: str = "tags", out: str = "split_tags",
+                 on_fail: str = "drop", passes: str = "both", as_array: bool = False,
+                 with_pass: bool = False, max_chars: int = MAX_TRIE_CHARS) -> DataFrame:
+    """Segmentation by a double-array trie, one for each pass, broadcast after
+    the size check of the dictionary.  The strings stay where they are: each
+    Arrow batch of the one column is walked as a whole.
+
+    Null and empty strings fail, as in :func:`segment`; other columns aren't
+    touched; an empty dictionary fails every string."""
+    words = [w.encode() for w in dictionary_words(tags, max_chars)]
+    send = df.sparkSession.sparkContext.broadcast
+    forward = send(TR.build(words))
+    backward = send(TR.build([w[::-1] for w in words])) if passes == "both" else None
+
+    @F.arrow_udf("pieces array<string>, how string")
+    def walk(s: pa.Array) -> pa.Array:
+        pieces, how = TR.segment(s, forward.value, backward.value if backward else None)
+        return pa.StructArray.from_arrays([pieces, how], names=["pieces", "how"])
+
+    found = "_segmented"
+    res = df.withColumn(found, walk(F.col(col).cast("string")))
+    pieces = F.col(f"{found}.pieces")
+    res = res.withColumn(out, pieces if as_array else pipe_join(pieces))
+    if with_pass:
+        res = res.withColumn("pass", F.col(f"{found}.how"))
+    return _failed(res.drop(found), out, on_fail, as_array)
+
+
 def segment_distributed(df: DataFrame, tags: DataFrame, col: str = "tags",
                         out: str = "split_tags", on_fail: str = "drop",
                         passes: str = "both", as_array: bool = False,
@@ -158,27 +203,97 @@ def segment_distributed(df: DataFrame, tags: DataFrame, col: str = "tags",
     # shuffle join (a hot tag string is split by AQE's skew handling)
     from quarry.operators.joins import broadcast_if_small
     seg = broadcast_if_small(seg)
-    res = df.join(seg, df[col] == seg["_s"], "left").drop("_s")
-    if on_fail == "drop":
-        return res.where(F.col(out).isNotNull())
-    if on_fail == "sentinel" and not as_array:
-        return res.withColumn(out, F.coalesce(F.col(out), _fail(on_fail)))
-    return res
+    return _failed(df.join(seg, df[col] == seg["_s"], "left").drop("_s"), out, on_fail, as_array)
 
 
 def prefix_matches(df: DataFrame, tags: DataFrame, col: str = "tags",
                    max_chars: int = MAX_DICTIONARY_CHARS) -> DataFrame:
     """(row, tag_name) for every dictionary tag that ``col`` starts with.
 
-    Every prefix of the string up to the longest tag is equi-joined with the dictionary: rows x (longest tag)
-    hash lookups instead of rows x (dictionary size) comparisons; the
-    dictionary side is broadcast only when its size is shown to be small.
+    A dictionary of at most ``max_chars`` characters (counted) is broadcast:
+    every prefix of the string up to the longest tag is a hash lookup.  A
+    larger one is merged with the strings in order (:func:`prefix_merge`).
     """
-    from quarry.operators.joins import broadcast_if_small
     d = tag_dictionary(tags)
-    longest = d.agg(F.max(F.length("tag_name"))).first()[0] or 0
+    size = d.agg(F.max(F.length("tag_name")).alias("longest"), F.sum(F.length("tag_name")).alias("chars")).first()
+    if (size["chars"] or 0) > max_chars:
+        return prefix_merge(df, tags, col)
     from quarry.functions.text import explode_items
     pre = df.withColumn("_l", explode_items(F.sequence(F.lit(1), F.least(F.length(col),
-                                                                          F.lit(longest)))))
+                                                                          F.lit(size["longest"] or 0)))))
     pre = pre.where(F.col("_l").isNotNull()).withColumn("_pre", F.substring(col, 1, F.col("_l")))
-    return pre.join(broadcast_if_small(d), pre["_pre"] == d["tag_name"], "inner").drop("_l", "_pre")
+    return pre.join(F.broadcast(d), pre["_pre"] == d["tag_name"], "inner").drop("_l", "_pre")
+
+
+#: sampled texts per partition that the cuts of a merge are taken from
+CUT_SAMPLE = 64
+
+
+def _cuts(texts: DataFrame, parts: int) -> list[bytes]:
+    """Texts that cut the rows into ``parts`` ranges of about equal size, of a
+    bounded sample (ordered by a hash of text and row, so a text stands in it
+    as often as in the rows); a text of many rows is a cut several times.
+    They decide where rows go, never what is found."""
+    deal = F.xxhash64("text", F.monotonically_increasing_id())
+    sample = sorted(r["text"].encode() for r in
+                    texts.select("text", deal.alias("h")).orderBy("h").limit(CUT_SAMPLE * parts).collect())
+    return [sample[k * len(sample) // parts] for k in range(1, parts)] if sample else []
+
+
+def _merge_task(batches):
+    """Rows sorted by part, text and role (tags first): a stack holds the tags
+    that are prefixes of the text last read."""
+    part, stack = None, []
+    for batch in batches:
+        rows, found = [], []
+        for i, (p, text, is_text) in enumerate(zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(),
+                                                   batch.column("is_text").to_pylist(), strict=True)):
+            if p != part:
+                part, stack = p, []
+            while stack and not text.startswith(stack[-1]):
+                stack.pop()
+            if not is_text:
+                stack.append(text)
+            else:
+                rows += [i] * len(stack)
+                found += stack
+        yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(rows, pa.int64())),
+                                          pa.array(found, pa.string())], names=["row", "tag_name"])
+
+
+def prefix_merge(df: DataFrame, tags: DataFrame, col: str = "tags") -> DataFrame:
+    """The rows of :func:`prefix_matches` by one range-partitioned merge.
+
+    Strings and tags are sorted together in string order; a tag that is a
+    prefix of a string stands before it, and between the two stand only
+    strings that begin with that tag, so one stack of open prefixes per range
+    finds all matches.  A tag that a range's first string may begin with is
+    sent to that range as well: per range at most as many tags as the longest
+    one has characters.  So the rows moved are the strings, the tags and those
+    few.  A string that holds a large share of the rows covers several ranges
+    and is dealt over them.  Null and empty strings match nothing."""
+    d = tag_dictionary(tags).select(F.col("tag_name").alias("text"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.where(F.length(col) > 0).select(F.col(col).cast("string").alias("text"), F.struct("*").alias("row"))
+    cuts = _cuts(texts.select("text"), parts)
+
+    def first_and_last(last):
+        @F.arrow_udf("first int, last int")
+        def ranges(text: pa.Array) -> pa.Array:
+            keys = [t.encode() for t in text.to_pylist()]
+            low = [bisect_left(cuts, k) for k in keys]
+            return pa.StructArray.from_arrays([pa.array(low, pa.int32()), pa.array([last(k) for k in keys], pa.int32())],
+                                              names=["first", "last"])
+        return ranges(F.col("text"))
+
+    # no valid text has a byte 0xFF: everything that begins with k is below k + 0xFF
+    of_tags = d.withColumn("at", first_and_last(lambda k: bisect_left(cuts, k + b"\xff")))
+    of_texts = texts.withColumn("at", first_and_last(lambda k: bisect_right(cuts, k)))
+    deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("at.last") - F.col("at.first") + 1)
+    kind = of_texts.schema["row"].dataType
+    rows = of_texts.select((F.col("at.first") + deal).cast("int").alias("part"), "text", F.lit(True).alias("is_text"), "row")
+    marks = of_tags.select(F.explode(F.sequence("at.first", "at.last")).alias("part"), "text",
+                           F.lit(False).alias("is_text"), F.lit(None).cast(kind).alias("row"))
+    merged = (marks.unionByName(rows).repartition(parts, "part").sortWithinPartitions("part", "text", "is_text")
+              .mapInArrow(_merge_task, f"row {kind.simpleString()}, tag_name string"))
+    return merged.select("row.*", "tag_name")

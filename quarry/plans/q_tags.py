@@ -147,10 +147,32 @@ def tag_segment_distributed(spark, sf):
     return TG.segment_distributed(g, _dict2(spark, sf), on_fail="drop").select("id", "split_tags")
 
 
-@query("tag_prefix_theta_join", sql=f"""
+@query("tag_segment_trie", sql=f"""
+WITH RECURSIVE {_DICT2}, {_GLUED.format(expr=_WITH_JUNK)}, {_FWD}, {_REV}, {_SEG}
+SELECT id, split_tags, pass FROM seg
+""")
+def tag_segment_trie(spark, sf):
+    """The double-array trie used beyond the regex's dictionary bound."""
+    g = _glued_junk(spark, sf).select("id", "tags")
+    return TG.segment_trie(g, _dict2(spark, sf), on_fail="null", with_pass=True).select(
+        "id", "split_tags", "pass")
+
+
+_PREFIX_SQL = f"""
 WITH {_DICT}
 SELECT p_partkey AS id, w AS tag_name FROM part JOIN dict ON starts_with(replace(p_name, ' ', ''), w)
-""")
+"""
+
+
+@query("tag_prefix_merge", sql=_PREFIX_SQL)
+def tag_prefix_merge(spark, sf):
+    """The same matches by the merge in string order used beyond the
+    dictionary bound."""
+    g = TB.glued_tags(spark, sf)
+    return TG.prefix_merge(g, TB.tag_words(spark, sf)).select("id", "tag_name")
+
+
+@query("tag_prefix_theta_join", sql=_PREFIX_SQL)
 def tag_prefix_theta_join(spark, sf):
     """Every dictionary tag each glued string starts with (theta join with
     the size-checked broadcast dictionary)."""

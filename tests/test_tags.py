@@ -117,3 +117,72 @@ def test_prefix_matches_have_one_plan_at_every_size(spark):
         df = spark.createDataFrame([(1, "t12x"), (2, None), (3, "q")], "id long, tags string")
         got = TG.prefix_matches(df, spark.createDataFrame([(w,) for w in words], "tag_name string"))
         assert sorted(r["tag_name"] for r in got.collect()) == sorted(w for w in words if "t12x".startswith(w))
+
+
+def test_trie_matches_brute_force():
+    import pyarrow as pa
+
+    from quarry.functions import trie as TR
+    r = random.Random(1)
+    for _ in range(150):
+        alphabet = "abé中"[:r.randint(2, 4)]
+        words = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 5))) for _ in range(r.randint(0, 30))]
+        strings = ["".join(r.choice(alphabet + "x") for _ in range(r.randint(0, 9))) for _ in range(50)] + [None]
+        forward = TR.build([w.encode() for w in words])
+        backward = TR.build([w.encode()[::-1] for w in words])
+        pieces, how = TR.segment(pa.array(strings, pa.string()), forward, backward)
+        got = ["|".join(p) if p else None for p in pieces.to_pylist()]
+        assert got == [brute_force(s, words) for s in strings]
+        assert [h is None for h in how.to_pylist()] == [g is None for g in got]
+
+
+def test_three_paths_agree_beyond_the_regex_bound(spark):
+    r = random.Random(2)
+    words = list({"".join(r.choice("abcdefghijklmnopqrstuvwxyz-.é") for _ in range(r.randint(3, 30)))
+                  for _ in range(270_000)})
+    assert sum(map(len, words)) > TG.MAX_DICTIONARY_CHARS
+    strings = ["".join(r.choice(words) for _ in range(r.randint(1, 5))) + r.choice(["", "", "#"]) for _ in range(60)]
+    strings += ["", None, "x" * 20_000, words[0] * 3000]
+    df = spark.createDataFrame(list(enumerate(strings)), "id long, tags string")
+    tags = spark.createDataFrame([(w,) for w in words], "tag_name string")
+    answer = lambda d: sorted((x["id"], x["split_tags"], x["pass"]) for x in d.collect())
+    chosen = TG.segment(df, tags, on_fail="null", with_pass=True)
+    assert "PythonUDF" in chosen._jdf.queryExecution().toString() or "Arrow" in chosen._jdf.queryExecution().toString()
+    some = df.where("length(tags) < 1000 OR tags IS NULL")
+    assert answer(chosen.where("length(tags) < 1000 OR tags IS NULL")) == answer(
+        TG.segment_distributed(some, tags, on_fail="null", with_pass=True))
+    long = {x["id"]: x["split_tags"] for x in chosen.where("length(tags) >= 1000").collect()}
+    assert long[strings.index(words[0] * 3000)].replace("|", "") == words[0] * 3000
+    empty = spark.createDataFrame([], "tag_name string")
+    assert TG.segment_trie(df, empty).count() == 0
+    assert TG.segment_trie(df, tags, passes="forward", as_array=True).count() > 20
+
+
+def test_prefix_merge_matches_brute_force(spark):
+    from collections import Counter
+    r = random.Random(3)
+    words = list({"".join(r.choice("abé") for _ in range(r.randint(1, 7))) for _ in range(200)}) + ["", None]
+    strings = ["".join(r.choice("abéz") for _ in range(r.randint(0, 10))) for _ in range(600)]
+    strings += ["abababab"] * 400 + [None]  # one string in many rows covers several ranges
+    df = spark.createDataFrame([(i, s, "x") for i, s in enumerate(strings)], "id long, tags string, part string").repartition(5)
+    tags = spark.createDataFrame([(w,) for w in words], "tag_name string").repartition(3)
+    want = Counter((i, s, w) for i, s in enumerate(strings) if s for w in words if w and s.startswith(w))
+    for got in (TG.prefix_merge(df, tags), TG.prefix_matches(df, tags, max_chars=10)):
+        assert got.columns == ["id", "tags", "part", "tag_name"]
+        assert Counter((x["id"], x["tags"], x["tag_name"]) for x in got.collect()) == want
+    assert TG.prefix_merge(df.where("false"), tags).count() == 0
+    assert TG.prefix_merge(df, tags.where("false")).count() == 0
+
+
+def test_prefix_merge_moves_strings_and_tags_once(spark):
+    """Rows written by the one shuffle: strings, tags and a few tags more."""
+    r = random.Random(4)
+    words = ["a" * k for k in range(1, 6)] + ["".join(r.choice("abc") for _ in range(6)) for _ in range(100)]
+    strings = ["".join(r.choice("abc") for _ in range(9)) for _ in range(900)]
+    df = spark.createDataFrame(list(enumerate(strings)), "id long, tags string")
+    got = TG.prefix_merge(df, spark.createDataFrame([(w,) for w in words], "tag_name string"))
+    got.write.format("noop").mode("overwrite").save()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # the merge's own exchange, and the distinct of the dictionary
+    assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning(part") == 1
+    assert "Join" not in plan
