@@ -11,10 +11,12 @@ Physical plan, designed for skewed votes, owners and duplicated rows:
    size is proven small; otherwise (default ``skew='auto'``) owners holding
    a large share of the posts are split out and served by a broadcast of
    their few user rows, the rest is a shuffle join.
-3. ``attach_votes``: distinct of the joined rows with map-side partial
-   aggregation (copies of one row collapse before the shuffle), a join with
-   the vote lists by post id (inner; posts without any vote row vanish), and
-   the per-id version count as a window over that id clustering.
+   Posts are made distinct before (``dedupe``): rows with text columns are
+   compared by 128-bit fingerprints, and only rows whose fingerprint repeats
+   are shuffled whole, so bodies are exchanged once, by post id.
+3. ``attach_votes``: a join with the vote lists by post id (inner; posts
+   without any vote row vanish), and the per-id version count as a window
+   over that id clustering.
 4. ``clean`` runs both labelled sets as one plan (tagged and unioned first).
 
 The result equals the reference's join -> distinct -> collect_list -> re-join
@@ -34,8 +36,38 @@ from quarry.operators.joins import broadcast_if_small, hot_key_split_join
 
 
 def dedupe(df: DataFrame) -> DataFrame:
-    """Full-row distinct."""
-    return df.distinct()
+    """Full-row distinct: in two phases where a column has variable width."""
+    return distinct_wide(df) if any(f.dataType.simpleString() in ("string", "binary") for f in df.schema) \
+        else df.distinct()
+
+
+def _fingerprint(df: DataFrame):
+    """Two 64-bit hashes of a row; equal rows have equal ones."""
+    # a distinct takes 0.0 and -0.0 for equal
+    cols = [F.col(f"`{c}`") + F.lit(0.0).cast(kind) if kind in ("float", "double") else F.col(f"`{c}`")
+            for c, kind in df.dtypes]
+    return F.struct(F.xxhash64(*cols).alias("f1"), F.xxhash64(F.lit("second"), *cols).alias("f2"))
+
+
+def distinct_wide(df: DataFrame) -> DataFrame:
+    """Full-row distinct of rows with text columns.  First the rows' 128-bit
+    fingerprints are counted (a shuffle of 16 bytes a row, partially
+    aggregated); then only rows whose fingerprint repeats are compared whole
+    with a distinct, all others pass without a shuffle.  ``df`` is read
+    twice.  Nested columns are left to the plain distinct."""
+    if any("<" in kind for _, kind in df.dtypes):
+        return df.distinct()
+    from quarry.session import write_table
+    counts = df.select(_fingerprint(df).alias("_fp")).groupBy("_fp.f1", "_fp.f2").agg(F.count(F.lit(1)).alias("n"))
+    again = write_table(counts.where("n > 1").select("f1", "f2"), "again")
+    if again.isEmpty():
+        return df
+    again = broadcast_if_small(again.select(F.col("f1").alias("_g1"), F.col("f2").alias("_g2")))
+    marked = df.withColumn("_fp", _fingerprint(df))
+    same = (F.col("_fp.f1") == F.col("_g1")) & (F.col("_fp.f2") == F.col("_g2"))
+    once = marked.join(again, same, "left_anti").drop("_fp")
+    copies = marked.join(again, same, "left_semi").drop("_fp").distinct()
+    return once.unionByName(copies)
 
 
 def attach_user(posts: DataFrame, users: DataFrame, skew: str = "auto",
@@ -70,22 +102,17 @@ def vote_lists(votes: DataFrame, post_key: str = "post_id",
 
 def attach_votes(posts_users: DataFrame, votes: DataFrame, key: str = "id",
                  post_key: str = "post_id", vote_type: str = "vote_type_id",
-                 version_group=None) -> DataFrame:
+                 version_group=None, distinct: bool = False) -> DataFrame:
     """Distinct post rows + ``vote_type_id`` as ``a|b|c`` (posts without votes
-    vanish).
-
-    The distinct is partially aggregated map-side (exact copies collapse
-    before any shuffle); the join with the vote lists clusters the rows by
-    post id, and the count of distinct versions per id is a window over that
-    clustering (no further exchange).  ``version_group`` extends the id with
-    columns that separate independent sets (e.g. ``label`` when both
-    labelled sets run together).
+    vanish).  ``distinct``: the rows are known to be.
+
+    The join with the vote lists clusters the rows by post id, and the count
+    of distinct versions per id is a window over that clustering (no further
+    exchange).  ``version_group`` extends the id with columns that separate
+    independent sets (e.g. ``label`` when both labelled sets run together).
     """
     group = [key] + list(version_group or [])
-    # plain distinct: map-side partial aggregation collapses exact copies
-    # before the shuffle, so a row copied a third of all times reaches its
-    # reducer at most once per map task
-    versions = posts_users.distinct()
+    versions = posts_users if distinct else posts_users.distinct()
     vl = vote_lists(votes, post_key, vote_type)
     j = versions.join(vl, versions[key] == vl["_pid"], "inner")
     # the join output is clustered by id: the version count needs no exchange
@@ -109,9 +136,14 @@ def nonempty(df: DataFrame, col: str = "title") -> DataFrame:
     return df.where(F.col(col) != "")
 
 
+def _posts_users(posts: DataFrame, users: DataFrame, skew: str) -> DataFrame:
+    """Distinct posts with their owners' distinct reputations: distinct rows."""
+    return attach_user(dedupe(posts), users.select("id", "reputation").distinct(), skew=skew)
+
+
 def clean_branch(posts: DataFrame, users: DataFrame, votes: DataFrame, value: int,
                  require_title: bool = False, skew: str = "auto") -> DataFrame:
-    out = label(attach_votes(attach_user(posts, users, skew=skew), votes), value)
+    out = label(attach_votes(_posts_users(posts, users, skew), votes, distinct=True), value)
     # an id's versions are counted with the untitled ones; only then do those go
     return nonempty(out) if require_title else out
 
@@ -130,8 +162,7 @@ def clean(questions: DataFrame, answered: DataFrame, users: DataFrame, votes: Da
     q = questions.withColumn("label", F.lit(0).cast("int"))
     a = answered.withColumn("label", F.lit(1).cast("int"))
     posts = q.unionByName(a)
-    pu = attach_user(posts, users, skew=skew)
-    out = attach_votes(pu, votes, version_group=["label"])
+    out = attach_votes(_posts_users(posts, users, skew), votes, version_group=["label"], distinct=True)
     out = out.where((F.col("label") == 0) | (F.col("title") != ""))
     cols = [c for c in out.columns if c not in ("vote_type_id", "label")]
     out = out.select(*cols, "vote_type_id", "label")

@@ -71,6 +71,104 @@ def term_counts_long(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def _pairs(tokens):
+    """(row, term, tf) of the distinct terms of each row of a batch."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    flat = pa.table({"row": pc.list_parent_indices(tokens), "term": pc.list_flatten(tokens)})
+    flat = flat.filter(pc.is_valid(flat.column("term")))
+    return flat.group_by(["row", "term"]).aggregate([([], "count_all")]).rename_columns(["row", "term", "tf"])
+
+
+def term_counts_in_row(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
+    """(id, term, tf) as :func:`term_counts_long` gives them for rows with ids
+    of their own, without a shuffle: a row's tokens are counted where the row
+    is.  Rows that share an id are counted each."""
+    def count(batches):
+        for batch in batches:
+            got = _pairs(batch.column(1)).combine_chunks()
+            ids = batch.column(0).take(got.column("row").combine_chunks() if got.num_rows else [])
+            for part in got.drop_columns("row").add_column(0, id_col, ids).to_batches():
+                yield part
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(id_col, tokens_col).mapInArrow(count, f"`{id_col}` {kind}, term string, tf bigint")
+
+
+#: distinct terms that a task holds before it writes its partial counts
+PARTIAL_TERMS = 1_000_000
+
+
+def term_partials(df: DataFrame, tokens_col: str) -> DataFrame:
+    """(part, term, total, df): every task's own counts, nothing shuffled;
+    a task with many distinct terms writes several parts."""
+    def count(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+        held, size, part = [], 0, TaskContext.get().partitionId() << 20
+
+        def flush(rows):
+            whole = pa.concat_tables(rows).group_by("term").aggregate([("total", "sum"), ("df", "sum")])
+            return whole.rename_columns(["term", "total", "df"])
+
+        def out(whole, part):
+            for b in whole.to_batches():
+                yield pa.RecordBatch.from_arrays([pa.array([part] * b.num_rows, pa.int64()), *b.columns],
+                                                 names=["part", "term", "total", "df"])
+
+        for batch in batches:
+            got = _pairs(batch.column(0)).group_by("term").aggregate([("tf", "sum"), ([], "count_all")])
+            held.append(got.rename_columns(["term", "total", "df"]))
+            size += got.num_rows
+            if size >= PARTIAL_TERMS:
+                held = [flush(held)]
+                size = held[0].num_rows
+                if size >= PARTIAL_TERMS // 2:
+                    yield from out(held[0], part)
+                    held, size, part = [], 0, part + 1
+        if held:
+            yield from out(flush(held), part)
+    return df.select(tokens_col).where(F.col(tokens_col).isNotNull()) \
+        .mapInArrow(count, "part bigint, term string, total bigint, df bigint")
+
+
+def vocabulary_by_threshold(df: DataFrame, tokens_col: str, vocab_size: int = DEFAULT_VOCAB,
+                            min_df: int = 1) -> DataFrame:
+    """(term, total, df, index) as :func:`vocabulary`, by a threshold top-k.
+
+    Every task counts its terms (distinct terms of a document inside its row),
+    and only term rows are ever shuffled.  1. The sums of the largest partial
+    counts give a lower bound of the ``vocab_size``-th total.  2. A term all of
+    whose partial counts are below bound / parts can't reach it and is left
+    out.  3. The others are counted exactly and ranked.  The driver sees
+    histograms of at most 512 rows."""
+    from quarry.session import write_table
+    parts = write_table(term_partials(df, tokens_col), "partials")
+    m = parts.select("part").distinct().count()
+    power = F.floor(F.log2("total")).cast("int")
+    many = {r["p"]: r["n"] for r in parts.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    need, cut = 2 * vocab_size, 0
+    for p in sorted(many, reverse=True):
+        cut, need = p, need - many[p]
+        if need <= 0:
+            break
+    sums = (parts.where(F.col("total") >= (1 << cut)).groupBy("term")
+            .agg(F.sum("total").alias("total"), F.sum("df").alias("df")).where(F.col("df") >= min_df))
+    fine = F.floor(F.log2("total") * 8).cast("int")
+    hist = {r["p"]: r["n"] for r in sums.groupBy(fine.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    bound, seen = 0, 0
+    for p in sorted(hist, reverse=True):
+        seen += hist[p]
+        if seen >= vocab_size:
+            bound = int(2 ** (p / 8) * (1 - 1e-9))  # the bin's lower end
+            break
+    least = -(-bound // max(m, 1))
+    if least > 1:
+        able = parts.where(F.col("total") >= least).select("term").distinct()
+        parts = parts.join(broadcast_if_small(write_table(able, "able")), "term", "left_semi")
+    exact = parts.groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+    return rank_global(exact.where(F.col("df") >= min_df), [F.col("total").desc(), F.col("term").asc()], limit=vocab_size)
+
+
 def term_totals(tf_long: DataFrame, id_col: str) -> DataFrame:
     """term -> total count and document frequency (partial aggregation,
     hot terms included)."""
@@ -205,12 +303,23 @@ def _remover(i, o, stopwords):
 
 def _vocab_list(df: DataFrame, col: str, vocab_size: int) -> list[str]:
     """Deterministic vocabulary (top ``vocab_size`` by count, ties by term)."""
-    tfl = term_counts_long(df.select("id", col), "id", col)
-    voc = vocabulary(tfl, "id", vocab_size)
+    voc = vocabulary_by_threshold(df, col, vocab_size)
     # bounded by vocab_size (the model parameter): what CountVectorizer keeps
     return [r["term"] for r in voc.orderBy("index").select("term").collect()]
 
 
+def count_model(vocabulary: list[str], input_col: str, output_col: str) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary``, which sends a term per call
+    to the JVM; here the terms go as one text that the JVM splits."""
+    if not vocabulary or any(not w or "\n" in w for w in vocabulary):
+        return CountVectorizerModel.from_vocabulary(vocabulary, inputCol=input_col, outputCol=output_col)
+    from pyspark import SparkContext
+    cut = SparkContext._active_spark_context._jvm.java.util.regex.Pattern.compile("\n")
+    model = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel",
+                                                         cut.split("\n".join(vocabulary)))
+    return model.setInputCol(input_col).setOutputCol(output_col)
+
+
 def _sql_str(w: str) -> str:
     return "'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -231,7 +340,7 @@ def _scaled_text_block(df: DataFrame, src: str, out: str, vocab_size: int):
     MinMaxScaler; the always-present terms sit at the end of the block.
     """
     n_docs = df.count()
-    voc = vocabulary(term_counts_long(df.select("id", src), "id", src), "id", vocab_size)
+    voc = vocabulary_by_threshold(df, src, vocab_size)
     # bounded by vocab_size, the model parameter
     rows = voc.orderBy("index").select("term", "df").collect()
     ubiq = sorted(r["term"] for r in rows if r["df"] >= n_docs)
@@ -239,17 +348,17 @@ def _scaled_text_block(df: DataFrame, src: str, out: str, vocab_size: int):
     stages = []
     main = src
     if not terms:
-        return [CountVectorizerModel.from_vocabulary(ubiq, inputCol=src, outputCol=out + "_cv1"),
+        return [count_model(ubiq, src, out + "_cv1"),
                 MinMaxScaler(inputCol=out + "_cv1", outputCol=out)]
     if ubiq:
         main = out + "_tok0"
         arr = "array(" + ", ".join(_sql_str(w) for w in ubiq) + ")"
         stages.append(SQLTransformer(
             statement=f"SELECT *, filter({src}, t -> NOT array_contains({arr}, t)) AS {main} FROM __THIS__"))
-    stages += [CountVectorizerModel.from_vocabulary(terms, inputCol=main, outputCol=out + "_cv0"),
+    stages += [count_model(terms, main, out + "_cv0"),
                MaxAbsScaler(inputCol=out + "_cv0", outputCol=out + "_s0" if ubiq else out)]
     if ubiq:
-        stages += [CountVectorizerModel.from_vocabulary(ubiq, inputCol=src, outputCol=out + "_cv1"),
+        stages += [count_model(ubiq, src, out + "_cv1"),
                    MinMaxScaler(inputCol=out + "_cv1", outputCol=out + "_s1"),
                    VectorAssembler(inputCols=[out + "_s0", out + "_s1"], outputCol=out)]
     return stages
@@ -280,8 +389,7 @@ def feature_pipeline(df: DataFrame, variant: str = "count", vocab_size: int = DE
             if text_scaler == "sparse":
                 stages += _scaled_text_block(tokenized, src, out, vocab_size)
             else:
-                stages.append(CountVectorizerModel.from_vocabulary(
-                    _vocab_list(tokenized, src, vocab_size), inputCol=src, outputCol=mid))
+                stages.append(count_model(_vocab_list(tokenized, src, vocab_size), src, mid))
                 stages.append(MinMaxScaler(inputCol=mid, outputCol=out))
     elif variant == "hash":
         stages += [HashingTF(inputCol="filtered1", outputCol="title_f", numFeatures=vocab_size),
@@ -322,3 +430,19 @@ def hashing_tf_long(df: DataFrame, id_col: str, tokens_col: str,
     return (df.select(id_col, explode_items(F.col(tokens_col)).alias("term"))
             .where(F.col("term").isNotNull())
             .groupBy(id_col, idx).agg(F.count(F.lit(1)).cast("double").alias("tf")))
+
+
+def hashing_tf_vectors(df: DataFrame, tokens_col: str, out_col: str = "features",
+                       num_features: int = DEFAULT_VOCAB) -> DataFrame:
+    """``df`` with the sparse count vector of its tokens' buckets, the buckets
+    being those of :func:`hashing_tf_long` (the ML transformer of Spark 3 and
+    later places most terms elsewhere).  A count vectorizer counts the bucket
+    numbers, so no Python runs; a null list has a null vector."""
+    buckets = "_buckets"
+    hashed = F.transform(F.filter(F.col(tokens_col), lambda t: t.isNotNull()),
+                         lambda t: F.pmod(F.hash(t), F.lit(num_features)).cast("string"))
+    counter = count_model([str(i) for i in range(num_features)], buckets, out_col)
+    got = counter.transform(df.withColumn(buckets, F.coalesce(hashed, F.array().cast("array<string>"))))
+    vector = F.when(F.col(tokens_col).isNotNull(), F.col(out_col))
+    # one metadata entry per bucket would travel with every plan
+    return got.withColumn(out_col, vector.alias(out_col, metadata={})).drop(buckets)

@@ -1,8 +1,8 @@
 """Join helpers: broadcast only behind a size check, split hot keys.
 
 ``broadcast_if_small`` broadcasts the small side only when its size is shown
-to be below a bound: exactly from the row count when every column has a
-fixed width, else Catalyst's estimate times a safety factor.  Above the
+to be below a bound: exactly from the row count when it is a bare scan of
+fixed-width columns, else Catalyst's estimate times a safety factor.  Above the
 bound it leaves the choice to the planner (sort-merge join with AQE skew
 splitting).
 
@@ -37,12 +37,22 @@ _FIXED = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double",
           "timestamp", "timestamp_ntz")
 
 
+def _bare_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is columns of a Parquet scan, of a range or of local
+    rows, so that counting it runs no part of a plan twice."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() == "Project" and node.deterministic():
+        node = node.child()
+    name = node.nodeName()
+    return name in ("Range", "LocalRelation") or (name == "LogicalRelation" and " parquet" in node.toString())
+
+
 def proven_bytes(df: DataFrame) -> int | None:
-    """Exact upper bound of the broadcast size when every column has a fixed
-    width: rows x (8-byte null bitset + 8 bytes per field), doubled for the
-    hash relation.  One count job (Parquet answers it from metadata when no
-    filter applies).  None when a column has variable width."""
-    if not all(f.dataType.simpleString() in _FIXED for f in df.schema):
+    """Exact upper bound of the broadcast size of a bare scan whose columns
+    all have a fixed width: rows x (8-byte null bitset + 8 bytes per field),
+    doubled for the hash relation; Parquet answers the count from its
+    footers.  None for other plans and columns of variable width."""
+    if not all(f.dataType.simpleString() in _FIXED for f in df.schema) or not _bare_scan(df):
         return None
     width = 8 * ((len(df.columns) + 63) // 64) + 8 * len(df.columns)
     return 2 * width * df.count()

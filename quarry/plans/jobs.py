@@ -23,6 +23,7 @@ from quarry.operators import metrics as MT
 from quarry.operators import model as MD
 from quarry.operators import tags as TG
 from quarry.sources import csv as CSV
+from quarry.session import write_table
 from quarry.sources.libsvm import read_libsvm, write_libsvm
 
 #: fixed values: the input file-name patterns of the dumps
@@ -48,14 +49,16 @@ def read_untyped(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 
 
 def clean_job(spark: SparkSession, input_prefix: str, output_path: str,
-              partitions: int | None = None, fmt: str = "parquet") -> None:
+              partitions: int | None = None, fmt: str = "parquet", multi_line: bool = True) -> None:
     """Step 1: labelled posts of both sets, written once, split by label.
 
-    The dumps are projected and typed at the scan.  Copies of posts and users
-    fall to the one distinct after their join, copies of votes to the vote
-    lists, so the raw rows are never shuffled to be deduplicated."""
-    q = S.enforce(read_untyped(spark, input_prefix + QUESTIONS_GLOB), S.POSTS)
-    a = S.enforce(read_untyped(spark, input_prefix + ANSWERED_GLOB), S.POSTS)
+    The dumps are projected and typed at the scan.  Typed posts are written
+    before they are made distinct, since that reads them twice; copies of
+    votes fall to the vote lists.  ``multi_line``: post texts hold line breaks;
+    each file is then one task, so dumps must come in files of a bounded size
+    (some 256 MB).  Dumps without line breaks are split with it off."""
+    q = write_table(S.enforce(read_untyped(spark, input_prefix + QUESTIONS_GLOB, multi_line), S.POSTS), "questions")
+    a = write_table(S.enforce(read_untyped(spark, input_prefix + ANSWERED_GLOB, multi_line), S.POSTS), "answered")
     u = S.enforce(read_untyped(spark, input_prefix + USERS_GLOB, multi_line=False), S.USERS)
     v = S.enforce(read_untyped(spark, input_prefix + VOTES_GLOB, multi_line=False), S.VOTES)
     out = S.assert_columns(C.clean(q, a, u, v), [f.name for f in S.LABELLED])

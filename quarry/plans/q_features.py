@@ -19,10 +19,14 @@ ranked AS (SELECT term, total, df, row_number() OVER (ORDER BY total DESC, term)
 TOPK = 1000
 
 
-def _tf_long(spark, sf):
+def _tokens(spark, sf):
     d = TB.table(spark, sf, "documents")
-    toks = d.select("doc_id", X.remove_stopwords(X.tokenize(F.col("text"))).alias("toks"))
-    return FT.term_counts_long(toks, "doc_id", "toks")
+    return d.select("doc_id", X.remove_stopwords(X.tokenize(F.col("text"))).alias("toks"))
+
+
+def _tf_long(spark, sf):
+    """Term counts in long form; a document is one row, so nothing is shuffled."""
+    return FT.term_counts_in_row(_tokens(spark, sf), "doc_id", "toks")
 
 
 @query("vocabulary_terms", sql=f"""
@@ -31,7 +35,8 @@ SELECT term, total, df FROM totals
 """)
 def vocabulary_terms(spark, sf):
     """Corpus vocabulary: total count and document frequency per term."""
-    return FT.term_totals(_tf_long(spark, sf), "doc_id").select("term", "total", "df")
+    counts = FT.term_partials(_tokens(spark, sf), "toks").groupBy("term")
+    return counts.agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
 
 
 @query("vocabulary_topk", sql=f"""
@@ -40,7 +45,7 @@ SELECT term, total, df, index FROM ranked WHERE index < {TOPK}
 """)
 def vocabulary_topk(spark, sf):
     """Top-V terms by total count (ties by term) with their vector index."""
-    return FT.vocabulary(_tf_long(spark, sf), "doc_id", vocab_size=TOPK).select(
+    return FT.vocabulary_by_threshold(_tokens(spark, sf), "toks", vocab_size=TOPK).select(
         "term", "total", "df", "index")
 
 
@@ -69,9 +74,11 @@ SELECT t.doc_id, t.term, t.tf,
 FROM tf t JOIN st ON t.term = st.term
 """)
 def minmax_terms_long(spark, sf):
-    """Min-max scaled term counts in long form (absent cells stay 0)."""
+    """Min-max scaled term counts in long form (absent cells stay 0).  The
+    counts feed the statistics and the join, so they are written once."""
+    from quarry.session import write_table
     n_docs = TB.table(spark, sf, "documents").count()
-    r = FT.minmax_terms_long(_tf_long(spark, sf), "doc_id", n_docs)
+    r = FT.minmax_terms_long(write_table(_tf_long(spark, sf), "tf_long"), "doc_id", n_docs)
     return r.select("doc_id", "term", "tf", F.round("value", 6).alias("value"))
 
 
@@ -101,13 +108,45 @@ def minmax_scalars(spark, sf):
     return r.select("id", *[F.round(c + "_f", 6).alias(c + "_f") for c in cols])
 
 
-@query("hashing_tf")
+def murmur_sql(source: str, col: str) -> str:
+    """CTEs that end in ``hashed(term, index)``: the bucket of each term of
+    ``source`` by 32-bit murmur3 (seed 42) of its UTF-8 bytes, of which the
+    last len % 4 are mixed in one by one as signed numbers."""
+    m = 4294967295
+    rotated = lambda x, r: f"((({x} << {r}) & {m}) | ({x} >> {32 - r}))"
+    return f"""bytes AS (SELECT {col} AS term, list_transform(range(0, octet_length(encode({col}))),
+      lambda i: CAST('0x' || substr(hex(encode({col})), 2 * i + 1, 2) AS UBIGINT)) AS b
+    FROM (SELECT DISTINCT {col} FROM {source})),
+  mixed AS (SELECT term, len(b) AS n, list_transform(list_transform(list_concat(
+      list_transform(range(0, len(b) // 4), lambda i: b[4 * i + 1] + b[4 * i + 2] * 256 + b[4 * i + 3] * 65536 + b[4 * i + 4] * 16777216),
+      list_transform(b[len(b) // 4 * 4 + 1:], lambda x: CASE WHEN x > 127 THEN x + 4294967040 ELSE x END)),
+      lambda x: (x * 3432918353) & {m}), lambda x: ({rotated('x', 15)} * 461845907) & {m}) AS k FROM bytes),
+  h0 AS (SELECT term, xor(list_reduce(list_concat([CAST(42 AS UBIGINT)], k),
+      lambda h, x: ({rotated('xor(h, x)', 13)} * 5 + 3864292196) & {m}), CAST(n AS UBIGINT)) AS h FROM mixed),
+  h1 AS (SELECT term, (xor(h, h >> 16) * 2246822507) & {m} AS h FROM h0),
+  h2 AS (SELECT term, (xor(h, h >> 13) * 3266489909) & {m} AS h FROM h1),
+  hashed AS (SELECT term, CAST(xor(h, h >> 16) % {FT.DEFAULT_VOCAB} AS INTEGER) AS index FROM h2)"""
+
+
+_HASHED_TF_SQL = f"""
+WITH toks AS (SELECT doc_id, unnest({_stop_sql('text')}) AS term FROM documents),
+{murmur_sql('toks', 'term')}
+SELECT doc_id, index, CAST(count(*) AS DOUBLE) AS tf FROM toks JOIN hashed USING (term) GROUP BY doc_id, index
+"""
+
+
+@query("hashing_tf", sql=_HASHED_TF_SQL)
 def hashing_tf(spark, sf):
-    """Hashed term frequencies (2^18 buckets) in long form (doc, index, tf);
-    no SQL form (murmur3), cross-checked against ML HashingTF in tests."""
-    d = TB.table(spark, sf, "documents")
-    toks = d.select("doc_id", X.remove_stopwords(X.tokenize(F.col("text"))).alias("toks"))
-    return FT.hashing_tf_long(toks, "doc_id", "toks")
+    """Hashed term frequencies (2^18 buckets) in long form (doc, index, tf)."""
+    return FT.hashing_tf_long(_tokens(spark, sf), "doc_id", "toks")
+
+
+@query("hashing_tf_vectors", sql=_HASHED_TF_SQL)
+def hashing_tf_vectors(spark, sf):
+    """The same buckets as sparse vectors, unfolded to their cells."""
+    from quarry.operators.model import vector_cells
+    vectors = FT.hashing_tf_vectors(_tokens(spark, sf), "toks")
+    return vector_cells(vectors, ("doc_id",)).select("doc_id", "index", F.col("value").alias("tf"))
 
 
 def features_in(spark, sf):
@@ -230,3 +269,94 @@ FROM (SELECT doc_id, unnest({_stop_sql('text')}) AS term FROM documents) GROUP B
 def hashing_tf_totals(spark, sf):
     """Sum of the hashed term frequencies per document = its kept tokens."""
     return hashing_tf(spark, sf).groupBy("doc_id").agg(F.sum("tf").alias("total"))
+
+
+# ------------------------------------------------------- long-form assembly
+
+# the cells of all blocks with the index of their term, item or scalar inside the block
+_LONG_SQL = f"""{_CELLS_SQL},
+lrank AS (SELECT block, term, row_number() OVER (PARTITION BY block ORDER BY count(*) DESC, term) - 1 AS k
+          FROM lists WHERE train GROUP BY block, term),
+local AS (
+  SELECT id, block, rk - 1 AS k, CASE WHEN mx = mn THEN 0.5 ELSE (tf - mn) / (mx - mn) END AS v
+  FROM tf JOIN voc USING (block, term)
+  UNION ALL
+  SELECT s.id, voc.block, rk - 1, CASE WHEN mx = mn THEN 0.5 ELSE (0 - mn) / (mx - mn) END
+  FROM (SELECT * FROM src WHERE NOT train) s JOIN (SELECT * FROM voc WHERE mn > 0) voc ON true
+  WHERE NOT EXISTS (SELECT 1 FROM tf WHERE tf.id = s.id AND tf.block = voc.block AND tf.term = voc.term)
+  UNION ALL
+  SELECT id, block, k, CAST(count(*) AS DOUBLE) FROM lists JOIN lrank USING (block, term) GROUP BY id, block, term, k
+  UNION ALL
+  SELECT id, name, 0, CASE WHEN hi = lo THEN 0.5 ELSE (x - lo) / (hi - lo) END FROM scal JOIN mm USING (name)),
+sizes AS (
+  SELECT * FROM (VALUES ('title', 1), ('body', 2), ('s1', 3), ('s2', 4), ('s3', 5), ('s4', 6), ('tags', 7), ('s5', 8),
+                        ('votes', 9)) AS b(block, place)
+  LEFT JOIN (SELECT block, count(*) AS n FROM voc GROUP BY block UNION ALL SELECT block, count(*) FROM lrank GROUP BY block
+             UNION ALL SELECT name, 1 FROM mm) USING (block)),
+offsets AS (SELECT block, coalesce(sum(n) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
+            FROM sizes),
+long AS (SELECT id, CAST(o + k AS BIGINT) AS index, v AS value FROM local JOIN offsets USING (block) WHERE v <> 0)"""
+
+_ASSEMBLED: dict = {}
+
+
+def assembled(spark, sf):
+    """(prepared rows, long-form cells fitted on the training split),
+    memoised per application and scale."""
+    from quarry.operators.long_features import assemble_long
+    from quarry.operators.model import split_hash
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ASSEMBLED:
+        prepared = FT.prepare(features_in(spark, sf))
+        _ASSEMBLED[key] = prepared, assemble_long(prepared, split_hash(prepared, "id")[0])
+    return _ASSEMBLED[key]
+
+
+@query("assemble_cells", sql=f"""
+WITH {_LONG_SQL}
+SELECT id, index, round(value, 6) AS value FROM long
+""")
+def assemble_cells(spark, sf):
+    """Every cell of the nine assembled blocks, by its global index."""
+    return assembled(spark, sf)[1].cells.select("id", "index", F.round("value", 6).alias("value"))
+
+
+@query("libsvm_long_roundtrip", sql=f"""
+WITH {_LONG_SQL}
+SELECT label, (SELECT CAST(sum(n) AS INTEGER) FROM sizes) AS width, CAST(index AS INTEGER) AS index, round(value, 6) AS value
+FROM long JOIN src USING (id)
+""")
+def libsvm_long_roundtrip(spark, sf):
+    """Cells written straight to LibSVM in one secondary sort, read back as
+    vectors and unfolded again."""
+    from quarry.operators.long_features import write_libsvm_long
+    from quarry.operators.model import vector_cells
+    from quarry.sources.csv import scratch_path
+    from quarry.sources.libsvm import read_libsvm
+    prepared, done = assembled(spark, sf)
+    path = scratch_path(spark, "libsvm_long")
+    write_libsvm_long(prepared, done.cells, path)
+    back = read_libsvm(spark, path, num_features=done.width)
+    return vector_cells(back, ("label",)).select("label", F.lit(done.width).alias("width"), "index",
+                                                 F.round("value", 6).alias("value"))
+
+
+@query("score_linear_long", sql=f"""
+WITH {_LONG_SQL},
+raw AS (SELECT src.id, 0.25 + coalesce(sum(value * ((index * 7919) % 2001 - 1000) / 1000.0), 0) AS raw
+        FROM (SELECT id FROM src WHERE NOT train) src LEFT JOIN long ON long.id = src.id GROUP BY src.id)
+SELECT id, round(raw, 6) AS raw, round(1 / (1 + exp(-raw)), 6) AS probability,
+       CASE WHEN raw > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+FROM raw
+""")
+def score_linear_long(spark, sf):
+    """Test rows scored as a sparse matrix-vector product: cells joined with
+    coefficients that their index gives, and summed."""
+    from quarry.operators.long_features import score_linear_long as score
+    from quarry.operators.model import split_hash
+    prepared, done = assembled(spark, sf)
+    given = spark.range(done.width).select(F.col("id").alias("index"),
+                                           ((F.col("id") * 7919 % 2001 - 1000) / 1000.0).alias("coefficient"))
+    test = split_hash(prepared.select("id"), "id")[1]
+    out = score(test, done.cells.join(test, "id", "left_semi"), given, intercept=0.25)
+    return out.select("id", F.round("raw", 6).alias("raw"), F.round("probability", 6).alias("probability"), "prediction")

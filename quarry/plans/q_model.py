@@ -119,6 +119,19 @@ def split_random(spark, sf):
         test.select("id", F.lit("test").alias("split")))
 
 
+@query("split_random_invariants", sql=f"""
+WITH {FEATURES_IN_SQL}
+SELECT id, CAST(1 AS BIGINT) AS times, true AS share_in_bounds FROM src
+""")
+def split_random_invariants(spark, sf):
+    """Each id is on one side of the random split once, and the training side
+    has a share of the rows within five deviations of 0.9."""
+    sides = split_random(spark, sf)
+    n, train = sides.agg(F.count(F.lit(1)), F.count_if(F.col("split") == "train")).first()
+    near = abs(train - 0.9 * n) <= 5 * (0.09 * n) ** 0.5
+    return sides.groupBy("id").agg(F.count(F.lit(1)).alias("times")).withColumn("share_in_bounds", F.lit(near))
+
+
 @query("split_train_test", sql=f"""
 WITH {FEATURES_IN_SQL}
 SELECT id, label, CASE WHEN train THEN 'train' ELSE 'test' END AS split FROM src
@@ -157,6 +170,38 @@ def objective_history(spark, sf):
     return MD.objective_history(_fitted(spark, sf)[3], spark)
 
 
+#: largest gradient entry, in the standardised space, of a converged fit
+GRADIENT_BOUND = 1e-3
+
+
+@query("optimality", sql=f"""
+WITH {FEATURES_IN_SQL}
+SELECT id, true AS converged FROM src WHERE train
+""")
+def optimality(spark, sf):
+    """Every training id with whether the fitted point is optimal: no entry of
+    the objective's gradient over those rows exceeds the bound."""
+    _, train, _, model = _fitted(spark, sf)
+    worst = MD.gradient(model, train).agg(F.max(F.abs("gradient"))).first()[0]
+    return train.select("id", F.lit(worst is not None and worst <= GRADIENT_BOUND).alias("converged"))
+
+
+@query("objective_check", sql=f"""
+WITH {FEATURES_IN_SQL}
+SELECT count(*) AS n_train, true AS last_matches, true AS monotone FROM src WHERE train
+""")
+def objective_check(spark, sf):
+    """The objective, computed again over the training rows at the fitted
+    point, against the last entry of the training history, which never
+    rises."""
+    _, train, _, model = _fitted(spark, sf)
+    history = model.summary.objectiveHistory
+    matches = abs(MD.objective(model, train) - history[-1]) <= 1e-6
+    falling = all(b <= a + 1e-12 for a, b in zip(history, history[1:]))
+    return train.agg(F.count(F.lit(1)).alias("n_train")).select(
+        "n_train", F.lit(matches).alias("last_matches"), F.lit(falling).alias("monotone"))
+
+
 @query("score_test")
 def score_test(spark, sf):
     """Batch scoring of the test split: (id, label, prediction, p1)."""

@@ -28,14 +28,20 @@ LOSSLESS_READ = {
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType, mode: str = "PERMISSIVE",
-             lossless: bool = True, glob: str | None = None, **options) -> DataFrame:
+             lossless: bool = True, glob: str | None = None, multi_line: bool = True, **options) -> DataFrame:
     """Read CSV file(s) with an explicit schema.
 
+    ``multi_line``: values may hold line breaks.  A file is then one task, so
+    a dump must come in files of a bounded size (some 256 MB); a dump whose
+    values hold no line breaks is read with ``multi_line=False``, and its
+    files are split.
+
     ``path`` may be a list and may contain glob patterns; ``glob`` filters file
     names (``pathGlobFilter``).  ``mode='DROPMALFORMED'`` drops rows with a
     wrong field count or an unparseable value.
     """
     opts = dict(LOSSLESS_READ) if lossless else {"header": "true"}
+    opts["multiLine"] = str(bool(multi_line and lossless)).lower()
     opts.update(options)
     opts["mode"] = mode
     if glob:

@@ -150,3 +150,22 @@ def test_salted_join_equals_plain_join(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     # the big side is planned for the join and, by its key only, for the count
     assert plan.count("Range (0, 3000") <= 3 and plan.count("Range (0, 50,") == 1
+
+
+def test_distinct_wide_equals_distinct(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from quarry.operators import clean as C
+    rows = [(1, "a", None, 0.0), (1, "a", None, -0.0), (1, None, "a", 0.0), (1, "a", None, 0.5), (None, None, None, None),
+            (None, None, None, None), (2, "b", "c", float("nan")), (2, "b", "c", float("nan"))]
+    rows += [(9, "hot", "x" * 500, 1.0)] * 400 + [(i, f"t{i}", "y", 2.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, title string, body string, score double").repartition(6)
+    text = lambda d: Counter(str(tuple(r)) for r in d.select("id", "title", "body", F.col("score") + 0.0).collect())
+    assert text(C.distinct_wide(df)) == text(df.distinct()) and max(text(C.distinct_wide(df)).values()) == 1
+    unlike = df.where("id < 300 AND id > 2").distinct()
+    assert C.distinct_wide(unlike) is unlike  # no fingerprint repeats: nothing else is done
+    nested = df.withColumn("list", F.array("score"))
+    assert C.distinct_wide(nested).count() == nested.distinct().count()
+    assert C.distinct_wide(df.where("false")).count() == 0

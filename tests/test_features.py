@@ -136,3 +136,75 @@ def test_vocabulary_plan_starts_no_job(spark):
         assert len(sc.statusTracker().getJobIdsForGroup("plan-only")) == 0
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_vocabulary_by_threshold_equals_a_full_count(spark):
+    import random
+    from collections import Counter
+
+    from quarry.operators import features as FT
+    r = random.Random(1)
+    words = [f"w{i}" for i in range(3000)]
+    weights = [1 / (i + 1) for i in range(3000)]
+    rows = [(i, r.choices(words, weights, k=r.randint(0, 60))) for i in range(1500)]
+    rows += [(5000, None), (5001, []), (5002, [None, "w1"]), (5003, ["w0"] * 5000)]
+    df = spark.createDataFrame(rows, "id long, toks array<string>").repartition(5)
+    total, docs = Counter(), Counter()
+    for _, toks in rows:
+        total.update(t for t in toks or [] if t)
+        docs.update({t for t in toks or [] if t})
+    for size, least in ((10, 1), (10, 400), (200, 2), (5000, 1)):
+        order = sorted((t for t in total if docs[t] >= least), key=lambda t: (-total[t], t))[:size]
+        got = sorted((x["index"], x["term"], x["total"], x["df"])
+                     for x in FT.vocabulary_by_threshold(df, "toks", size, least).collect())
+        assert got == [(i, t, total[t], docs[t]) for i, t in enumerate(order)]
+    assert FT.vocabulary_by_threshold(df.where("false"), "toks", 5).count() == 0
+    long = Counter({(x["id"], x["term"]): x["tf"] for x in FT.term_counts_in_row(df, "id", "toks").collect()})
+    assert long == Counter((i, t) for i, toks in rows for t in toks or [] if t)
+
+
+def test_hashed_vectors_hold_the_long_form(spark):
+    from quarry.operators import features as FT
+    from quarry.operators.model import vector_cells
+    rows = [(1, ["a", "bb", "ccc", "dddd", "é中", "a"]), (2, []), (3, None), (4, [None, "a"])]
+    df = spark.createDataFrame(rows, "id long, toks array<string>")
+    vectors = FT.hashing_tf_vectors(df, "toks", num_features=1024)
+    cells = sorted(tuple(r) for r in vector_cells(vectors.where("features IS NOT NULL"), ("id",)).collect())
+    assert cells == sorted(tuple(r) for r in FT.hashing_tf_long(df, "id", "toks", 1024).collect())
+    assert {r["id"]: r["features"] is None for r in vectors.collect()} == {1: False, 2: False, 3: True, 4: False}
+
+
+def test_long_assembly_against_the_pipeline(spark, tmp_path):
+    """Cells and LibSVM rows hold what the ML pipeline's vectors hold."""
+    from quarry.operators import features as FT
+    from quarry.operators.long_features import assemble_long, score_linear_long, write_libsvm_long
+    from quarry.operators.model import vector_cells
+    from quarry.sources.libsvm import read_libsvm
+    rows = [(i, f"common word{i % 5} extra{i}" + " common" * (i % 2), f"<p>body{i % 3}</p>", 100 + i, i % 4, None if i % 3 else i,
+             -i, "a|b" if i % 2 else "b|", 7, "1|2|2", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, title string, body string, creation_date long, answer_count int, favorite_count int, "
+                                     "score int, tags string, reputation int, vote_type_id string, label int")
+    prepared = FT.prepare(df)
+    train = prepared.where("id < 30")
+    done = assemble_long(prepared, train, stopwords=[])
+    model = FT.feature_pipeline(prepared, fit_df=train, stopwords=[])
+    vectors = FT.training_table(model, prepared)
+    width = vectors.head()["features"].size
+    assert done.width == width and list(done.widths) == FT.BLOCKS
+    sums = lambda cells: {r["id"]: round(r["s"], 9) for r in
+                          cells.groupBy("id").agg({"value": "sum"}).toDF("id", "s").collect()}
+    assert sums(done.cells) == sums(vector_cells(vectors, ("id",)))
+    path = str(tmp_path / "svm")
+    write_libsvm_long(prepared, done.cells, path)
+    back = sorted((r["label"], r["features"].indices.tolist(), r["features"].values.tolist())
+                  for r in read_libsvm(spark, path, width).collect())
+    want = {}
+    for r in done.cells.collect():
+        want.setdefault(r["id"], []).append((r["index"], r["value"]))
+    assert back == sorted((float(i % 2), *map(list, zip(*sorted(want[i])))) for i in range(40))
+    ids = spark.createDataFrame([(0,), (1,), (99,)], "id int")
+    given = spark.createDataFrame([(k, 0.5) for k in range(width)], "index long, coefficient double")
+    got = {r["id"]: (round(r["raw"], 9), r["prediction"]) for r in score_linear_long(ids, done.cells, given, -1.0).collect()}
+    for i in (0, 1):
+        assert got[i][0] == round(-1 + 0.5 * sum(v for _, v in want[i]), 9)
+    assert got[99] == (-1.0, 0.0)

@@ -58,3 +58,43 @@ def test_broadcast_only_when_size_shown(spark):
     assert "broadcast" in _plan(spark.range(5).join(broadcast_if_small(small), "id")).lower()
     big = spark.range(3_000_000).selectExpr("id", "cast(id as double) AS reputation")
     assert broadcast_if_small(big, max_bytes=1 << 20) is big
+
+
+def test_bodies_are_exchanged_once(spark):
+    """Step 1 of posts without copies: only the join by post id moves bodies."""
+    from quarry.operators import clean as C
+    from quarry.session import write_table
+    posts = spark.createDataFrame([(i, f"title {i}", "body", i, i % 7) for i in range(500)],
+                                  "id long, title string, body string, score long, owner_user_id long")
+    users = spark.createDataFrame([(i, i * 10) for i in range(7)], "id long, reputation long")
+    votes = spark.createDataFrame([(i % 500, i % 3) for i in range(2000)], "post_id long, vote_type_id long")
+    posts, users, votes = (write_table(t, "t") for t in (posts, users, votes))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = C.clean_branch(posts, users, votes, 1)
+        text = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert out.count() == 500
+    lines = text.split("\n")
+    below = [lines[i + 1:] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    moved = [part for part in below if "body" in "\n".join(part[:3])]
+    assert len(moved) == 1, text
+
+
+def test_vocabulary_shuffles_terms_only(spark):
+    from pyspark.sql import functions as F
+    from quarry.operators import features as FT
+    docs = spark.createDataFrame([(i, ["a", "b", f"t{i}"]) for i in range(50)], "id long, toks array<string>")
+    got = FT.term_counts_in_row(docs, "id", "toks")
+    assert "Exchange" not in _plan(got)
+    totals = FT.term_partials(docs, "toks").groupBy("term").agg(F.sum("total"))
+    assert _plan(totals).count("Exchange hashpartitioning(term") <= 1 and "id#" not in _plan(totals).split("MapInArrow")[0]
+
+
+def test_only_bare_scans_are_counted(spark):
+    from quarry.operators.joins import proven_bytes
+    from quarry.sources import tables as TB
+    users = TB.users(spark, SF)
+    assert proven_bytes(users) == 2 * (8 + 16) * users.count()
+    assert proven_bytes(users.where("id > 5")) is None and proven_bytes(users.distinct()) is None
