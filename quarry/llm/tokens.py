@@ -18,6 +18,7 @@ first token in the document, so every document can be put together again.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -35,11 +36,38 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 WIDTH, WINDOW = 2048, 1 << 21
 
 
+#: the pattern's white space (Unicode), in runs that its look-ahead would backtrack over
+_LONG_GAP = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2000,}")
+
+
 @lru_cache(maxsize=2)
+def encoding(vocabulary: bytes, pattern: str = PATTERN) -> tiktoken.Encoding:
+    """Encoder of a vocabulary file's bytes."""
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+    return tiktoken.Encoding("ids", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
 def encoder(path: str, pattern: str = PATTERN) -> tiktoken.Encoding:
     with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ids", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        return encoding(f.read(), pattern)
+
+
+def encode(enc: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a whole text, as the plain encoder gives them.
+
+    In a run of white space the pattern takes all but the last character as
+    one piece, or all of them where the text ends; long runs are cut out that
+    way here, since the pattern itself fails on them."""
+    out, at = [], 0
+    for m in _LONG_GAP.finditer(text):
+        last = m.end() if m.end() == len(text) else m.end() - 1
+        if m.start() > at:
+            out.append(enc.encode_to_numpy(text[at:m.start()], disallowed_special=()))
+        out.append(np.array(enc._encode_single_piece(text[m.start():last]), dtype=np.uint32))
+        at = last
+    if at < len(text):
+        out.append(enc.encode_to_numpy(text[at:], disallowed_special=()))
+    return np.concatenate(out) if out else np.empty(0, np.uint32)
 
 
 class CapacityTree:
@@ -117,9 +145,9 @@ _PACKED_DDL = ("row_id bigint, n_tokens int, doc_ids array<bigint>, first_tokens
                "cu_seqlens binary, resets binary")
 
 
-def _pack_task(path: str, width: int, window: int):
+def _pack_task(vocabulary, width: int, window: int):
     def run(batches):
-        enc = encoder(path)
+        enc = encoding(vocabulary.value)
         dtype = "<u2" if enc.n_vocab <= 1 << 16 else "<u4"
         part, made = TaskContext.get().partitionId(), 0
         open_rows: list[list] = []
@@ -155,7 +183,7 @@ def _pack_task(path: str, width: int, window: int):
                 for doc, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
                     if not text:
                         continue
-                    ids = np.asarray(enc.encode_to_numpy(text, disallowed_special=()), dtype=dtype)
+                    ids = encode(enc, text).astype(dtype)
                     held += [(doc, k, ids[k:k + width]) for k in range(0, len(ids), width)]
                     total += len(ids)
                     if total >= window:
@@ -168,10 +196,14 @@ def _pack_task(path: str, width: int, window: int):
 def packed_ids(docs: DataFrame, vocabulary: str = VOCABULARY, width: int = WIDTH, window: int = WINDOW,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Written table of packed rows: ``row_id, n_tokens, doc_ids,
-    first_tokens, ids, cu_seqlens, resets``.
+    first_tokens, ids, cu_seqlens, resets``.  The driver reads ``vocabulary``
+    and broadcasts its bytes (a fixed size), so executors need no file.
 
-    Edge cases: null and empty texts have no ids and are in no row; a null id
+    Edge cases: texts may be of any length, also long runs of white space or
+    of one letter; null and empty texts have no ids and are in no row; a null id
     stays null in ``doc_ids``; repeated rows are packed each; other columns
     aren't read; an empty table gives an empty result."""
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return write_table(src.mapInArrow(_pack_task(vocabulary, width, window), _PACKED_DDL), "packed-ids")
+    with open(vocabulary, "rb") as f:
+        shipped = docs.sparkSession.sparkContext.broadcast(f.read())
+    return write_table(src.mapInArrow(_pack_task(shipped, width, window), _PACKED_DDL), "packed-ids")

@@ -92,9 +92,8 @@ def test_capacity_tree_against_brute_force():
 def test_token_rows_round_trip(spark, wide, no_docs):
     import numpy as np
     enc = tokens.encoder(tokens.VOCABULARY)
-    docs = wide.where("length(text) < 250000 OR text IS NULL")
     parts = {}
-    for r in tokens.packed_ids(docs, width=64, window=5000).collect():
+    for r in tokens.packed_ids(wide, width=64, window=5000).collect():
         ids, cu = np.frombuffer(r.ids, "<u2"), np.frombuffer(r.cu_seqlens, "<i4")
         assert len(ids) == 64 and cu[0] == 0 and cu[-1] == r.n_tokens <= 64 and len(cu) == len(r.doc_ids) + 1
         assert np.flatnonzero(np.unpackbits(np.frombuffer(r.resets, np.uint8))).tolist() == cu[:-1].tolist()
@@ -102,7 +101,7 @@ def test_token_rows_round_trip(spark, wide, no_docs):
             parts.setdefault(d, []).append((f, ids[cu[k]:cu[k + 1]].tolist()))
     counts = {}
     for i, t, *_ in document_rows():
-        if t and len(t) < 250_000:
+        if t:
             counts.setdefault(i, []).append(t)
     assert set(parts) == set(counts)
     for i, texts in counts.items():
@@ -112,3 +111,22 @@ def test_token_rows_round_trip(spark, wide, no_docs):
         else:
             assert sum(len(p) for _, p in parts[i]) == sum(len(enc.encode_ordinary(t)) for t in texts)
     assert tokens.packed_ids(no_docs).collect() == []
+
+
+def test_ids_of_extreme_texts(spark):
+    """Long runs give the plain encoder's ids, and no run breaks it."""
+    import numpy as np
+    enc = tokens.encoder(tokens.VOCABULARY)
+    for gap in (" ", "\n", "\t", " \n", "　 "):
+        for n in (1, 999, 1999, 2000, 2001, 5000):
+            for text in ("a" + gap * n + "b", gap * n, "x " + gap * n + "\ny" + gap * n, gap * n + "7", gap * n + "!"):
+                assert tokens.encode(enc, text).tolist() == enc.encode_ordinary(text)
+    for text in (" " * 2_000_000, "a" + "\n" * 2_000_000 + "b", "a" * 2_000_000, "x" + "\t " * 1_000_000 + "y"):
+        assert enc.decode(tokens.encode(enc, text).tolist()) == text
+    rows = [(1, " " * 2_000_000 + "end"), (2, "q" * 300_000), (3, "\n" * 50_000)]
+    parts = {}
+    for r in tokens.packed_ids(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        ids, cu = np.frombuffer(r.ids, "<u2"), np.frombuffer(r.cu_seqlens, "<i4")
+        for k, (d, f) in enumerate(zip(r.doc_ids, r.first_tokens)):
+            parts.setdefault(d, []).append((f, ids[cu[k]:cu[k + 1]].tolist()))
+    assert {d: enc.decode([x for _, p in sorted(v) for x in p]) for d, v in parts.items()} == dict(rows)
