@@ -204,23 +204,26 @@ def _feature_task(batches):
             ends = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(row, to - row), batch.column(2).slice(row, to - row),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(x.reshape(-1)))],
-                names=["id", "y", "x"])
+                 batch.column(3).slice(row, to - row), pa.ListArray.from_arrays(pa.array(ends), pa.array(x.reshape(-1)))],
+                names=["id", "y", "h", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_rows: int = MAX_TRAIN_ROWS) -> Additive:
     """Fit on at most ``max_rows`` labelled rows that are not held out (null
-    ids and null labels are left out).  Several labels of a document count
-    each; a label without a document is not used."""
+    ids and null labels are left out), the first by a hash of id and text.
+    A label that repeats counts once, as does a document that repeats whole;
+    labels of one id that differ count each; a label without a document is
+    not used."""
     known = (labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("y"))
-             .where("id IS NOT NULL AND y IN (0, 1)").where(~held_out("id"))
+             .where("id IS NOT NULL AND y IN (0, 1)").where(~held_out("id")).distinct()
              .orderBy(F.xxhash64("id"), "id", "y").limit(max_rows))
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     # the sample is bounded by max_rows fixed-width rows
-    rows = (src.join(F.broadcast(known), "id").select("id", "text", "y")
-            .mapInArrow(_feature_task, "id bigint, y int, x array<double>")
-            .orderBy("id", "y").limit(2 * max_rows).collect())
+    found = (src.join(F.broadcast(known), "id").select("id", "text", "y", F.xxhash64("text").alias("h"))
+             .mapInArrow(_feature_task, "id bigint, y int, h bigint, x array<double>").dropDuplicates(["id", "y", "h"]))
+    rows = sorted(found.orderBy(F.xxhash64("id", "h"), "id", "h", "y").limit(max_rows).collect(),
+                  key=lambda r: (r.id, r.y, r.h))
     if not rows:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0))
     return fit(np.array([r.x for r in rows]), np.array([r.y for r in rows], dtype=float))

@@ -69,3 +69,19 @@ def test_pair_table_learns_an_interaction():
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
     model = quality.fit(x, y)
     assert ((model.score(x) >= 0.5) == y).mean() > 0.95
+
+
+def test_repeated_ids_do_not_take_over_the_fit(spark):
+    """Copies of one labelled document, and other texts under its id, leave the model as good."""
+    rows, labels = labelled(300)
+    extra = [(0, rows[0][1], "en", "s", 1)] * 2000 + [(0, prose(9000 + i, 40), "en", "s", 1) for i in range(50)]
+    docs = spark.createDataFrame(rows + extra, "doc_id long, text string, lang string, source string, n_chars long")
+    lab = spark.createDataFrame(labels + [labels[0]] * 500, "doc_id long, quality int, toxic int")
+    once = spark.createDataFrame(rows + extra[2000:], docs.schema)
+    a, b = quality.train(docs, lab), quality.train(once, spark.createDataFrame(labels, lab.schema))
+    x = np.random.default_rng(0).random((50, len(quality.FEATURES)))
+    assert (a.score(x) == b.score(x)).all()
+    small = quality.train(docs, lab, max_rows=100)
+    got = quality.score(once, small).where("doc_id > 0").collect()
+    truth = {i: q for i, q, _ in labels}
+    assert np.mean([r.predicted == truth[r.doc_id] for r in got]) > 0.9
