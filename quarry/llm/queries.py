@@ -253,9 +253,14 @@ known AS (
   WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
 h0 AS (SELECT host, count(*) AS n, sum(bad) AS bad, regexp_replace(host, ':[0-9]*$', '') AS name
        FROM p JOIN known ON page_id = doc_id GROUP BY host),
-h AS (SELECT host, n, bad, CASE WHEN regexp_matches(name, '^[0-9.]+$') THEN name
-        ELSE array_to_string(string_split(name, '.')[-2:], '.') END AS domain FROM h0),
-hs AS (SELECT *, string_split(domain, '.')[-1] AS suffix FROM h),
+hl AS (SELECT *, CASE WHEN regexp_matches(name, '^[0-9.]+$') THEN [name] ELSE string_split(name, '.') END AS l FROM h0),
+he AS (SELECT *, list_transform(range(1, len(l) + 1), lambda i: array_to_string(l[i:], '.')) AS ends FROM hl),
+hk AS (SELECT *, coalesce(
+    list_max(list_transform(ends, lambda e: CASE WHEN e IN (__EXCEPT__) THEN len(string_split(e, '.')) END)) - 1,
+    greatest(list_max(list_transform(ends, lambda e: CASE WHEN e IN (__PLAIN__)
+      OR array_to_string(string_split(e, '.')[2:], '.') IN (__WILD__) THEN len(string_split(e, '.')) END)), 1)) AS k FROM he),
+hs AS (SELECT host, n, bad, array_to_string(l[-least(k + 1, len(l)):], '.') AS domain,
+              array_to_string(l[-least(k, len(l)):], '.') AS suffix FROM hk),
 g AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mu FROM hs),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT mu FROM g) AS mu FROM hs GROUP BY suffix),
 rs AS (SELECT least(greatest((sum(n * (bad / n - mu) * (bad / n - mu)) - sum(mu * (1 - mu)))
@@ -285,3 +290,8 @@ SELECT page_id, host, path, rule,
             WHEN judged THEN 'block' ELSE 'allow' END AS verdict
 FROM r
 """
+for _kind, _names in (("__PLAIN__", [r for r in urls.SUFFIXES if r[0] not in "*!"]),
+                      ("__WILD__", [r[2:] for r in urls.SUFFIXES if r[0] == "*"]),
+                      ("__EXCEPT__", [r[1:] for r in urls.SUFFIXES if r[0] == "!"])):
+    ORACLE_SQL["op4_host_reputation"] = ORACLE_SQL["op4_host_reputation"].replace(
+        _kind, ", ".join(f"'{n}'" for n in _names))

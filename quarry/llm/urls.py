@@ -14,8 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import broadcast_if_small
 from quarry.session import write_table
 
+#: suffixes under which names are registered, by default (fixed values; a rule list of any length
+#: can be passed instead): ``*`` stands for any label, ``!`` takes a name out of a ``*`` rule; a
+#: name without a rule has its last label as suffix
+SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "or.jp", "co.nz",
+            "com.br", "com.cn", "co.in", "co.kr", "co.za", "com.mx", "com.tr", "com.tw", "*.ck", "!www.ck",
+            "blogspot.com", "github.io", "gitlab.io", "herokuapp.com", "wordpress.com")
 #: (verdict, host/path prefix); a rule fits its host and all subdomains
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 MAX_BAD, Z = 0.25, 1.645
@@ -44,11 +51,31 @@ def _rule(rules, what: int) -> Column:
     return out
 
 
-def domain(h: Column) -> Column:
-    """Registered domain: the last two labels of the host without its port
-    (the host itself if it has fewer, or is an IPv4 address)."""
+def _labels(h: Column) -> Column:
+    """Labels of a host without its port; an IPv4 address is one label."""
     name = F.regexp_replace(h, r":[0-9]*$", "")
-    return F.when(name.rlike(r"^[0-9.]+$"), name).otherwise(F.substring_index(name, ".", -2))
+    return F.when(name.rlike(r"^[0-9.]+$"), F.array(name)).otherwise(F.split(name, r"\."))
+
+
+def suffix_size(labels: Column, rules=SUFFIXES) -> Column:
+    """How many labels of a name are its public suffix: of the rules that fit
+    its end an exception wins (less its first label), else the longest."""
+    plain = {r: 0 for r in rules if r[:1] not in "*!"}
+    wild = {r[2:] for r in rules if r.startswith("*.")}
+    other = {r[1:] for r in rules if r.startswith("!")}
+    n = F.size(labels)
+    ends = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    among = lambda c, names: c.isin(*names) if names else F.lit(False)
+    fits = lambda size: lambda e, i: F.when(size(e, i), n - i)
+    behind = lambda e: F.array_join(F.slice(F.split(e, r"\."), 2, n), ".")
+    exact = F.transform(ends, fits(lambda e, i: among(e, plain) | among(behind(e), wild)))
+    taken = F.transform(ends, fits(lambda e, i: among(e, other)))
+    return F.coalesce(F.array_max(taken) - 1, F.greatest(F.array_max(exact), F.lit(1))).cast("int")
+
+
+def _last(labels: Column, k: Column) -> Column:
+    k = F.least(F.size(labels), k)
+    return F.array_join(F.slice(labels, F.size(labels) - k + 1, k), ".")
 
 
 def _posterior(units: DataFrame, unit: str) -> DataFrame:
@@ -65,19 +92,22 @@ def _posterior(units: DataFrame, unit: str) -> DataFrame:
         .withColumn("b", (1 - F.col("mu")) * m + F.col("n") - F.col("bad"))
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, suffixes=SUFFIXES) -> DataFrame:
     """outcomes: (host, bad 0/1) of labelled pages -> ``host, rate, bound``:
-    posterior mean and lower bound of the host's rate of bad pages."""
-    hosts = write_table(outcomes.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
-                        .withColumn("domain", domain(F.col("host")))
-                        .withColumn("suffix", F.substring_index("domain", ".", -1)), "hosts")
+    posterior mean and lower bound of the host's rate of bad pages.  A host's
+    registered domain is its public suffix and one label more."""
+    counted = outcomes.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+    parts = counted.withColumn("labels", _labels(F.col("host")))
+    parts = parts.withColumn("size", suffix_size(F.col("labels"), suffixes))
+    hosts = write_table(parts.select("host", "n", "bad", _last(F.col("labels"), F.col("size") + 1).alias("domain"),
+                                     _last(F.col("labels"), F.col("size")).alias("suffix")), "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()  # one row
     mu = ((total["bad"] or 0) + 1) / ((total["n"] or 0) + 2)
     sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     mean = (F.col("a") / (F.col("a") + F.col("b"))).alias("mu")
-    suffixes = _posterior(hosts.groupBy("suffix").agg(*sums).withColumn("mu", F.lit(mu)), "suffix")
+    tops = _posterior(hosts.groupBy("suffix").agg(*sums).withColumn("mu", F.lit(mu)), "suffix")
     domains = write_table(hosts.groupBy("suffix", "domain").agg(*sums), "domains")
-    domains = _posterior(write_table(domains.join(suffixes.select("suffix", mean), "suffix"), "domains"), "domain")
+    domains = _posterior(write_table(domains.join(tops.select("suffix", mean), "suffix"), "domains"), "domain")
     units = write_table(hosts.join(domains.select("domain", mean), "domain")
                         .select("host", "n", "bad", "mu"), "units")
     post = _posterior(units, "host")
@@ -87,7 +117,7 @@ def reputation(outcomes: DataFrame) -> DataFrame:
                                    (a / (a + b) - Z * sd).alias("bound")), "reputation")
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules=RULES, max_bad: float = MAX_BAD,
+def judge(pages: DataFrame, labels: DataFrame, rules=RULES, max_bad: float = MAX_BAD, suffixes=SUFFIXES,
           id_col: str = "page_id", url_col: str = "url", label_id: str = "doc_id") -> DataFrame:
     """Per page: ``id_col, host, path, rule, verdict``.
 
@@ -105,8 +135,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, max_bad: float = MAX
              .where("id IS NOT NULL AND bad IS NOT NULL").groupBy("id").agg(F.max("bad").alias("bad")))
     split = pages.select(F.col(id_col).alias("id"), host(F.col(url_col)).alias("host"),
                          path(F.col(url_col)).alias("path"))
-    rep = reputation(split.select("id", "host").join(known, "id").select("host", "bad"))
-    blocked = rep.where(F.col("bound") > max_bad).select("host", F.lit("block").alias("judged"))
-    out = split.join(blocked, "host", "left").select("id", "host", "path", "judged")
+    rep = reputation(split.select("id", "host").join(known, "id").select("host", "bad"), suffixes)
+    blocked = write_table(rep.where(F.col("bound") > max_bad).select("host", F.lit("block").alias("judged")), "blocked")
+    out = split.join(broadcast_if_small(blocked), "host", "left").select("id", "host", "path", "judged")
     return out.select(F.col("id").alias(id_col), "host", "path", _rule(rules, 1).alias("rule"),
                       F.coalesce(_rule(rules, 0), "judged", F.lit("allow")).alias("verdict"))

@@ -205,3 +205,27 @@ def test_urls(spark, con):
     assert urls.judge(pages, lab.limit(0)).where("rule IS NULL AND verdict = 'block'").count() == 0
 
 
+
+
+def test_public_suffixes(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.llm import urls
+    rules = ("co.uk", "github.io", "*.ck", "!www.ck", "*.kobe.jp", "!city.kobe.jp")
+    want = {"a.bbc.co.uk": "bbc.co.uk", "co.uk": "co.uk", "x.github.io": "x.github.io", "y.x.github.io": "x.github.io",
+            "shop.b.ck": "shop.b.ck", "a.shop.b.ck": "shop.b.ck", "b.ck": "b.ck", "ck": "ck", "www.ck": "www.ck",
+            "m.www.ck": "www.ck", "example.com": "example.com", "a.b.example.com": "example.com", "localhost": "localhost",
+            "x.city.kobe.jp": "city.kobe.jp", "x.y.z.kobe.jp": "y.z.kobe.jp", "10.0.0.1:80": "10.0.0.1", "a.b.co.uk:8080": "b.co.uk",
+            "": ""}
+    df = spark.createDataFrame([(h,) for h in want], "host string").withColumn("l", urls._labels(F.col("host")))
+    got = df.select("host", urls._last(F.col("l"), urls.suffix_size(F.col("l"), rules) + 1).alias("d")).collect()
+    assert {r.host: r.d for r in got} == want
+
+
+def test_tenants_of_a_suffix_do_not_share_a_prior(spark):
+    from quarry.llm import urls
+    rows = [(f"bad{i}.github.io", 1) for i in range(12) for _ in range(20)] + [("good.github.io", 0)] * 40
+    rows += [(f"h{i}.example.com", i % 10 == 0) for i in range(40) for _ in range(5)]
+    df = spark.createDataFrame([(h, int(b)) for h, b in rows], "host string, bad int")
+    rate = lambda s: {r.host: r.rate for r in urls.reputation(df, s).collect()}
+    assert rate(("github.io",))["good.github.io"] < rate(())["good.github.io"]
