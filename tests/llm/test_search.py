@@ -229,3 +229,78 @@ def test_tenants_of_a_suffix_do_not_share_a_prior(spark):
     df = spark.createDataFrame([(h, int(b)) for h, b in rows], "host string, bad int")
     rate = lambda s: {r.host: r.rate for r in urls.reputation(df, s).collect()}
     assert rate(("github.io",))["good.github.io"] < rate(())["good.github.io"]
+
+
+def test_best_stretch_against_brute_force():
+    import numpy as np
+    rng = np.random.default_rng(0)
+    for _ in range(150):
+        same = rng.random((4, int(rng.integers(3, 50)))) < rng.choice([0.5, 0.8, 0.95])
+        least = int(rng.integers(3, 30))
+        start, end = substrings.best_stretch(same, least, 80, 100)
+        for row, s, e in zip(same, start, end):
+            strict, soft = np.where(row, 20, -80), np.where(row, 80, -240)
+            able = [(i, j) for i in range(len(row)) for j in range(i + 2, len(row) + 1)
+                    if row[i] and row[i + 1] and row[j - 1] and row[j - 2]]
+            value = lambda f, r: int(f[r[0]:r[1]].sum())
+            enough = [r for r in able if r[1] - r[0] >= least]
+            if e > s:
+                assert e - s >= least and value(strict, (s, e)) >= 0
+                assert (value(soft, (s, e)) == max(value(soft, r) for r in able)
+                        or value(strict, (s, e)) in (max(value(strict, r) for r in able), max(value(strict, r) for r in enough)))
+            else:
+                assert max((value(strict, r) for r in enough), default=-1) < 0
+
+
+def test_straight_chains_are_those_of_the_tree():
+    import numpy as np
+    r = random.Random(6)
+    for _ in range(60):
+        sizes = [r.randint(1, 12) for _ in range(5)]
+        x = np.concatenate([np.sort(r.sample(range(2000), n)) for n in sizes])
+        new = np.zeros(len(x), bool)
+        new[np.cumsum([0, *sizes[:-1]])] = True
+        begin = np.flatnonzero(substrings.straight(new, x))
+        want, at = [], 0
+        for n in sizes:
+            score = 0.0
+            for k in range(at, at + n):
+                carried = score - 2 * substrings.GAP * (x[k] - x[k - 1]) if k > at else 0.0
+                if carried <= 0:
+                    want.append(k)
+                score = substrings.K + max(carried, 0.0)
+            at += n
+        assert begin.tolist() == want
+
+
+def recall(spark, words, match, others, trials=60):
+    """Share of planted pairs of which both texts show most of the passage;
+    each half of it also stands, as it is in the first text, in ``others`` texts."""
+    r = random.Random(f"{words} {match}")
+    vocab = [f"v{i}" for i in range(30_000)]
+    say = lambda n: [r.choice(vocab) for _ in range(n)]
+    rows = []
+    for i in range(trials):
+        core = say(words)
+        other = list(core)
+        for k in r.sample(range(2, words - 2), round(words * (100 - match) / 100)):
+            other[k] = f"x{k}"
+        rows += [(2 * i, " ".join(say(100) + core + say(100))), (2 * i + 1, " ".join(say(100) + other + say(100)))]
+        for m in range(others):
+            half = core[:words // 2] if m % 2 else core[words // 2:]
+            rows.append((10**6 + i * others + m, " ".join(say(20) + half + say(20))))
+    got = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    spans = {x.doc_id: [tuple(map(int, s.split(":"))) for s in x.passages.split(",") if s]
+             for x in got.where("doc_id < 1000000").collect()}
+    held = lambda d: any(min(e, 100 + words) - max(s, 100) >= 0.5 * words for s, e in spans[d])
+    return sum(held(2 * i) and held(2 * i + 1) for i in range(trials)) / trials
+
+
+@pytest.mark.parametrize("words, match", [(50, 80), (50, 90), (60, 85), (100, 80), (400, 80)])
+def test_recall_of_edited_passages(spark, words, match):
+    assert recall(spark, words, match, 0) >= 0.9
+
+
+@pytest.mark.parametrize("words, match", [(60, 95), (100, 90), (400, 90)])
+def test_recall_among_texts_that_have_the_lines(spark, words, match):
+    assert recall(spark, words, match, 30, trials=20) >= 0.9
