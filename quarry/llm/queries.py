@@ -88,8 +88,33 @@ def op4_host_reputation(spark, sf_dir):
 @_query
 def op10_positional_index(spark, sf_dir):
     """Benchmark windows of 10 words in all documents."""
-    return decontaminate.contamination(read_table(spark, sf_dir, "documents"),
-                                       read_table(spark, sf_dir, "benchmark"))
+    got = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return got.drop("n_near")
+
+
+ORACLE_SQL["op10_positional_index"] = r"""
+WITH low AS (
+  SELECT 'd' AS side, CAST(doc_id AS VARCHAR) AS id, row_number() OVER () AS r, text FROM documents
+  UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), row_number() OVER (), text FROM benchmark WHERE item_id IS NOT NULL),
+w AS (SELECT side, id, r, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM low),
+wins AS (SELECT DISTINCT id AS item, len(win) AS n, array_to_string(win, ' ') AS phrase FROM (
+  SELECT id, ws[s:s + 9] AS win FROM (SELECT id, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS s
+                                      FROM w WHERE side = 'b' AND len(ws) > 0))),
+sizes AS (SELECT DISTINCT n FROM wins),
+spots AS (SELECT r, n, s, array_to_string(ws[s:s + n - 1], ' ') AS phrase
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM w, sizes WHERE side = 'd' AND len(ws) >= n)),
+hits AS (SELECT r, s, spots.n, item FROM spots JOIN wins ON wins.phrase = spots.phrase AND wins.n = spots.n),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY encode(item)) AS list
+          FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM (SELECT doc_id, row_number() OVER () AS r FROM documents) d JOIN w ON w.side = 'd' AND w.r = d.r
+LEFT JOIN covered ON covered.r = d.r LEFT JOIN items ON items.r = d.r
+"""
 
 
 @_query

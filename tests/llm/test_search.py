@@ -1,6 +1,8 @@
 """Decontamination, passages, archives and urls."""
 
 import random
+import re
+from collections import Counter
 
 import brute
 import duckdb
@@ -41,6 +43,62 @@ def test_contamination_at_random(spark):
     assert sorted(tuple(x)[:6] for x in got.collect()) == sorted(brute.contamination(rows, bench))
 
 
+def brute_matches(rows, bench, width=10, near=16, close=80):
+    """Matches by their definition; rows and items have ids of their own."""
+    split = lambda t: [w for w in re.split("[^a-z0-9\x80-\U0010ffff]+", (t or "").translate(
+        {c: c + 32 for c in range(65, 91)})) if w]
+    docs = [(i, split(t)) for i, t in rows]
+    count = Counter(w for _, ws in docs for w in ws)
+    out = set()
+    for item, t in bench:
+        ws = split(t)
+        for s in range(max(len(ws) - width, 0) + 1 if ws else 0):
+            win = ws[s:s + width]
+            held = [(count[w], o) for o, w in enumerate(win) if count[w]]
+            for i, d in docs:
+                out |= {(i, str(item), p, "phrase") for p in range(len(d) - len(win) + 1) if d[p:p + len(win)] == win}
+                if len(held) < 2:
+                    continue
+                (_, a), (_, b) = sorted(held)[:2]  # the test's counts have no ties
+                for p in (p - a for p, w in enumerate(d) if w == win[a]):
+                    if any(abs(q - b - p) < near for q, w in enumerate(d) if w == win[b]):
+                        stretch = set(d[max(p - near, 0):max(p + len(win) + near, 0)])
+                        if 100 * len(set(win) & stretch) >= close * len(set(win)):
+                            out.add((i, str(item), p, "near"))
+    return out
+
+
+def test_matches_against_brute_force(spark):
+    """Windows with a word moved, dropped, put in, or that no document has, at
+    all places modulo the block's width."""
+    r = random.Random(12)
+    vocab = [f"u{k}" for k in range(40)]
+    bench = [(i, " ".join(r.sample(vocab, 12))) for i in range(5)] + [(9, "u1 never"), (10, "u2"), (11, None), (12, "never")]
+    rows = []
+    for i in range(70):
+        w = r.choice(bench[:5])[1].split(" ")[:10]
+        if i % 4 == 1:
+            w = [x for x in w for x in (x, f"in{i}_{r.randrange(9)}")]
+        elif i % 4 == 2:
+            w[r.randrange(10)] = "other"
+        elif i % 4 == 3:
+            r.shuffle(w)
+        rows.append((i, " ".join([f"p{i}_{k}" for k in range(i)] + w + [f"q{i}_{k}" for k in range(30)])))
+    rows += [(100 + k, f"{w} " * (k + 1)) for k, w in enumerate(vocab)]  # counts without ties
+    rows += [(200, None), (201, "")]
+    bench[0] = (0, bench[0][1].replace(" ", " absent ", 1))
+    got = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string").repartition(4),
+                                spark.createDataFrame(bench, "item_id long, text string"))
+    assert got.columns == ["doc_id", "item", "start", "n_words", "kind"]
+    found = [(x.doc_id, x.item, x.start, x.kind) for x in got.collect()]
+    want = brute_matches(rows, bench)
+    assert len(found) == len(set(found)) and set(found) == want and sum(x[3] == "near" for x in want) > 60
+    summary = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"),
+                                          spark.createDataFrame(bench, "item_id long, text string")).collect()
+    near = {i: len({x[1] for x in want if x[0] == i}) for i, _ in rows}
+    assert {x.doc_id: x.n_near for x in summary} == near
+
+
 def exact_runs(rows, n=50):
     """Row numbers of texts that share n words in a row with another row."""
     seen, hit = {}, set()
