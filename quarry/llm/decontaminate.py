@@ -59,17 +59,6 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("k", F.xxhash64("id", "text"))
 
 
-def _spread_mask(bits: Column) -> Column:
-    """Bits within NEAR - 1 places of a set bit."""
-    for step in ("shiftleft", "shiftright"):
-        n = 1
-        while n < NEAR:
-            by = min(n, NEAR - n)
-            bits = bits.bitwiseOR(F.call_function(step, bits, F.lit(by)))
-            n += by
-    return bits
-
-
 def _index(src: DataFrame, vocab: DataFrame) -> DataFrame:
     """Postings ``term, k, pos`` of the words in ``vocab``, and a row of
     ``pos`` -1 with the document's ``id`` and number of words per document."""
@@ -112,20 +101,21 @@ def _search(src: DataFrame, bench: DataFrame, width: int, item_col: str, item_te
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"),
                           F.pmod("start", F.lit(NEAR)) + F.col("half") * NEAR + F.col("rank") * 2 * NEAR)
     mask = (1 << 2 * NEAR) - 1
-    met = (lists.groupBy("wid", "k", (F.floor(F.col("start") / NEAR) - F.col("half")).alias("block"))
-           .agg(F.bit_or(bit).alias("bits"), F.first("need").alias("need"), F.first("whole").alias("whole"))
-           .select("wid", "k", "block", "need", "whole", F.col("bits").bitwiseAND(mask).alias("one"),
-                   F.call_function("shiftrightunsigned", F.col("bits"), F.lit(2 * NEAR)).alias("two")))
-    other = F.when(F.col("need") == 1, F.col("one")).otherwise(F.col("two"))
-    # a start in the block's lower half, so that each is taken once
-    placed = F.when(F.col("whole"), F.col("one").bitwiseAND(other).bitwiseAND((1 << NEAR) - 1)).otherwise(F.lit(0).cast("bigint"))
-    close = F.when(F.col("need") == RAREST, F.col("one").bitwiseAND(_spread_mask(F.col("two"))).bitwiseAND(mask)) \
-        .otherwise(F.lit(0).cast("bigint"))
-    starts = lambda bits: F.filter(F.sequence(F.lit(0), F.lit(2 * NEAR - 1)),
-                                   lambda i: F.call_function("shiftright", bits, i).bitwiseAND(1) == 1)
-    met = write_table(met.withColumn("placed", placed).withColumn("close", close).where("placed <> 0 OR close <> 0")
-                      .select("wid", "k", "block", starts(F.col("placed")).alias("placed"), starts(F.col("close")).alias("close")),
-                      "met")
+    # most blocks hold one of the words only: they go before the masks are looked at
+    met = write_table(
+        lists.groupBy("wid", "k", (F.floor(F.col("start") / NEAR) - F.col("half")).alias("block"))
+        .agg(F.bit_or(bit).alias("bits"), F.first("need").alias("need"), F.first("whole").alias("whole"))
+        .select("wid", "k", "block", "need", "whole", F.col("bits").bitwiseAND(mask).alias("one"),
+                F.call_function("shiftrightunsigned", F.col("bits"), F.lit(2 * NEAR)).alias("two"))
+        .where("one <> 0 AND (need = 1 OR two <> 0)"), "met")
+    spots = lambda bits: F.filter(F.sequence(F.lit(0), F.lit(2 * NEAR - 1)),
+                                  lambda i: F.call_function("shiftright", bits, i).bitwiseAND(1) == 1)
+    one, two = F.col("ones"), F.col("twos")
+    # a phrase's start in the block's lower half, so that each is taken once
+    placed = F.filter(one, lambda i: (i < NEAR) & F.col("whole") & ((F.col("need") == 1) | F.array_contains(two, i)))
+    close = F.filter(one, lambda i: (F.col("need") == RAREST) & F.exists(two, lambda j: F.abs(i - j) < NEAR))
+    met = (met.withColumn("ones", spots(F.col("one"))).withColumn("twos", spots(F.col("two")))
+           .select("wid", "k", "block", placed.alias("placed"), close.alias("close")))
     each = lambda col, kind: met.select("k", "wid", F.lit(kind).alias("kind"), "block", F.explode(col).alias("i")) \
         .select("k", "wid", "kind", (F.col("block") * NEAR + F.col("i")).cast("int").alias("start"))
     cands = each("placed", "phrase").where("start >= 0").unionByName(each("close", "near").distinct())
@@ -142,7 +132,7 @@ def _search(src: DataFrame, bench: DataFrame, width: int, item_col: str, item_te
     right = F.when(F.col("kind") == "phrase", exact).otherwise((F.col("start") + F.size("phrase") + NEAR > 0) & enough)
     found = cands.join(texts, "k").where(right).select("k", "wid", "start", "kind", F.size("phrase").alias("size"))
     found = write_table(found.join(broadcast_if_small(wins.select("wid", "item")), "wid"), "found")
-    drop_table(met, cands, hit_keys, vocab, df, ranked, wins, phrases)
+    drop_table(cands, hit_keys, vocab, df, ranked, wins, phrases)
     return index.where("pos = -1").select("id", "k", "n_words"), found
 
 
