@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import broadcast_if_small
 from quarry.session import drop_table, ensure_checkpoint_dir, write_table
 
 FRAME_BYTES, BUNDLE_BYTES, LEVEL = 1 << 20, 256 << 20, 3
@@ -229,12 +230,21 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
 def read_archive(index: DataFrame, folder: str) -> DataFrame:
     """All records of the bundles that ``index`` names: ``id, payload_bytes,
     payload_digest, record_type, refers_to``.  Digests and sizes of responses
-    are those of the payloads read."""
+    are those of the payloads read; a revisit's are held against the responses
+    of the id that it refers to, and null if none of them has that payload."""
     bundles = write_table(index.select("bundle").distinct(), "bundles")
     # a task per bundle, up to MAX_TASKS; a given number is not coalesced by the names' few bytes
     bundles = bundles.repartition(max(1, min(bundles.count(), MAX_TASKS)), "bundle")
-    return bundles.mapInArrow(_read_task(folder), "id bigint, payload_bytes bigint, payload_digest string, "
-                                                  "record_type string, refers_to bigint")
+    rows = write_table(bundles.mapInArrow(_read_task(folder), "id bigint, payload_bytes bigint, payload_digest string, "
+                                                              "record_type string, refers_to bigint"), "records")
+    payload = ["payload_bytes", "payload_digest"]
+    # one row per payload referred to, however many revisits it has
+    wanted = rows.where("record_type = 'revisit'").select("refers_to", *payload).distinct()
+    held = rows.where("record_type = 'response'").select(F.col("id").alias("refers_to"), *payload)
+    lost = write_table(wanted.join(held, ["refers_to", *payload], "left_anti"), "lost-payloads")
+    found = rows.join(broadcast_if_small(lost.withColumn("lost", F.lit(True))), ["refers_to", *payload], "left")
+    return found.select("id", *(F.when(F.col("lost").isNull(), F.col(c)).alias(c) for c in payload),
+                        "record_type", "refers_to")
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id") -> DataFrame:

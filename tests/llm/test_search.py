@@ -230,6 +230,19 @@ def test_archive_round_trip(spark, con, tmp_path):
     assert none.collect() == [] and warc.read_archive(none, str(tmp_path / "none")).collect() == []
 
 
+def test_revisits_are_held_against_their_response(spark, tmp_path):
+    """Without the bundle of the response, its revisits have no payload."""
+    folder = str(tmp_path / "a")
+    index = warc.write_archive(page_table(spark).repartition(8, "page_id", "url"), folder, frame_bytes=1, bundle_bytes=1)
+    gone = [r.bundle for r in index.collect() if r.id == 1]
+    assert len(gone) == 1
+    rows = warc.read_archive(index.where(~index.bundle.isin(gone)), folder).collect()
+    revisits = [r for r in rows if r.record_type == "revisit"]
+    assert {r.refers_to for r in revisits} == {1, 8} and all(
+        (r.payload_digest is None) == (r.payload_bytes is None) == (r.refers_to == 1) for r in revisits)
+    assert all(r.payload_digest for r in rows if r.record_type == "response")
+
+
 def test_plain_readers_can_read_a_bundle(spark, tmp_path):
     import zstandard
     folder = tmp_path / "a"
