@@ -105,15 +105,18 @@ def _measure_task(batches):
             np.add.at(whole, t, W.mix(h + W.mix(place.astype(np.uint64))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(row, to - row), pa.array(n.astype(np.int64)),
-                 batch.column(2).slice(row, to - row), pa.array(whole.view(np.int64))],
-                names=["id", "n_words", "source", "cluster"])
+                 batch.column(2).slice(row, to - row), batch.column(3).slice(row, to - row),
+                 pa.array(whole.view(np.int64))],
+                names=["id", "n_words", "source", "given", "words"])
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, id_col: str = "doc_id",
-         text_col: str = "text", source_col: str = "source") -> DataFrame:
+         text_col: str = "text", source_col: str = "source", cluster_col: str | None = None) -> DataFrame:
     """One row per piece: ``id_col, piece, first_word, n_words, source,
-    cluster, bin_id, bin_offset``.  ``cluster`` is a hash of the text's words
-    (A-Z lower-cased), so copies are one cluster.
+    cluster, bin_id, bin_offset``.  ``cluster`` is ``cluster_col``, an integer
+    such as the ``component_id`` of near-duplicates; without that column, or
+    where it is null, a hash of the text's words (A-Z lower-cased), so copies
+    are one cluster.
 
     Edge cases: a null or empty text is one piece of no words and in no bin
     (``bin_id`` null); a null source conflicts with nothing; rows with a null
@@ -121,12 +124,14 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS
     bins, and are spread over groups however many they are; other columns
     aren't read; an empty table gives an empty result."""
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"),
-                      F.col(source_col).cast("string").alias("source"))
-    sized = write_table(src.mapInArrow(_measure_task, "id bigint, n_words bigint, source string, cluster bigint"),
-                        "sized")
+                      F.col(source_col).cast("string").alias("source"),
+                      (F.col(cluster_col) if cluster_col else F.lit(None)).cast("bigint").alias("given"))
+    sized = write_table(src.mapInArrow(_measure_task, "id bigint, n_words bigint, source string, given bigint, "
+                                                      "words bigint"), "sized")
     groups = max(1, -(-sized.count() // group_rows))  # the count comes from the files' footers
     # rows that share an id are spread by their words
-    dealt = (sized.withColumn("first", F.pmod(F.xxhash64("id", "cluster"), F.lit(groups)))
+    dealt = (sized.withColumn("first", F.pmod(F.xxhash64("id", "words"), F.lit(groups)))
+             .withColumn("cluster", F.coalesce("given", "words")).drop("given", "words")
              .withColumn("row", F.monotonically_increasing_id()))
     heavy = (dealt.groupBy("first").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * group_rows)
              .select("first", F.ceil(F.col("n") / group_rows).alias("parts")))

@@ -2,7 +2,7 @@ import random
 
 from conftest import document_rows
 
-from quarry.llm import packing, tokens
+from quarry.llm import minhash, packing, tokens
 
 
 def brute_best_fit(pieces, capacity):
@@ -69,6 +69,24 @@ def test_repeated_rows_are_spread(spark):
     assert max(copies) <= 200
 
 
+def test_given_clusters_keep_apart(spark):
+    """The classes of the near-duplicate operator feed the bitmap; rows
+    without one are apart by their words."""
+    base = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, base + f" end{i}", None) for i in range(6)] + [(10 + i, f"x{i} y z", None) for i in range(30)]
+    docs = spark.createDataFrame(rows + [(None, "x0 y z", None), (None, "x0 y z", None)],
+                                 "doc_id long, text string, source string")
+    classes = minhash.near_duplicates(docs, width=4, similarity=(80, 100)).where("doc_id IS NOT NULL")
+    classes = classes.select("doc_id", "component_id")
+    got = packing.pack(docs.join(classes, "doc_id", "left"), capacity=1000, cluster_col="component_id").collect()
+    assert len(got) == len(rows) + 2
+    assert {r.cluster for r in got if r.doc_id is not None and r.doc_id < 6} == {0}
+    assert len({r.bin_id for r in got if r.doc_id is not None and r.doc_id < 6}) == 6
+    assert len({r.bin_id for r in got if r.doc_id is None}) == 2
+    plain = packing.pack(docs, capacity=1000).collect()
+    assert len({r.bin_id for r in plain if r.doc_id is not None and r.doc_id < 6}) == 1
+
+
 def test_capacity_tree_against_brute_force():
     r = random.Random(5)
     for _ in range(60):
