@@ -53,9 +53,16 @@ STAGES = [("quality_gam", quality_filter), ("minhash_near_dedup", near_dedup),
 ORACLE_SQL = None
 
 
+def tables(spark, sf_dir):
+    """Every stage's table by its name.  ``pii_skip_chain`` is the cleaned
+    corpus, the texts that the last stage's ``first_word`` and ``n_words``
+    refer to by ``doc_id``."""
+    docs, out = read_table(spark, sf_dir, "documents"), {}
+    for name, stage in STAGES:
+        docs = out[name] = write_table(stage(spark, docs, sf_dir), name)
+    return out
+
+
 def run(spark, sf_dir):
     """All stages over ``documents``."""
-    docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = write_table(stage(spark, docs, sf_dir), name)
-    return docs
+    return tables(spark, sf_dir)[STAGES[-1][0]]

@@ -66,7 +66,11 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert all(r.n_chars == len(r.text) for r in masked if r.text is not None)
     assert not any(brute.base_spans(r.text) for r in masked)
 
-    packed = corpus_pipeline.run(spark, sf_dir).collect()
+    stored = corpus_pipeline.tables(spark, sf_dir)
+    assert sorted(((r.doc_id, r.text) for r in stored["pii_skip_chain"].collect()), key=brute.key) == want
+    packed = stored["conflict_best_fit"].collect()
+    assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect()), key=brute.key) == \
+        sorted(map(tuple, packed), key=brute.key)
     got = sorted(((r.doc_id, r.piece, r.n_words) for r in packed), key=brute.key)
     pieces = []
     for i, t in want:
