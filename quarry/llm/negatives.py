@@ -8,7 +8,9 @@ can add to the inner product), and a heap walks the two sorted lists jointly,
 so cells come by falling bound of their sum.  It stops when the bound of the
 next cell is below what is asked for: the last of the best rows found so far,
 or the lower end of a window of scores.  So a shard's answer is exact, and the
-best of all shards' answers is the answer over all rows.
+best of all shards' answers is the answer over all rows.  Anchors of near
+cells share a heap, whose bounds hold for each of them, and the cells it
+visits are scored for all of them by one matrix product.
 
 First every anchor's positives are searched (best rows of its label), then,
 for each positive's score, the best rows of other labels within the window
@@ -40,6 +42,10 @@ CENTROIDS, ROUNDS, SEED = 24, 6, 20240301
 STEP = 512
 #: squared norm (of the integer vectors) above which scores might not fit a long
 NORM_LIMIT = 2.0 ** 60
+#: queries that share a heap and its scores
+QUERIES = 256
+#: below and above every score
+LOWEST, HIGHEST = -2 ** 63, 2 ** 63 - 1
 
 
 def _clean_task(scale: int):
@@ -92,11 +98,6 @@ def _cell_task(batches):
         yield from part.to_batches()
 
 
-def _highest(s: np.ndarray, top: int) -> np.ndarray:
-    """Which scores are among the ``top`` highest, all that tie included."""
-    return s >= (np.partition(s, -top)[-top] if len(s) > top else -2 ** 63)
-
-
 class Shard:
     """A shard's rows, in the order of their cells, and its two codebooks."""
 
@@ -122,15 +123,24 @@ class Shard:
         np.maximum.at(far, code, np.sqrt(((x - center[code]) ** 2).sum(axis=1)))
         return center, far
 
+    def nearest(self, a: np.ndarray) -> np.ndarray:
+        """The cell of every row's highest scoring centroids."""
+        (mid1, _), (mid2, _) = self.halves
+        best1, best2 = (a[:, :self.half] @ mid1.T).argmax(axis=1), (a[:, self.half:] @ mid2.T).argmax(axis=1)
+        return best1 * len(self.names2) + best2
+
     def cells(self, a: np.ndarray):
-        """(upper bound, lower bound, cell) by falling upper bound."""
+        """(upper bound, lower bound, cell) by falling upper bound; bounds of
+        the scores of all rows of ``a``."""
         ends = []
-        for part, (center, far) in zip((a[:self.half], a[self.half:]), self.halves, strict=True):
-            mid, reach = center @ part, np.sqrt(part @ part) * far
+        for part, (center, far) in zip((a[:, :self.half], a[:, self.half:]), self.halves, strict=True):
+            long = np.sqrt((part * part).sum(axis=1))[:, None]
+            mid, reach = part @ center.T, long * far
             # far above the rounding of the sums
-            slack = 1e-6 + 1e-9 * np.sqrt(part @ part) * (np.sqrt((center ** 2).sum(axis=1)) + far)
-            order = np.argsort(-(mid + reach), kind="stable")
-            ends.append(((mid + reach + slack)[order].tolist(), (mid - reach - slack)[order].tolist(), order.tolist()))
+            slack = 1e-6 + 1e-9 * long * (np.sqrt((center ** 2).sum(axis=1)) + far)
+            up, low = (mid + reach + slack).max(axis=0), (mid - reach - slack).min(axis=0)
+            order = np.argsort(-up, kind="stable")
+            ends.append((up[order].tolist(), low[order].tolist(), order.tolist()))
         (up1, low1, at1), (up2, low2, at2) = ends
         # (i, j) is put on the heap once, by (i, j - 1) or, in the first column, by (i - 1, 0)
         heap, width = [(-(up1[0] + up2[0]), 0, 0)], len(self.names2)
@@ -143,12 +153,13 @@ class Shard:
                 heapq.heappush(heap, (-(up1[i + 1] + up2[0]), i + 1, 0))
 
     def scores(self, at: np.ndarray, a: np.ndarray) -> np.ndarray:
-        self.scored += len(at)
-        if self.longest * np.sqrt(a @ a) < 2.0 ** 52:  # every partial sum is an integer that a double holds
-            return (self.x[at] @ a).astype(np.int64)
-        return (self.x[at].astype(np.int64) * a.astype(np.int64)).sum(axis=1)
+        """Scores of the rows ``at`` (columns) with the rows of ``a``."""
+        self.scored += len(at) * len(a)
+        if self.longest * np.sqrt((a * a).sum(axis=1).max()) < 2.0 ** 52:  # every partial sum is an integer that a double holds
+            return (a @ self.x[at].T).astype(np.int64)
+        return a.astype(np.int64) @ self.x[at].astype(np.int64).T
 
-    def steps(self, a: np.ndarray, wanted: np.ndarray, most=None):
+    def steps(self, a: np.ndarray, wanted: np.ndarray, most: int):
         """(rows, bound of all that follow): the wanted rows, some at a time;
         cells whose lower bound is above ``most`` are passed over."""
         got, size, bound = [], 0, None
@@ -157,51 +168,43 @@ class Shard:
                 yield np.concatenate(got), bound
                 got, size = [], 0
             lo, hi = self.first[cell], self.first[cell + 1]
-            if hi > lo and (most is None or low <= most):
+            if hi > lo and low <= most:
                 at = lo + np.flatnonzero(wanted[lo:hi])
                 got.append(at)
                 size += len(at)
-            elif size == 0:
-                yield np.empty(0, np.int64), bound
         yield np.concatenate([np.empty(0, np.int64), *got]), -np.inf
 
-    def best(self, a: np.ndarray, wanted: np.ndarray, top: int) -> list[tuple[int, int]]:
-        """(score, row) of the ``top`` best wanted rows, ties by id and row."""
-        found = []
-        for at, bound in self.steps(a, wanted):
-            s = self.scores(at, a)
-            ok = _highest(s, top)
-            if len(found) == top:
-                ok &= s >= -found[-1][0]
-            found = heapq.nsmallest(top, found + self._listed(at[ok], s[ok]))
-            if len(found) == top and -found[-1][0] > bound:
+    def search(self, a: np.ndarray, ids: np.ndarray, labels: np.ndarray, same: bool, who: np.ndarray,
+               least: np.ndarray, most: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, row, score) of the ``top`` best rows of every query, best
+        first, ties by id and row.  Query k asks for rows of the same label
+        as anchor ``who[k]`` (a row of ``a``), or of other labels, whose score
+        is from ``least[k]`` to ``most[k]``.  One heap serves all anchors; a
+        query is closed once no cell to come can reach its window or its
+        ``top``-th row, and anchors without open queries are scored no more."""
+        floor, open_ = least.copy(), np.arange(len(who))
+        held = np.empty((3, 0), np.int64)  # query, row, score
+        wanted = np.isin(self.labels, labels) if same else np.ones(len(self.labels), bool)
+        for at, bound in self.steps(a, wanted, int(most.max())):
+            used, place = np.unique(who[open_], return_inverse=True)
+            fits = (self.ids[at] != ids[used, None]) & ((self.labels[at] == labels[used, None]) == same)
+            s = self.scores(at, a[used])[place]
+            ok = fits[place] & (s >= floor[open_, None]) & (s <= most[open_, None])
+            if len(at) > top and ok.sum() > 4 * top * len(open_):
+                # all that tie with the last place stay
+                ok &= s >= np.partition(np.where(ok, s, LOWEST), -top, axis=1)[:, -top, None]
+            q, k = np.nonzero(ok)
+            held = np.concatenate([held, [open_[q], at[k], s[q, k]]], axis=1)
+            held = held[:, np.lexsort((self.rows[held[1]], self.ids[held[1]], -held[2], held[0]))]
+            begin = np.searchsorted(held[0], np.arange(len(who)))
+            held = held[:, np.arange(held.shape[1]) - begin[held[0]] < top]
+            ends = np.searchsorted(held[0], np.arange(len(who)), side="right")
+            full = np.flatnonzero(np.bincount(held[0], minlength=len(who)) == top)
+            floor[full] = held[2, ends[full] - 1]
+            open_ = np.flatnonzero(floor <= bound)
+            if not len(open_):
                 break
-        return [(-s, k) for s, _, _, k in found]
-
-    def windows(self, a: np.ndarray, wanted: np.ndarray, top: int, windows: list[tuple[int, int]]):
-        """The ``top`` best wanted rows in each window (least, most score)."""
-        most = max(w[1] for w in windows)
-        kept: list = []
-        answers = [[] for _ in windows]
-        open_ = list(range(len(windows)))
-        for at, bound in self.steps(a, wanted, most):
-            s = self.scores(at, a)
-            ok = np.zeros(len(s), bool)
-            for lo, hi in (windows[w] for w in open_):
-                inside = np.flatnonzero((s >= lo) & (s <= hi))
-                ok[inside[_highest(s[inside], top)]] = True
-            kept = sorted(kept + self._listed(at[ok], s[ok]))
-            for w in list(open_):
-                lo, hi = windows[w]
-                answers[w] = [f for f in kept if lo <= -f[0] <= hi][:top]
-                if bound < lo or (len(answers[w]) == top and -answers[w][-1][0] > bound):
-                    open_.remove(w)
-            if not open_:
-                break
-        return [[(-s, k) for s, _, _, k in f] for f in answers]
-
-    def _listed(self, at, s):
-        return list(zip((-s).tolist(), self.ids[at].tolist(), self.rows[at].tolist(), at.tolist(), strict=True))
+        return held[0], held[1], held[2]
 
 
 def _tile_task(top: int, num: int, den: int):
@@ -216,19 +219,22 @@ def _tile_task(top: int, num: int, den: int):
             shard = Shard(_vectors(part.column("vec")[:n], int(dim)), mine["id"], mine["label"], mine["row"],
                           mine["c1"], mine["c2"])
             anchors = part.slice(n)
-            x, out = _vectors(anchors.column("vec"), int(dim)), []
-            for a, one in zip(x, anchors.select(["row", "id", "label", "targets"]).to_pylist(), strict=True):
-                other = shard.ids != one["id"]
-                if one["targets"] is None:
-                    for s, k in shard.best(a, other & (shard.labels == one["label"]), top):
-                        out.append((one["row"], s, int(shard.ids[k]), int(shard.rows[k]), s))
-                else:
-                    spans = [(-(-num * t // den), t) for t in one["targets"]]
-                    wanted = other & (shard.labels != one["label"])
-                    for t, found in zip(one["targets"], shard.windows(a, wanted, top, spans), strict=True):
-                        out += [(one["row"], t, int(shard.ids[k]), int(shard.rows[k]), s) for s, k in found]
-            names = ["anchor", "target", "id", "row", "score"]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(5)], names=names)
+            x = _vectors(anchors.column("vec"), int(dim))
+            ids, labels, named = (anchors.column(k).to_numpy() for k in ("id", "label", "row"))
+            targets = anchors.column("targets").to_pylist()
+            same = targets[0] is None  # all anchors ask for positives, or all for negatives
+            asked = [[HIGHEST]] * len(x) if same else targets
+            order = np.lexsort((shard.nearest(x), labels)) if same else np.argsort(shard.nearest(x), kind="stable")
+            block = max(1, QUERIES // max(map(len, asked)))
+            for k in range(0, len(order), block):
+                some = order[k:k + block]
+                who = np.repeat(np.arange(len(some)), [len(asked[i]) for i in some])
+                most = np.array([t for i in some for t in asked[i]], np.int64)
+                least = np.full(len(most), LOWEST) if same else np.array([-(-num * t // den) for t in most.tolist()], np.int64)
+                q, at, s = shard.search(x[some], ids[some], labels[some], same, who, least, most, top)
+                cols = [named[some][who[q]], s if same else most[q], shard.ids[at], shard.rows[at], s]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
+                                                 names=["anchor", "target", "id", "row", "score"])
     return run
 
 

@@ -81,7 +81,7 @@ def test_cells_come_by_bound_and_hold_their_rows():
     r = random.Random(2)
     for _ in range(5):
         a = shard.x[r.randrange(3000)]
-        cells = list(shard.cells(a))
+        cells = list(shard.cells(a[None]))
         assert len({c for *_, c in cells}) == len(cells) == len(shard.names1) * len(shard.names2)
         assert all(x[0] >= y[0] for x, y in zip(cells, cells[1:]))
         for up, low, c in cells:
@@ -92,9 +92,31 @@ def test_cells_come_by_bound_and_hold_their_rows():
 def test_search_stops_early():
     """Of clustered rows, a search looks at a part only."""
     shard = shard_of(clustered(6000, 8, 4))
-    wanted = np.ones(6000, bool)
+    no = np.array([-1])
     for k in range(0, 6000, 600):
-        got = shard.best(shard.x[k], wanted, 5)
-        s = np.sort(shard.x @ shard.x[k])[::-1][:5]
-        assert [v for v, _ in got] == s.astype(int).tolist()
+        q, _, got = shard.search(shard.x[k:k + 1], no, no, False, np.zeros(1, int), np.array([negatives.LOWEST]),
+                                 np.array([negatives.HIGHEST]), 5)
+        assert got.tolist() == np.sort(shard.x @ shard.x[k])[::-1][:5].astype(int).tolist() and not q.any()
     assert shard.scored < 0.3 * 10 * 6000
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_queries_that_share_a_heap(same):
+    """Each query's answer is that of a scan of the shard; open and closed windows, ties, anchors of the shard."""
+    rows = clustered(3000, 6, 9)
+    rows += [(9000 + i, rows[0][1], i % 4) for i in range(40)]
+    shard = shard_of(rows)
+    r = np.random.default_rng(1)
+    pick = r.integers(0, len(rows), 30)
+    who = np.sort(r.integers(0, 30, 70))
+    a, ids, labels = shard.x[pick], shard.ids[pick], shard.labels[pick]
+    full = (a @ shard.x.T).astype(np.int64)
+    most = np.array([r.choice(full[w]) for w in who])
+    least = np.where(r.random(70) < 0.5, negatives.LOWEST, (0.8 * most).astype(np.int64))
+    got = list(zip(*(v.tolist() for v in shard.search(a, ids, labels, same, who, least, most, 4))))
+    want = []
+    for k, w in enumerate(who):
+        fits = [i for i in range(len(rows)) if shard.ids[i] != ids[w] and (shard.labels[i] == labels[w]) == same
+                and least[k] <= full[w, i] <= most[k]]
+        want += [(k, i, full[w, i]) for i in sorted(fits, key=lambda i: (-full[w, i], shard.ids[i], shard.rows[i]))[:4]]
+    assert got == want
