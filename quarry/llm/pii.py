@@ -4,12 +4,18 @@ The base spans are fixed patterns (email, ip, card, phone).  The field adds
 what the patterns miss: its nodes are the tokens with a digit or an ``@``;
 tokens inside a base span are observed, the others have a label to be
 inferred.  Neighbouring tokens share a chain potential; occurrences of the
-same or a similar token (same digits, or same letters in lower case),
-however far apart, share a skip potential; loopy message passing spreads the
-labels over the document.  All potentials are learned from the corpus: one
-pass over all documents counts labels per token shape (hashed into a fixed
-number of buckets) and label pairs per edge kind, and only those bounded
-tables reach the driver.
+same token (same digits, or same letters in lower case), however far apart,
+share a skip potential, and so, with one of its own, do tokens one edit apart;
+loopy message passing spreads the labels over the document.
+
+Everything is learned from the corpus in one pass over all documents.  It
+counts labels per token shape (hashed into a fixed number of buckets) and
+label pairs per kind of edge; only those bounded tables reach the driver.  How
+much each kind of potential weighs is fitted on tokens of the base spans of
+held-out documents: each is hidden, and so is, in half of these documents, its
+shape, and its label is to be told from its neighbours' labels.  Tokens that
+the patterns leave out although their shape may hold personal data are no
+examples of either side.
 """
 
 from __future__ import annotations
@@ -17,18 +23,27 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import drop_table, write_table
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 #: buckets that token shapes are hashed into
 SHAPES = 4096
 #: an unobserved token is marked when its belief in one kind reaches this
 BELIEF = 0.9
+#: keys of as many characters may have near ones, a single edit away
+NEAR_LENGTH = 8
+#: one document in as many is held out of the counts that weights are fitted with
+FOLDS = 4
+#: pull of the weights towards 1, steps of their fit
+RIDGE, STEPS = 10.0, 12
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -142,42 +157,109 @@ def skip_links(tokens) -> np.ndarray:
     return np.array(out, dtype=np.int64).reshape(-1, 2)
 
 
-_CHAIN, _SKIP = SHAPES, SHAPES + len(LABELS)
+def _deletions(key: str) -> tuple[int, list[int]]:
+    """Hash of the key, and of the key without each of its characters."""
+    codes = np.frombuffer(key.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    terms = codes * np.cumprod(np.full(len(codes), _BASE, np.uint64))
+    sums = np.cumsum(terms)
+    return int(sums[-1]), (sums - terms + (sums[-1] - sums) * _INVERSE).tolist()
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether one character put in, left out or replaced turns a into b."""
+    if len(a) > len(b):
+        a, b = b, a
+    i = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
+    return a[i + (len(a) == len(b)):] == b[i + 1:] and len(b) - len(a) < 2 and a != b
+
+
+def near_links(tokens) -> np.ndarray:
+    """The first occurrence of each key of NEAR_LENGTH characters or more to
+    that of the last key before that a replaced character gives, for each
+    place, that a character left out gives, for each place, and that has one
+    character more.  Time and memory are linear in the keys' length."""
+    whole, cut, replaced, known, out = {}, {}, {}, set(), []
+    for i, t in enumerate(tokens):
+        key = t[3]
+        if len(key) < NEAR_LENGTH or key in known:
+            continue
+        known.add(key)
+        total, less = _deletions(key)
+        found = {cut.get(total), *map(whole.get, less), *map(replaced.get, zip(less, range(len(less)), strict=True))}
+        out += [(j, i) for j in sorted(found - {None}) if one_edit(tokens[j][3], key)]
+        whole[total] = i
+        cut.update(dict.fromkeys(less, i))
+        replaced.update(dict.fromkeys(zip(less, range(len(less)), strict=True), i))
+    return np.array(out, dtype=np.int64).reshape(-1, 2)
+
+
+_BASE = np.uint64(6364136223846793005)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 2 ** 64))
 _L = len(LABELS)
+#: tables of label pairs, below those of the shapes: chain, skip, near
+_EDGES_AT = [SHAPES + k * _L for k in range(3)]
+_ROWS = SHAPES + 3 * _L
+
+
+def _context(text: str):
+    """(tokens, labels of the base spans, links per kind of edge)"""
+    tokens, label, chain = nodes(text, base_spans(text))
+    return tokens, label, (chain, skip_links(tokens), near_links(tokens))
 
 
 def _count_task(batches):
-    """Per task: label counts per shape, and label pairs per edge kind."""
-    total = np.zeros((SHAPES + 2 * _L, _L), dtype=np.int64)
+    """Counts per cell: (fold, row, label) of the tables, fold 0 being held
+    out, and, of the held-out documents' tokens, (shape, whether it is hidden,
+    label, number of neighbours per kind of edge and label)."""
+    total = np.zeros((2, _ROWS, _L), dtype=np.int64)
+    seen: Counter = Counter()
+
+    def flush():
+        out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.list_(pa.int64())), pa.array(seen.values(), pa.int64())],
+                                         names=["cell", "n"])
+        seen.clear()
+        return out
+
     for batch in batches:
         for text in batch.column(0):
             text = text.as_py()
             if not text or not _MARK.search(text):
                 continue
-            tokens, label, chain = nodes(text, base_spans(text))
-            for t, k in zip(tokens, label, strict=True):
-                total[t[2], k] += 1
-            for row, links in ((_CHAIN, chain), (_SKIP, skip_links(tokens))):
-                for a, b in links:
-                    total[row + label[a], label[b]] += 1
-                    total[row + label[b], label[a]] += 1
-    at, k = np.nonzero(total)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(at), pa.array(k), pa.array(total[at, k])], names=["at", "k", "n"])
+            tokens, label, edges = _context(text)
+            fold = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+            held = fold % FOLDS == 0
+            table = total[int(not held)]
+            around = np.zeros((len(tokens), 3 * _L), np.int64)
+            np.add.at(table, ([t[2] for t in tokens], label), 1)
+            for k, links in enumerate(edges):
+                for a, b in (links.T, links.T[::-1]):
+                    np.add.at(table, (_EDGES_AT[k] + label[a], label[b]), 1)
+                    np.add.at(around, (a, k * _L + label[b]), 1)
+            if held:
+                hide = fold // FOLDS % 2
+                for t, k, row in zip(tokens, label.tolist(), around.tolist(), strict=True):
+                    seen[(t[2], hide, k, *row)] += 1
+                if len(seen) > 20_000:
+                    yield flush()
+    at = np.nonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(np.stack(at, axis=1).tolist(), pa.list_(pa.int64())), pa.array(total[at])],
+                                     names=["cell", "n"])
+    yield flush()
 
 
 class Field:
-    """Log potentials: ``unary`` (shape, label), ``chain`` and ``skip``
-    (label, label)."""
+    """Log potentials: ``unary`` (shape, label) and ``edges`` (label, label)
+    of the kinds chain, skip, near; ``weights`` of unary and edges."""
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray, weights=(1.0, 1.0, 1.0, 1.0)):
         shapes = counts[:SHAPES].astype(float)
-        prior = (shapes.sum(axis=0) + 1) / (shapes.sum() + _L)
-        self.unary = np.log((shapes + 2 * prior) / (shapes.sum(axis=1, keepdims=True) + 2))
+        self.prior = (shapes.sum(axis=0) + 1) / (shapes.sum() + _L)
+        plain = np.log((shapes + 2 * self.prior) / (shapes.sum(axis=1, keepdims=True) + 2))
         #: shapes with a real chance of personal data; tokens of others stay unmarked
-        self.open = 1 - np.exp(self.unary[:, 0]) >= 1e-3
-        self.chain = self._affinity(counts[_CHAIN:_SKIP])
-        self.skip = self._affinity(counts[_SKIP:])
+        self.open = 1 - np.exp(plain[:, 0]) >= 1e-3
+        self.weights = np.array(weights, float)
+        self.unary = self.weights[0] * plain
+        self.edges = [w * self._affinity(counts[at:at + _L]) for w, at in zip(self.weights[1:], _EDGES_AT, strict=True)]
 
     @staticmethod
     def _affinity(n: np.ndarray) -> np.ndarray:
@@ -185,17 +267,23 @@ class Field:
         side = p.sum(axis=1)
         return np.clip(np.log(p / (side[:, None] * side[None, :])), -4, 4)
 
-    def beliefs(self, tokens, label, chain, skip, rounds: int = 30) -> np.ndarray:
+    def examples(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(features per label: unary, chain, skip, near; usable rows) of
+        hidden tokens: personal data, and others of shapes that aren't open."""
+        shape, hide, label, around = cells[:, 0], cells[:, 1], cells[:, 2], cells[:, 3:].reshape(-1, 3, _L)
+        own = np.where(hide[:, None] == 1, np.log(self.prior), self.unary[shape])
+        return np.stack([own, *(around[:, k] @ e for k, e in enumerate(self.edges))], axis=1), (label > 0) | ~self.open[shape]
+
+    def beliefs(self, tokens, label, edges, rounds: int = 30) -> np.ndarray:
         """Loopy sum-product on the document's graph, damped by half; a label
         of -1 is to be inferred, others are observed."""
         own = self.unary[[t[2] for t in tokens]].copy()
         seen = label >= 0
         own[seen] = -50
         own[seen, label[seen]] = 0
-        links = np.concatenate([chain, skip])
+        links = np.concatenate(edges)
         if len(links):
-            pot = np.concatenate([np.repeat(self.chain[None], len(chain), 0),
-                                  np.repeat(self.skip[None], len(skip), 0)])
+            pot = np.concatenate([np.repeat(e[None], len(x), 0) for e, x in zip(self.edges, edges, strict=True)])
             src = np.concatenate([links[:, 0], links[:, 1]])
             dst = np.concatenate([links[:, 1], links[:, 0]])
             pot = np.concatenate([pot, pot.transpose(0, 2, 1)])
@@ -223,34 +311,81 @@ class Field:
             return []
         tokens, label, chain = nodes(text, spans)
         open_ = (label == 0) & self.open[[t[2] for t in tokens]] if tokens else np.zeros(0, bool)
-        skip = skip_links(tokens)
-        if len(skip):  # a token can also be drawn in by an observed twin
-            held = label > 0
-            pulled = np.concatenate([skip[held[skip[:, 0]], 1], skip[held[skip[:, 1]], 0]])
+        if not tokens or not (open_.any() or (label > 0).any()):
+            return []
+        edges = (chain, skip_links(tokens), near_links(tokens))
+        held = label > 0
+        for links in edges[1:]:  # a token can also be drawn in by an observed twin
+            pulled = np.concatenate([links[held[links[:, 0]], 1], links[held[links[:, 1]], 0]])
             open_[pulled] |= label[pulled] == 0
         if not open_.any():
             return []
         # all other tokens are observed: only links to open ones carry messages
-        chain, skip = (x[open_[x].any(axis=1)] for x in (chain, skip))
-        used = np.unique(np.concatenate([np.flatnonzero(open_), chain.ravel(), skip.ravel()]))
+        edges = [x[open_[x].any(axis=1)] for x in edges]
+        used = np.unique(np.concatenate([np.flatnonzero(open_), *(x.ravel() for x in edges)]))
         tokens = [tokens[i] for i in used]
-        p = self.beliefs(tokens, np.where(open_, -1, label)[used], np.searchsorted(used, chain),
-                         np.searchsorted(used, skip))
+        p = self.beliefs(tokens, np.where(open_, -1, label)[used], [np.searchsorted(used, x) for x in edges])
         best = p.argmax(axis=1)
         return sorted((LABELS[best[i]], tokens[i][0], tokens[i][1]) for i in np.flatnonzero(open_[used])
                       if best[i] and p[i, best[i]] >= BELIEF)
 
 
+def _slope_task(field: Field, weights: np.ndarray):
+    """Sums over the examples: gradient and curvature of their log likelihood
+    by the weights, cell by cell."""
+    def run(batches):
+        total = np.zeros((4, 5))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+            f, use = field.examples(cells)
+            f, n, y = f[use], batch.column(1).to_numpy()[use], cells[use, 2]
+            z = np.einsum("k,ikl->il", weights, f)
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            mean = np.einsum("il,ikl->ik", p, f)
+            total[:, 0] += n @ (f[np.arange(len(f)), :, y] - mean)
+            total[:, 1:] += np.einsum("i,il,ikl,iml->km", n, p, f, f) - np.einsum("i,ik,im->km", n, mean, mean)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(20)), pa.array(total.reshape(-1))], names=["at", "v"])
+    return run
+
+
+def fit_weights(field: Field, examples: DataFrame) -> np.ndarray:
+    """Weights of the potentials, from 0 to 3, that tell the examples' labels
+    best, by Newton steps with a pull towards 1; each step sums 20 numbers
+    over the table.  Without examples they are 1."""
+    weights = np.ones(4)
+    for _ in range(STEPS):
+        total = np.zeros(20)
+        for r in examples.mapInArrow(_slope_task(field, weights), "at bigint, v double").groupBy("at").agg(F.sum("v")).collect():
+            total[r[0]] = r[1]
+        total = total.reshape(4, 5)
+        slope, bend = total[:, 0] - RIDGE * (weights - 1), total[:, 1:] + RIDGE * np.eye(4)
+        free = ~((weights == 0) & (slope < 0) | (weights == 3) & (slope > 0))
+        step = np.zeros(4)
+        step[free] = np.linalg.solve(bend[np.ix_(free, free)], slope[free])
+        moved = np.clip(weights + np.clip(step, -0.5, 0.5), 0, 3)
+        done = np.abs(moved - weights).max() < 1e-4
+        weights = moved
+        if done:
+            break
+    return weights.round(4)  # sums of doubles come in any order
+
+
 def learn(docs: DataFrame, text_col: str = "text") -> Field:
-    """Potentials from all documents (null texts count nothing); an empty
-    table gives a field that adds nothing."""
-    counts = np.zeros((SHAPES + 2 * _L, _L), dtype=np.int64)
-    got = (docs.select(F.col(text_col).cast("string").alias("text"))
-           .mapInArrow(_count_task, "at bigint, k bigint, n bigint")
-           .groupBy("at", "k").agg(F.sum("n").alias("n")).collect())  # SHAPES + 10 rows of 5 at most
-    for r in got:
-        counts[r["at"], r["k"]] = r["n"]
-    return Field(counts)
+    """Potentials from all documents (null texts count nothing), their weights
+    from the held-out ones against the counts of the others; an empty table
+    gives a field that adds nothing."""
+    cells = write_table(docs.select(F.col(text_col).cast("string").alias("text"))
+                        .mapInArrow(_count_task, "cell array<bigint>, n bigint")
+                        .groupBy("cell").agg(F.sum("n").alias("n")), "pii_cells")
+    counts = np.zeros((2, _ROWS, _L), dtype=np.int64)
+    for r in cells.where(F.size("cell") == 3).collect():  # 2 x (SHAPES + 15) rows of 5 at most
+        counts[tuple(r["cell"])] = r["n"]
+    weights = fit_weights(Field(counts[1]), cells.where(F.size("cell") > 3))
+    drop_table(cells)
+    return Field(counts.sum(axis=0), weights)
 
 
 def _joined(spans) -> str:
