@@ -7,6 +7,9 @@ DataFrames instead of console prints.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,18 +53,30 @@ def split_random(df: DataFrame, weights=(0.9, 0.1), seed: int = 11):
     return df.randomSplit(list(weights), seed=seed)
 
 
+@contextmanager
+def held(df: DataFrame):
+    """``df`` persisted (in memory, else on disk) within the block and
+    released after it, also if it fails.  A frame that its caller persists
+    stays as it is.  Blocks of a lost executor are computed again."""
+    own = not (df.storageLevel.useMemory or df.storageLevel.useDisk)
+    if own:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        if own:
+            df.unpersist()
+
+
 def fit_logreg(train: DataFrame, max_iter: int = 1000, reg: float = 0.01,
                elastic_net: float = 0.0, features: str = "features",
                label: str = "label") -> LogisticRegressionModel:
     """Binomial L2 logistic regression (reference: maxIter 1000, lambda 0.01,
     elastic net 0).  The training split is persisted for the iterations."""
-    train = train.persist()
-    try:
+    with held(train) as rows:
         lr = LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net,
                                 featuresCol=features, labelCol=label)
-        return lr.fit(train)
-    finally:
-        train.unpersist()
+        return lr.fit(rows)
 
 
 def score(model: LogisticRegressionModel, df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ on the documents x labels feature table and are rows-only checks.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from quarry.operators import metrics as MT
@@ -202,6 +203,24 @@ def objective_check(spark, sf):
         "n_train", F.lit(matches).alias("last_matches"), F.lit(falling).alias("monotone"))
 
 
+@query("cached_split", sql=f"""
+WITH {FEATURES_IN_SQL}
+SELECT label, count(*) AS n_rows, count(*) AS n_again, true AS cached, true AS released
+FROM src WHERE train GROUP BY label
+""")
+def cached_split(spark, sf):
+    """Rows of the training split per label, counted twice from its cached
+    blocks (the plan reads them), and whether it is released afterwards."""
+    _, train, _, _ = _fitted(spark, sf)
+    with MD.held(train):
+        counts = train.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"))
+        cached = "InMemoryRelation" in counts._jdf.queryExecution().withCachedData().toString()
+        first, again = counts.collect(), dict(counts.collect())  # a row per class
+    released = train.storageLevel == StorageLevel.NONE
+    return spark.createDataFrame([(r.label, r.n_rows, again[r.label], cached, released) for r in first],
+                                 "label double, n_rows bigint, n_again bigint, cached boolean, released boolean")
+
+
 @query("score_test")
 def score_test(spark, sf):
     """Batch scoring of the test split: (id, label, prediction, p1)."""

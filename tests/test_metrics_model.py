@@ -1,4 +1,5 @@
 import pytest
+from pyspark import StorageLevel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -97,3 +98,28 @@ def test_null_keys_are_on_the_training_side(spark):
     df = spark.createDataFrame([(None,), (None,)] + [(i,) for i in range(200)], "id long")
     train, test = MD.split_hash(df, "id")
     assert train.where("id IS NULL").count() == 2 and train.count() + test.count() == 202
+
+
+def test_the_split_is_held_while_it_is_learned_from(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i % 2), float(i % 3)])) for i in range(40)], ["label", "features"])
+    seen = []
+
+    class Learner:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, rows):
+            seen.append(rows.storageLevel.useMemory and rows.storageLevel.useDisk)
+            if len(seen) == 2:
+                raise ValueError("stopped")
+
+    monkeypatch.setattr(MD, "LogisticRegression", Learner)
+    MD.fit_logreg(df)
+    assert seen == [True] and df.storageLevel == StorageLevel.NONE
+    with pytest.raises(ValueError):
+        MD.fit_logreg(df)
+    assert df.storageLevel == StorageLevel.NONE
+    df.persist(StorageLevel.DISK_ONLY)  # the caller's own
+    MD.fit_logreg(df)
+    assert df.storageLevel == StorageLevel.DISK_ONLY
+    df.unpersist()
