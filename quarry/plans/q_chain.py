@@ -1,16 +1,20 @@
 """The file jobs as queries: CSV dumps of the tables (every column text, lines
-broken off in between) -> untyped scan -> step 1 -> step 2."""
+broken off in between) -> untyped scan -> step 1 -> step 2 -> step 3 -> step 4."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
+from quarry.operators import model as MD
 from quarry.plans import jobs as J
+from quarry.plans.q_features import COUNT_CELLS_SQL, TRAIN_SQL, cells_sql, vector_summary
+from quarry.plans.q_model import GRADIENT_BOUND
 from quarry.plans.q_tags import _DICT, _FWD, _REV, _SEG
 from quarry.plans.registry import query
 from quarry.sources import csv as CSV
 from quarry.sources import tables as TB
+from quarry.sources.libsvm import read_libsvm
 
 POST_COLS = [f.name for f in S.POSTS]
 
@@ -95,18 +99,80 @@ def job_clean(spark, sf):
     return J.read_labelled(spark, base + "out_labelled")
 
 
-@query("job_tags", sql=f"""
-WITH RECURSIVE {_DICT},
+_STEP2_SQL = f"""{_DICT},
 {_STEP1_SQL},
 glued AS (SELECT DISTINCT id, tags AS s FROM step1),
 {_FWD},
 {_REV},
-{_SEG}
-SELECT step1.* REPLACE (split_tags AS tags) FROM step1 JOIN seg USING (id) WHERE split_tags IS NOT NULL
-""")
-def job_tags(spark, sf):
-    """The same chain through step 2, file to file."""
+{_SEG},
+step2 AS (SELECT step1.* REPLACE (split_tags AS tags) FROM step1 JOIN seg USING (id) WHERE split_tags IS NOT NULL)"""
+
+
+def _tagged(spark, sf):
+    """The chain through step 2, file to file; returns the dumps' prefix."""
     base = _dumps(spark, sf)
     J.clean_job(spark, base, base + "out_labelled")
     J.tags_job(spark, base, base + "out_labelled", base + "out_tagged")
-    return J.read_labelled(spark, base + "out_tagged")
+    return base
+
+
+@query("job_tags", sql=f"WITH RECURSIVE {_STEP2_SQL} SELECT * FROM step2")
+def job_tags(spark, sf):
+    """The same chain through step 2, file to file."""
+    return J.read_labelled(spark, _tagged(spark, sf) + "out_tagged")
+
+
+# rows without a required value go
+_STEP3_IN_SQL = f"""{_STEP2_SQL},
+src0 AS (SELECT id, CAST(label AS DOUBLE) AS label, title, regexp_replace(body, '<.*?>', '', 'g') AS body,
+                CAST(creation_date AS DOUBLE) AS s1, CAST(answer_count AS DOUBLE) AS s2,
+                CAST(coalesce(favorite_count, 0) AS DOUBLE) AS s3, CAST(score AS DOUBLE) AS s4,
+                CAST(reputation AS DOUBLE) AS s5, string_split(tags, '|') AS tag_list,
+                string_split(vote_type_id, '|') AS vote_list
+         FROM step2 WHERE COLUMNS(* EXCLUDE (favorite_count, view_count, owner_user_id)) IS NOT NULL),
+src AS (SELECT *, {TRAIN_SQL} AS train FROM src0)"""
+
+
+_LIBSVM: dict = {}
+
+
+def _libsvm(spark, sf):
+    """(path, vector width) of the chain's LibSVM files, memoised per
+    application and scale so that steps 3 and 4 share one run."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LIBSVM:
+        base = _tagged(spark, sf)
+        _LIBSVM[key] = base + "out_libsvm", J.features_job(spark, base + "out_tagged", base + "out_libsvm")
+    return _LIBSVM[key]
+
+
+@query("job_features", sql=f"""
+WITH RECURSIVE {cells_sql(_STEP3_IN_SQL, "tag_list", "vote_list")},
+{COUNT_CELLS_SQL}
+SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS side, label, CAST((SELECT n FROM width) AS INTEGER) AS width,
+       CAST(count(*) FILTER (WHERE v <> 0) AS INTEGER) AS nnz, round(coalesce(sum(v), 0), 6) AS total
+FROM src LEFT JOIN cells ON src.id = cells.id GROUP BY src.id, train, label
+""")
+def job_features(spark, sf):
+    """The chain through step 3: every row of both LibSVM outputs, read back
+    and summarised."""
+    path, width = _libsvm(spark, sf)
+    sides = [vector_summary(read_libsvm(spark, f"{path}/{name}", width).withColumn("id", F.lit(0)))
+             .withColumn("side", F.lit(name)) for name in ("train", "test")]
+    return sides[0].unionByName(sides[1]).select("side", "label", "width", "nnz", "total")
+
+
+@query("job_train", sql=f"""
+WITH RECURSIVE {_STEP3_IN_SQL}
+SELECT label, count(*) AS n_label, CAST((SELECT count(*) FROM src WHERE train) AS BIGINT) AS total, true AS optimal
+FROM src WHERE train GROUP BY label
+""")
+def job_train(spark, sf):
+    """All four jobs: the training rows that the metrics count per label, and
+    whether the fitted point is optimal on the training file."""
+    path, width = _libsvm(spark, sf)
+    done = J.train_job(spark, path, num_features=width)
+    train = read_libsvm(spark, f"{path}/train", width).withColumn("id", F.lit(0))
+    worst = MD.gradient(done["model"], train).agg(F.max(F.abs("gradient"))).first()[0]
+    ok = worst is not None and worst <= GRADIENT_BOUND
+    return done["metrics_by_label"].select("label", "n_label", "total", F.lit(ok).alias("optimal"))

@@ -207,8 +207,11 @@ FEATURES_IN_SQL = f"""src0 AS (
     AND d.source IS NOT NULL AND l.quality IS NOT NULL),
 src AS (SELECT *, {TRAIN_SQL} AS train FROM src0)"""
 
-# every block as (id, value) cells; min, max and vocabularies of the training side
-_CELLS_SQL = f"""{FEATURES_IN_SQL},
+def cells_sql(source, tags="[lang, source]", votes="[lang]"):
+    """Every block as (id, value) cells; min, max and vocabularies of the
+    training side.  ``source`` ends with the rows ``src``, of which ``tags``
+    and ``votes`` are the lists."""
+    return f"""{source},
 toks AS (SELECT id, train, 'title' AS block, unnest({_stop_sql('title')}) AS term FROM src
          UNION ALL SELECT id, train, 'body', unnest({_stop_sql('body')}) FROM src),
 tf AS (SELECT id, train, block, term, count(*) AS tf FROM toks GROUP BY ALL),
@@ -217,8 +220,8 @@ st AS (SELECT block, term, sum(tf) AS total, max(tf) AS mx,
        FROM tf WHERE train GROUP BY block, term),
 voc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY block ORDER BY total DESC, term) AS rk FROM st)
         WHERE rk <= {FT.DEFAULT_VOCAB}),
-lists AS (SELECT id, train, 'tags' AS block, unnest([lang, source]) AS term FROM src
-          UNION ALL SELECT id, train, 'votes', lang FROM src),
+lists AS (SELECT id, train, 'tags' AS block, unnest({tags}) AS term FROM src
+          UNION ALL SELECT id, train, 'votes', unnest({votes}) FROM src),
 lvoc AS (SELECT DISTINCT block, term FROM lists WHERE train),
 scal AS (SELECT id, train, unnest(['s1', 's2', 's3', 's4', 's5']) AS name, unnest([s1, s2, s3, s4, s5]) AS x FROM src),
 mm AS (SELECT name, min(x) AS lo, max(x) AS hi FROM scal WHERE train GROUP BY name),
@@ -227,21 +230,27 @@ other AS (
   UNION ALL
   SELECT id, CASE WHEN hi = lo THEN 0.5 ELSE (x - lo) / (hi - lo) END FROM scal JOIN mm USING (name))"""
 
-_SUMMARY_SQL = """SELECT src.id, src.label, CAST((SELECT n FROM width) AS INTEGER) AS width, {nnz}
-       round(coalesce(sum(v), 0), 6) AS total
-FROM src LEFT JOIN cells ON src.id = cells.id GROUP BY src.id, src.label"""
 
+_CELLS_SQL = cells_sql(FEATURES_IN_SQL)
 
-@query("feature_pipeline", sql=f"""
-WITH {_CELLS_SQL},
-cells AS (
+#: the cells of the count variant, terms of every training row included, and the width
+COUNT_CELLS_SQL = """cells AS (
   SELECT id, CASE WHEN mx = mn THEN 0.5 ELSE (tf - mn) / (mx - mn) END AS v FROM tf JOIN voc USING (block, term)
   UNION ALL  -- a term of every training document that a test document lacks
   SELECT s.id, CASE WHEN mx = mn THEN 0.5 ELSE (0 - mn) / (mx - mn) END
   FROM (SELECT * FROM src WHERE NOT train) s JOIN (SELECT * FROM voc WHERE mn > 0) voc ON true
   WHERE NOT EXISTS (SELECT 1 FROM tf WHERE tf.id = s.id AND tf.block = voc.block AND tf.term = voc.term)
   UNION ALL SELECT * FROM other),
-width AS (SELECT (SELECT count(*) FROM voc) + (SELECT count(*) FROM lvoc) + 5 AS n)
+width AS (SELECT (SELECT count(*) FROM voc) + (SELECT count(*) FROM lvoc) + 5 AS n)"""
+
+_SUMMARY_SQL = """SELECT src.id, src.label, CAST((SELECT n FROM width) AS INTEGER) AS width, {nnz}
+       round(coalesce(sum(v), 0), 6) AS total
+FROM src LEFT JOIN cells ON src.id = cells.id GROUP BY src.id, src.label"""
+
+
+@query("feature_pipeline", sql=f"""
+WITH {_CELLS_SQL},
+{COUNT_CELLS_SQL}
 {_SUMMARY_SQL.format(nnz="CAST(count(*) FILTER (WHERE v <> 0) AS INTEGER) AS nnz,")}
 """)
 def feature_pipeline(spark, sf):
