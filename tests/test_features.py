@@ -208,3 +208,13 @@ def test_long_assembly_against_the_pipeline(spark, tmp_path):
     for i in (0, 1):
         assert got[i][0] == round(-1 + 0.5 * sum(v for _, v in want[i]), 9)
     assert got[99] == (-1.0, 0.0)
+
+
+def test_vector_summary_reads_stored_cells(spark):
+    from pyspark.ml.linalg import Vectors
+    from quarry.plans.q_features import vector_summary
+    rows = [(1, 1.0, Vectors.sparse((1 << 31) - 1, [3, 70], [2.0, 0.5])), (2, 0.0, Vectors.dense([0.0, 4.0, 0.0])),
+            (3, 0.0, Vectors.sparse(9, [], []))]
+    got = vector_summary(spark.createDataFrame(rows, ["id", "label", "features"])).collect()
+    # as an array of its width the first one would not fit into any heap
+    assert sorted(tuple(r) for r in got) == [(1, 1.0, (1 << 31) - 1, 2, 2.5), (2, 0.0, 3, 1, 4.0), (3, 0.0, 9, 0, 0.0)]
