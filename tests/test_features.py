@@ -218,3 +218,38 @@ def test_vector_summary_reads_stored_cells(spark):
     got = vector_summary(spark.createDataFrame(rows, ["id", "label", "features"])).collect()
     # as an array of its width the first one would not fit into any heap
     assert sorted(tuple(r) for r in got) == [(1, 1.0, (1 << 31) - 1, 2, 2.5), (2, 0.0, 3, 1, 4.0), (3, 0.0, 9, 0, 0.0)]
+
+
+def test_counts_by_runs_of_tokens(spark, monkeypatch):
+    """Rows counted a few tokens at a time give the counts and extremes of whole batches."""
+    monkeypatch.setattr(FT, "COUNT_TOKENS", 7)
+    rows = [(i, [f"w{(i * k) % 5}" for k in range(i % 11)] if i % 4 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, toks array<string>").coalesce(1)
+    want = {(i, w): t.count(w) for i, t in rows for w in (t or [])}
+    batches = df.toArrow().to_batches()
+    sizes = [sum(len(t or []) for t in b.column(1).to_pylist()) for b in FT._slices(batches, 1)]
+    assert max(sizes) <= 10 and len(sizes) > 20  # a row holds at most 10
+    got = df.coalesce(1).transform(lambda d: FT.term_counts_in_row(d, "id", "toks")).collect()
+    assert {(r["id"], r["term"]): r["tf"] for r in got} == want and len(got) == len(want)
+    voc = FT.vocabulary_by_threshold(df, "toks", 10).collect()
+    for r in voc:
+        tf = [n for (_, w), n in want.items() if w == r["term"]]
+        assert (r["total"], r["df"], r["most"], r["least"]) == (sum(tf), len(tf), max(tf), min(tf))
+
+
+def test_text_scalers_need_no_pass_of_their_own(spark):
+    """The text blocks' scalers come fitted, and as ML fits them."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.base import Estimator
+    from pyspark.ml.feature import MaxAbsScaler, MinMaxScaler
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["a", "c", "c", "c"]), (3, ["a", "b"]), (4, ["a"] * 4)],
+                               "id int, t array<string>")
+    stages = FT._scaled_text_block(df, "t", "f", 10)
+    assert not any(isinstance(s, Estimator) for s in stages)
+    out = PipelineModel(stages=stages[:-1]).transform(df)
+    for col, kind in (("f_cv0", MaxAbsScaler), ("f_cv1", MinMaxScaler)):
+        made = next(s for s in stages if s.hasParam("inputCol") and s.isSet("inputCol") and s.getInputCol() == col and not hasattr(s, "vocabulary"))
+        fit = kind(inputCol=col, outputCol="x").fit(out)
+        got, want = ([r[0].toArray().tolist() for r in m.transform(out.drop(c)).select(c).collect()]
+                     for m, c in ((made, made.getOutputCol()), (fit, "x")))
+        assert got == want
