@@ -71,3 +71,19 @@ def test_broken_lines_are_written_and_dropped(spark, tmp_path):
     raw = {r["value"] for r in spark.read.text(f"{tmp_path}/x_broken").collect()}
     assert raw == {"id,v", '1,a "b",c', '2,a "b",c'}
     assert sorted(J.read_untyped(spark, f"{tmp_path}/x_*").collect()) == [("1", "a"), ("2", "b")]
+
+
+def test_dumps_shuffle_a_body_once(spark):
+    """A post's versions are made behind the joins, and both sets are written in one pass."""
+    from quarry.plans import q_chain as Q
+    posts = Q._posts(spark, SF)
+    assert posts._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2  # bodies, tags
+    orders = spark.read.parquet(f"{SF}/orders.parquet").groupBy("o_orderpriority").count().collect()
+    want = {r[0]: r[1] for r in orders}
+    got = {r[0]: r[1] for r in posts.groupBy("title").count().collect()}
+    assert got == want | {"3-MEDIUM": 2 * want["3-MEDIUM"], "": want["1-URGENT"]}
+    base = Q._dumps(spark, SF)
+    read = {n: J.read_untyped(spark, base + n) for n in (J.QUESTIONS_GLOB, J.ANSWERED_GLOB)}
+    assert all(d.columns == [*Q.POST_COLS, "extra"] for d in read.values())
+    assert sum(d.count() for d in read.values()) == sum(got.values())  # broken lines are dropped
+    assert {f.rsplit(".", 1)[-1] for d in read.values() for f in d.inputFiles() if "broken" not in f} == {"gz"}
