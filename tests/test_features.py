@@ -253,3 +253,16 @@ def test_text_scalers_need_no_pass_of_their_own(spark):
         got, want = ([r[0].toArray().tolist() for r in m.transform(out.drop(c)).select(c).collect()]
                      for m, c in ((made, made.getOutputCol()), (fit, "x")))
         assert got == want
+
+
+def test_feature_pipeline_persists_no_tokens(spark, monkeypatch):
+    """Tokens are several times their text; a task that reads them back reads as much."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from pyspark.sql import functions as F
+    held = []
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *a: held.append(df) or df)
+    monkeypatch.setattr(DataFrame, "cache", lambda df: held.append(df) or df)
+    rows = [(i, float(i % 2), f"title {i}", f"word{i} text", *[float(i)] * 5, ["a"], ["1"]) for i in range(6)]
+    df = spark.createDataFrame(rows, ["id", "label", "title", "body_s", *FT.SCALARS, "tags_a", "vote_type_id_a"])
+    model = FT.feature_pipeline(df, vocab_size=50)
+    assert not held and FT.training_table(model, df).where(F.col("features").isNotNull()).count() == 6
