@@ -12,7 +12,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,22 +102,26 @@ def assemble_long(prepared: DataFrame, train: DataFrame, vocab_size: int = FT.DE
 
 
 def _line_task(batches):
-    """LibSVM lines of (id, index, value) rows sorted by id and index; the
-    first row of an id (index -1) has its label."""
-    last, parts, lines = None, [], []
+    """LibSVM lines of (id, cell) rows sorted by id and index, ``cell`` being
+    the text of a cell; the first row of an id has its label."""
+    last, parts = None, []
     for batch in batches:
-        for i, k, v in zip(*(batch.column(c).to_pylist() for c in ("id", "index", "value")), strict=True):
-            if i != last:
-                if parts:
-                    lines.append(" ".join(parts))
-                last, parts = i, []
-            parts.append(repr(v) if k < 0 else f"{k + 1}:{v!r}")
-        if len(lines) >= 1000:
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
-            lines = []
+        if not batch.num_rows:
+            continue
+        ids, cells, lines = batch.column(0), batch.column(1).to_pylist(), []
+        here, before = ids[1:], ids[:-1]
+        new = pc.coalesce(pc.not_equal(here, before), pc.xor(pc.is_null(here), pc.is_null(before)))
+        cuts = np.flatnonzero(new.to_numpy(zero_copy_only=False)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cells)], strict=True):
+            i = ids[lo].as_py()
+            if i != last and parts:
+                lines.append(" ".join(parts))
+                parts = []
+            last = i
+            parts += cells[lo:hi]
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
     if parts:
-        lines.append(" ".join(parts))
-    yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([" ".join(parts)], pa.string())], names=["value"])
 
 
 def write_libsvm_long(labels: DataFrame, cells: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -123,7 +129,9 @@ def write_libsvm_long(labels: DataFrame, cells: DataFrame, path: str, mode: str
     id, in one shuffle: label and cells are sorted together by id and index."""
     first = labels.select("id", F.lit(-1).cast("bigint").alias("index"), F.col("label").cast("double").alias("value"))
     rows = first.unionByName(cells.select("id", "index", "value"))
-    rows = rows.repartition("id").sortWithinPartitions("id", "index")
+    value = F.col("value").cast("string")
+    text = F.when(F.col("index") < 0, value).otherwise(F.concat((F.col("index") + 1).cast("string"), F.lit(":"), value))
+    rows = rows.repartition("id").sortWithinPartitions("id", "index").select("id", text.alias("cell"))
     rows.mapInArrow(_line_task, "value string").write.mode(mode).text(path)
 
 

@@ -266,3 +266,14 @@ def test_feature_pipeline_persists_no_tokens(spark, monkeypatch):
     df = spark.createDataFrame(rows, ["id", "label", "title", "body_s", *FT.SCALARS, "tags_a", "vote_type_id_a"])
     model = FT.feature_pipeline(df, vocab_size=50)
     assert not held and FT.training_table(model, df).where(F.col("features").isNotNull()).count() == 6
+
+
+def test_libsvm_lines_join_ready_cells():
+    """A task joins the cells of an id, also across batches, and formats none itself."""
+    import pyarrow as pa
+    from quarry.operators.long_features import _line_task
+    batch = lambda *rows: pa.RecordBatch.from_pydict({"id": [r[0] for r in rows], "cell": [r[1] for r in rows]})
+    null = _line_task(iter([batch((None, "1.0"), (None, "2:1.0"), (1, "0.0"))]))
+    assert [v for b in null for v in b.column(0).to_pylist()] == ["1.0 2:1.0", "0.0"]
+    got = _line_task(iter([batch((1, "0.0"), (1, "3:0.5"), (2, "1.0")), batch((2, "1:2.0"), (2, "9:1.0E-5")), batch((3, "1.0"))]))
+    assert [v for b in got for v in b.column(0).to_pylist()] == ["0.0 3:0.5", "1.0 1:2.0 9:1.0E-5", "1.0"]
