@@ -73,3 +73,20 @@ def test_text_that_only_begins_with_a_date_is_null(spark):
     rows = [("2018-09-04", True), ("2018-09-04 12:33:11 UTC", True), ("2018-09-04abc", False), ("2018-09-041", False)]
     df = spark.createDataFrame(rows, "s string, ok boolean").withColumn("d", to_date_lenient(F.col("s")))
     assert all((str(r.d) == "2018-09-04") == r.ok and (r.d is None) != r.ok for r in df.collect())
+
+
+def test_integral_cast_tries_only_texts_that_may_pass(spark):
+    """A direct cast that fails throws inside; the guard changes no result."""
+    odd = ["5", " 5 ", "+5", "-5", "\t7\x7f", "--5", "12.7", ".5", "5.", "1e3", "n/a", "", " ", None, "１２", "99999999999", "5\u0085",
+           "9223372036854775807", "9223372036854775808", "0x10", "5 5", " 5", "1_000", "5\n", "-0", "NaN"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(odd)], "i int, v string")
+    for kind in (T.IntegerType(), T.LongType(), T.ShortType()):
+        name = kind.simpleString()
+        plain = F.coalesce(F.col("v").try_cast(name), F.col("v").try_cast("decimal(38,6)").try_cast(name))
+        got = df.select("v", lenient_cast(F.col("v"), kind).alias("got"), plain.alias("want"))
+        assert [r for r in got.collect() if r.got != r.want] == []
+        assert "RLIKE" in got.select("got")._jdf.queryExecution().optimizedPlan().toString()
+    doubles = spark.createDataFrame([(12.7,), (-0.5,), (1e10,), (float("nan"),), (None,)], "v double")
+    got = doubles.select(lenient_cast(F.col("v"), T.IntegerType()).alias("got"))
+    assert [r.got for r in got.collect()] == [12, 0, None, None, None]
+    assert "RLIKE" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import CountVectorizer, HashingTF, MinMaxScaler
 from pyspark.ml.functions import vector_to_array
@@ -277,3 +278,37 @@ def test_libsvm_lines_join_ready_cells():
     assert [v for b in null for v in b.column(0).to_pylist()] == ["1.0 2:1.0", "0.0"]
     got = _line_task(iter([batch((1, "0.0"), (1, "3:0.5"), (2, "1.0")), batch((2, "1:2.0"), (2, "9:1.0E-5")), batch((3, "1.0"))]))
     assert [v for b in got for v in b.column(0).to_pylist()] == ["0.0 3:0.5", "1.0 1:2.0 9:1.0E-5", "1.0"]
+
+
+def test_kept_words_are_those_of_the_ml_stages(spark, monkeypatch):
+    """One pass over the bytes finds the tokens of RegexTokenizer and StopWordsRemover."""
+    import random
+
+    from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
+
+    from quarry.functions import words
+    from quarry.functions.text import default_stopwords
+    rnd = random.Random(5)
+    texts = ["", "the The a", "Don't STOP été, c++ x_y  2", "x", " x"] + [
+        "".join(rnd.choice("aAzZ09_ \n.,éßİKΣσ漢😀ıI-k") for _ in range(rnd.randrange(60))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    stops = default_stopwords()
+    ml = RegexTokenizer(inputCol="t", outputCol="x", pattern="\\W").transform(df)
+    ml = StopWordsRemover(inputCol="x", outputCol="w", stopWords=list(stops)).transform(ml)
+    want = {r.id: r.w for r in ml.select("id", "w").collect()}
+    assert {r.id: r.v for r in FT.KeptWords("t", "v", stops).transform(df).select("id", "v").collect()} == want
+    # in runs of texts, with a null, from the middle of an array
+    monkeypatch.setattr(words, "TEXT_BYTES", 50)
+    column = pa.array(["skip", None, *texts])[1:]
+    got = [v for _, part in words.slices(column) for v in words.kept_words(part, words.stop_set(stops)).to_pylist()]
+    assert got == [None, *(want[i] for i in range(len(texts)))]
+
+
+def test_fit_reads_texts_without_ml_tokens(spark):
+    """Title and body words are found by KeptWords and by the vocabularies themselves."""
+    df = spark.createDataFrame([(1, "Red car", "the fast red car"), (2, "blue Car", "a slow blue car, a car")], "id int, title string, body_s string")
+    stages = FT._scaled_text_block(df, "filtered2", "body_f", 100, ("body_s", ["the", "A"]))
+    words = FT.KeptWords("body_s", "filtered2", ["the", "A"]).transform(df)
+    old = FT._scaled_text_block(words, "filtered2", "body_f", 100)
+    assert [s.vocabulary for s in stages if hasattr(s, "vocabulary")] == [s.vocabulary for s in old if hasattr(s, "vocabulary")]
+    assert [s.vocabulary for s in stages if hasattr(s, "vocabulary")] == [["blue", "fast", "red", "slow"], ["car"]]
