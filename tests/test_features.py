@@ -312,3 +312,20 @@ def test_fit_reads_texts_without_ml_tokens(spark):
     old = FT._scaled_text_block(words, "filtered2", "body_f", 100)
     assert [s.vocabulary for s in stages if hasattr(s, "vocabulary")] == [s.vocabulary for s in old if hasattr(s, "vocabulary")]
     assert [s.vocabulary for s in stages if hasattr(s, "vocabulary")] == [["blue", "fast", "red", "slow"], ["car"]]
+
+
+def test_blocks_without_text_are_fitted_without_reading_texts(spark, monkeypatch):
+    """Only the table of short columns, written in one pass, is read by the fits of tags, votes and scalars."""
+    from quarry import session
+    from quarry.plans.q_features import features_in
+    prepared = FT.prepare(features_in(spark, "/root/testdata/sf0.001"))
+    written, fitted = [], []
+    write = session.write_table
+    monkeypatch.setattr(session, "write_table", lambda df, name="t", *a: written.append((name, df.columns)) or write(df, name, *a))
+    for kind in (CountVectorizer, MinMaxScaler):
+        fit = kind.fit
+        monkeypatch.setattr(kind, "fit", lambda self, df, *a, fit=fit: fitted.append(df.inputFiles()) or fit(self, df, *a))
+    model = FT.feature_pipeline(prepared, variant="hash", vocab_size=1 << 10)
+    assert written == [("fit_rows", ["tags_a", "vote_type_id_a", *FT.SCALARS])]
+    assert len(fitted) == 3 and all("/tables/fit_rows-" in f for files in fitted for f in files)
+    assert FT.training_table(model, prepared).count() == prepared.count()
