@@ -375,3 +375,23 @@ def test_recall_of_edited_passages(spark, words, match):
 @pytest.mark.parametrize("words, match", [(60, 95), (100, 90), (400, 90)])
 def test_recall_among_texts_that_have_the_lines(spark, words, match):
     assert recall(spark, words, match, 30, trials=20) >= 0.9
+
+
+@pytest.mark.parametrize("words, match, others", [(400, 80, 30), (100, 90, 200)])
+def test_recall_beyond_first_and_last_texts(spark, words, match, others):
+    """Seeds that few (pairs of the rest) and many texts have (tiles)."""
+    assert recall(spark, words, match, others, trials=20) >= 0.9
+
+
+def test_links_between_middle_texts(spark):
+    """Edited passages of a line that 90 texts have: each couple is met by
+    that line's seeds only, in tiles, and neither text is the first or last."""
+    line, rows = prose(30_000, 30), []
+    for i in range(90):
+        tail = prose(31_000 + i // 2, 40).split(" ")
+        if i % 2:
+            tail[3::4] = [f"x{i}_{k}" for k in range(len(tail[3::4]))]
+        rows.append((i, " ".join([prose(32_000 + i, 70), line, *tail, prose(33_000 + i, 70)])))
+    got = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i in range(90)}
+    assert all(r.n_passages for r in got)
