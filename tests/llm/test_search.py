@@ -6,6 +6,7 @@ from collections import Counter
 
 import brute
 import duckdb
+import numpy as np
 import pytest
 from conftest import EXTRA, document_rows, edited, prose
 from pyspark.sql import functions as F
@@ -395,3 +396,33 @@ def test_links_between_middle_texts(spark):
     got = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i in range(90)}
     assert all(r.n_passages for r in got)
+
+
+def _context_rows(rng, texts, wide):
+    """Words around a seed: a line that all texts have, in some inside a shared passage, edited."""
+    rows = rng.integers(1, 255, (texts, 2 * wide + substrings.K)).astype(np.uint8)
+    rows[:, wide - 4:wide + substrings.K + 4] = np.arange(1, 2 * 4 + substrings.K + 1)
+    for first, n in ((0, texts // 4), (texts // 4, texts // 8)):
+        rows[first:first + n, wide - 20:wide + 40] = rows[first, wide - 20:wide + 40]
+    edits = rng.integers(0, texts, texts), rng.integers(0, 2 * wide + substrings.K, texts)
+    rows[edits] = 255
+    return rows
+
+
+def test_tiles_settle_what_their_first_pairs_share():
+    wide, texts = 60, 1600
+    rows = _context_rows(np.random.default_rng(3), texts, wide)
+    comp, unmet, key = np.arange(texts), np.ones(texts, bool), np.arange(texts)
+    held = substrings._Tile(key, comp, unmet, rows, wide, 50, 80, 100)
+    pairs = [np.concatenate(v) for v in zip(*held.pairs(), strict=True)]
+    assert len(pairs[0]) < 8 * texts  # all pairs of the larger passage alone are 50 times as many
+    other = np.where(rows == 0, 255, rows)
+    links = np.zeros((texts, texts), bool)
+    for i in range(texts):
+        some = np.flatnonzero(np.count_nonzero(rows[i] == other, axis=1) >= 40)
+        s, e = substrings.best_stretch(rows[i] == other[some], 50, 80, 100)
+        links[i, some] = e > s
+    np.fill_diagonal(links, False)
+    assert np.array_equal(held.unmet, ~links.any(axis=1))  # every text that has a partner has met one
+    assert all(len(set(held.comp[np.flatnonzero(r)])) <= 1 for r in links)  # and no link is lost
+    assert all((held.comp[np.flatnonzero(r)] == held.comp[i]).all() for i, r in enumerate(links))
