@@ -403,7 +403,7 @@ def _context_rows(rng, texts, wide):
     rows = rng.integers(1, 255, (texts, 2 * wide + substrings.K)).astype(np.uint8)
     rows[:, wide - 4:wide + substrings.K + 4] = np.arange(1, 2 * 4 + substrings.K + 1)
     for first, n in ((0, texts // 4), (texts // 4, texts // 8)):
-        rows[first:first + n, wide - 20:wide + 40] = rows[first, wide - 20:wide + 40]
+        rows[first:first + n] = rows[first]
     edits = rng.integers(0, texts, texts), rng.integers(0, 2 * wide + substrings.K, texts)
     rows[edits] = 255
     return rows
