@@ -426,3 +426,44 @@ def test_tiles_settle_what_their_first_pairs_share():
     assert np.array_equal(held.unmet, ~links.any(axis=1))  # every text that has a partner has met one
     assert all(len(set(held.comp[np.flatnonzero(r)])) <= 1 for r in links)  # and no link is lost
     assert all((held.comp[np.flatnonzero(r)] == held.comp[i]).all() for i, r in enumerate(links))
+
+
+def test_tiles_cover_all_that_all_pairs_cover():
+    """A line of ``core`` words that all texts have, in families that share
+    some words behind it: pairs that add nothing are left out, words aren't."""
+    wide, texts, rng = 60, 700, np.random.default_rng(5)
+    size = 2 * wide + substrings.K
+    for core in (30, 45, 49, 52, 70):
+        rows = rng.integers(1, 255, (texts, size)).astype(np.uint8)
+        at = wide + 2 - core // 2
+        rows[:, at:at + core] = rng.integers(1, 255, core)
+        family, behind = rng.integers(0, texts // 6, texts), rng.integers(1, 255, (texts // 6, size))
+        for i in range(0, texts, 3):
+            end = at + core + rng.integers(0, 40)
+            rows[i, at + core:end] = behind[family[i], at + core:end]
+        for i in rng.integers(0, texts, texts // 5):
+            rows[i, :rng.integers(0, wide)] = 0  # texts that begin there
+        key = np.arange(texts)
+        held = substrings._Tile(key, key, np.ones(texts, bool), rows, wide, 50, 80, 100)
+        got = [p for p in held.pairs() if len(p[0])]
+        met = np.zeros((texts, texts), bool)
+        for m, n in got:
+            met[m, n] = met[n, m] = True
+        assert met.sum() < 8 * texts  # of 230,000 pairs with passages for 70 words
+        other, cover, want = np.where(rows == 0, 255, rows), np.zeros(rows.shape, bool), np.zeros(rows.shape, bool)
+        for i in range(texts):
+            same = rows[i] == other
+            same[i] = False
+            for s, e, m in zip(*substrings.best_stretch(same, 50, 80, 100), met[i], strict=True):
+                want[i, s:e] = True
+                if m:
+                    cover[i, s:e] = True
+        assert np.array_equal(cover, want)
+
+
+def test_all_stretches_of_a_chain():
+    """Passages left and right of the best one on the same diagonal."""
+    same = np.zeros((2, 400), bool)
+    same[0, 10:70] = same[0, 120:320] = same[0, 340:395] = same[1, 5:45] = True
+    got = zip(*(v.tolist() for v in substrings.all_stretches(same, 50, 80, 100)), strict=True)
+    assert sorted(got) == [(0, 10, 70), (0, 120, 320), (0, 340, 395)]
