@@ -87,3 +87,20 @@ def test_dumps_shuffle_a_body_once(spark):
     assert all(d.columns == [*Q.POST_COLS, "extra"] for d in read.values())
     assert sum(d.count() for d in read.values()) == sum(got.values())  # broken lines are dropped
     assert {f.rsplit(".", 1)[-1] for d in read.values() for f in d.inputFiles() if "broken" not in f} == {"gz"}
+
+
+def test_chain_keeps_no_scratch_files(spark, monkeypatch):
+    """Dumps and tables that no later step reads are gone, and so are the shuffle files of what was written."""
+    from pathlib import Path
+    from quarry.plans import q_chain as Q
+    from quarry.sources import csv as CSV
+    folders, path = [], CSV.scratch_path
+    monkeypatch.setattr(CSV, "scratch_path", lambda *a: folders.append(path(*a)) or folders[-1])
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before = shuffled()
+    got = Q.job_tags(spark, SF)
+    assert not shuffled() - before
+    left = {p.name for p in Path(folders[0].removeprefix("file:")).iterdir() if p.is_dir()}
+    assert left == {"set=all_tags", "set=out_tagged"}
+    assert got.count() > 0

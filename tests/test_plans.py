@@ -1,5 +1,7 @@
 """Physical-plan properties that matter at scale (read from explain)."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
@@ -98,3 +100,35 @@ def test_only_bare_scans_are_counted(spark):
     users = TB.users(spark, SF)
     assert proven_bytes(users) == 2 * (8 + 16) * users.count()
     assert proven_bytes(users.where("id > 5")) is None and proven_bytes(users.distinct()) is None
+
+
+def test_bodies_with_copies_are_exchanged_once(spark, monkeypatch):
+    """Step 1 of posts with copies and users too many to broadcast: whole
+    posts are shuffled by their id alone, as often as without copies."""
+    from quarry.operators import clean as C
+    from quarry.session import write_table
+    monkeypatch.setattr(C, "broadcast_if_small", lambda df, *a, **k: df)
+    posts = spark.createDataFrame([(i % 400 or None, f"title {i % 450 % 400}", "body", i % 7, i % 9 or None) for i in range(900)],
+                                  "id long, title string, body string, score long, owner_user_id long")
+    users = spark.createDataFrame([(i, i * 10 + k) for i in range(8) for k in range(1 + i % 2)], "id long, reputation long")
+    votes = spark.createDataFrame([(i % 350, i % 3) for i in range(2000)], "post_id long, vote_type_id long")
+    posts, users, votes = (write_table(t, "t") for t in (posts, users, votes))
+    plain = posts.distinct().join(users.select(F.col("id").alias("owner_user_id"), "reputation").distinct(), "owner_user_id")
+    lists = votes.groupBy(F.col("post_id").alias("id")).agg(F.sort_array(F.collect_set("vote_type_id")).alias("v"))
+    plain = plain.join(plain.groupBy("id").agg(F.count(F.lit(1)).alias("k")), "id").join(lists, "id")
+    want = sorted((r.id, r.title, r.score, r.owner_user_id, r.reputation, "|".join(str(v) for v in r.v for _ in range(r.k)))
+                  for r in plain.collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = C.clean_branch(posts, users, votes, 1)
+        text = out._jdf.queryExecution().executedPlan().toString()
+        got = out.collect()
+        monkeypatch.setattr(C, "COPIES", 1)
+        hot = C.clean_branch(posts, users, votes, 1).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for rows in (got, hot):
+        assert sorted((r.id, r.title, r.score, r.owner_user_id, r.reputation, r.vote_type_id) for r in rows) == want
+    lines = text.split("\n")
+    below = [lines[i + 1:] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len([part for part in below if "body" in "\n".join(part[:3])]) == 1, text
