@@ -104,3 +104,20 @@ def test_chain_keeps_no_scratch_files(spark, monkeypatch):
     left = {p.name for p in Path(folders[0].removeprefix("file:")).iterdir() if p.is_dir()}
     assert left == {"set=all_tags", "set=out_tagged"}
     assert got.count() > 0
+
+
+def test_training_frame_is_a_table_that_goes(spark):
+    """No persisted rows and no checkpoint beside it."""
+    from pathlib import Path
+    from pyspark.ml.linalg import Vectors
+    from quarry.operators import model as MD
+    from quarry.session import drop_table
+    df = spark.createDataFrame([(i, i % 2, Vectors.sparse(9, {i % 9: float(i)})) for i in range(40)], ["id", "label", "features"])
+    cached = set(spark._jsc.getPersistentRDDs().keySet().toArray())
+    table = MD.training_frame(df)
+    assert sorted(table.collect()) == sorted(df.collect())
+    assert not set(spark._jsc.getPersistentRDDs().keySet().toArray()) - cached
+    folder = Path(table.scratch_path.removeprefix("file:"))
+    assert folder.is_dir()
+    drop_table(table)
+    assert not folder.exists()
